@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -50,3 +56,59 @@ def crc_fold(c: Column, n: int) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def map_texts(docs: DataFrame, fn: Callable[[list[bytes | None]], list], added: str, carry: list[str], text: str = "text", block_bytes: int = 2_000_000) -> DataFrame:
+    """Columns `carry` of docs and the columns `added` (DDL), which fn makes from the whole texts as UTF-8, a block of
+    rows at a time. A block has about block_bytes of text, or one longer text."""
+    rows = docs.select(*dict.fromkeys([*carry, text]))
+    new = StructType.fromDDL(added)
+    schema = StructType([rows.schema[c] for c in carry] + new.fields)
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            column = b.column(b.schema.get_field_index(text))
+            texts = column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
+            ends = np.cumsum(np.array([0 if n is None else n for n in pc.binary_length(texts).to_pylist()], np.int64))
+            at = 0
+            while at < b.num_rows:
+                stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + block_bytes, "right")))
+                made = fn(texts.slice(at, stop - at).to_pylist())
+                own = [b.column(b.schema.get_field_index(c)).slice(at, stop - at) for c in carry]
+                yield pa.RecordBatch.from_arrays(own + [pa.array(x, type=arrow.field(len(carry) + i).type) for i, x in enumerate(made)], names=arrow.names)
+                at = stop
+
+    return rows.mapInArrow(run, schema)
+
+
+def hashed_sample(docs: DataFrame, label: str, most: int, seed: int = 0) -> list[Row]:
+    """At most `most` rows (text, label) of each label, for fitting a classifier: those whose text hashes below the
+    share that is wanted, each text once. Rows with null or empty text or null label don't come."""
+    rows = docs.filter(F.col(label).isNotNull() & (F.col("text") != "")).select("text", label)
+    counts = rows.groupBy(label).count().collect()
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("text")), 11) / F.lit(float(1 << 53))
+    wanted = F.lit(False)
+    for r in counts:
+        wanted = wanted | ((F.col(label) == F.lit(r[0])) & (draw < min(1.0, 1.5 * most / r[1])))
+    seen: dict = {r[0]: {} for r in counts}
+    for r in rows.filter(wanted).withColumn("_draw", draw).orderBy("_draw", "text").toLocalIterator() if counts else ():
+        if len(seen[r[1]]) < most:
+            seen[r[1]].setdefault(r[0], r)
+    return [r for k in sorted(seen) for r in seen[k].values()]
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, seed: int = 0) -> tuple[list[Row], dict[int, int]]:
+    """At most `most` rows (text, label) of each label 0 and 1 for fitting a classifier, each text once, and how many
+    labelled rows there are of each. Labels (doc_id, label) are drawn first, by hash of their id; the ids drawn are
+    few by that bound, so they are broadcast to find their texts."""
+    known = labels.select("doc_id", F.col(label).cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)")
+    there = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
+    order = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    drawn = [r for y in sorted(there) for r in known.filter(F.col("y") == y).orderBy(order, "doc_id").limit(most).collect()]
+    ids = F.broadcast(docs.sparkSession.createDataFrame(drawn, "doc_id long, y int"))
+    rows = docs.select("doc_id", "text").join(ids, "doc_id").select("text", "y").filter("text is not null")
+    once: dict = {}
+    for r in rows.toLocalIterator():
+        once[r.text] = max(once.get(r.text, r.y), r.y)
+    return [Row(text=t, y=y) for t, y in sorted(once.items())], there

@@ -1,9 +1,25 @@
 """The registered queries of this subpackage, and the SQL of those that SQL can express."""
 
+from flowmart.llm.decontaminate import op2_template_decontamination
+from flowmart.llm.langid import op1_crf_language_id
 from flowmart.llm.linededup import OP9_SQL, op9_line_dedup
 from flowmart.llm.mixing import op7_source_mixing
+from flowmart.llm.quality import op10_quality_neighbours
 from flowmart.llm.simhash import op5_simhash_near_dedup
+from flowmart.llm.toxicity import op4_toxicity_segments
 from flowmart.llm.urlfilter import op6_url_filter
 
-QUERIES = {q.__name__: q for q in (op5_simhash_near_dedup, op6_url_filter, op7_source_mixing, op9_line_dedup)}
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_crf_language_id,
+        op2_template_decontamination,
+        op4_toxicity_segments,
+        op5_simhash_near_dedup,
+        op6_url_filter,
+        op7_source_mixing,
+        op9_line_dedup,
+        op10_quality_neighbours,
+    )
+}
 SQL = {"op9_line_dedup": OP9_SQL}
