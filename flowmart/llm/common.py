@@ -76,7 +76,7 @@ def map_texts(docs: DataFrame, fn: Callable[[list[bytes | None]], list], added:
                 stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + block_bytes, "right")))
                 made = fn(texts.slice(at, stop - at).to_pylist())
                 own = [b.column(b.schema.get_field_index(c)).slice(at, stop - at) for c in carry]
-                yield pa.RecordBatch.from_arrays(own + [pa.array(x, type=arrow.field(len(carry) + i).type) for i, x in enumerate(made)], names=arrow.names)
+                yield pa.RecordBatch.from_arrays(own + [x if isinstance(x, pa.Array) else pa.array(x, type=arrow.field(len(carry) + i).type) for i, x in enumerate(made)], names=arrow.names)
                 at = stop
 
     return rows.mapInArrow(run, schema)

@@ -104,8 +104,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, similarity:
     small = hashes.limit(sift_rows + 1).count() <= sift_rows
     sift = np.sort(hashes.toArrow().column(0).combine_chunks().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) if small else None
     rows = template_windows(docs.select("doc_id", "text").filter("doc_id is not null"), ["doc_id"], size, sift).drop("n_windows")
-    met = stored(rows.join(items, "wh"), "met").withColumn("_row", F.monotonically_increasing_id())
-    met = stored(met, "met")
+    met = stored(rows.join(items, "wh").withColumn("_row", F.monotonically_increasing_id()), "met")
     slot = met.select("doc_id", "item_id", "_row", F.explode(F.arrays_zip("item_slots", "slots")).alias("s")).select("doc_id", "item_id", "_row", "s.item_slots", "s.slots")
     usual = slot.groupBy("doc_id", "item_id", "item_slots", "slots").agg(F.count("*").alias("n"))
     usual = usual.groupBy("doc_id", "item_id", "item_slots").agg(F.min(F.struct((-F.col("n")).alias("n"), "slots"))["slots"].alias("usual"))
