@@ -53,4 +53,4 @@ def r(*cols: str, n: int = 6) -> str:
     return ", ".join(out)
 
 
-from flowmart.plans import q_aggs, q_bars, q_joins, q_policy, q_rows, q_windows  # noqa: E402, F401  they register themselves
+from flowmart.plans import q_aggs, q_bars, q_joins, q_policy, q_rows, q_streams, q_windows  # noqa: E402, F401  they register themselves

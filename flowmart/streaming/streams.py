@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from flowmart.operators.bars import first_of, last_of
 from flowmart.sources.sinks import write_upsert
@@ -33,46 +33,37 @@ def stream_bars(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str
     return g.select(*keys, F.col("w.start").alias("bucket"), "open", "high", "low", "close", "volume", "ticks", (F.col("_pv") / F.nullif("volume", F.lit(0.0))).alias("vwap"))
 
 
-class RunningVwap(StatefulProcessor):
-    """For each (ticker, day): running sums of price times volume and of volume, the highest price, and whether the
-    limit was touched and released. The state ends with a timer a day after it began."""
-
-    KEEP_MS = 24 * 3600 * 1000
+STATE = "pv double, v double, high double, touched boolean, released boolean"
+OUTPUT = "ticker string, day string, vwap double, high double, touched boolean, released boolean"
+KEEP_MS = 48 * 3600 * 1000
 
-    def __init__(self, limit: float):
-        self.limit = limit
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("sums", "pv double, v double, high double, touched boolean, released boolean")
+def running_vwap(limit: float) -> Callable:
+    """For each (ticker, day): running sums of price times volume and of volume, the highest price, and whether the
+    limit was touched and released. State is removed when the watermark is two days past its last row."""
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer) -> Iterator[pd.DataFrame]:
-        frames = list(rows)
-        if not frames:
+    def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
             return
-        pdf = pd.concat(frames).sort_values(["ts", "event_id"])
-        pv, v, high, touched, released = self.state.get() if self.state.exists() else (0.0, 0.0, float("-inf"), False, False)
-        if not self.state.exists():
-            self.handle.registerTimer(timer.getCurrentProcessingTimeInMs() + self.KEEP_MS)
-        at = pdf["price"] >= self.limit
+        pv, v, high, touched, released = state.get if state.exists else (0.0, 0.0, float("-inf"), False, False)
+        pdf = pd.concat(list(frames)).sort_values(["ts", "event_id"])
+        at = pdf["price"] >= limit
         was = at.cummax() | touched
         released = bool(released or (was & ~at).any())
         pv, v = pv + float((pdf["price"] * pdf["volume"]).sum()), v + float(pdf["volume"].sum())
         high, touched = max(high, float(pdf["price"].max())), bool(was.iloc[-1])
-        self.state.update((pv, v, high, touched, released))
+        state.update((pv, v, high, touched, released))
+        state.setTimeoutTimestamp(max(int(pdf["ts"].max().timestamp() * 1000), state.getCurrentWatermarkMs()) + KEEP_MS)
         yield pd.DataFrame({"ticker": [key[0]], "day": [key[1]], "vwap": [pv / v if v else None], "high": [high], "touched": [touched], "released": [released]})
 
-    def handleExpiredTimer(self, key, timer, expired) -> Iterator[pd.DataFrame]:
-        self.state.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
+    return update
 
 
 def stream_state(df: DataFrame, limit: float) -> DataFrame:
     """The state of each (ticker, day) after every micro-batch that has rows of it."""
-    return df.groupBy("ticker", "day").transformWithStateInPandas(RunningVwap(limit), "ticker string, day string, vwap double, high double, touched boolean, released boolean", "Update", "processingTime")
+    rows = df.withWatermark("ts", "1 day").groupBy("ticker", "day")
+    return rows.applyInPandasWithState(running_vwap(limit), OUTPUT, STATE, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def upsert_batches(path: str, keys: Sequence[str], now: Callable[[int], Column], by: str = "date") -> Callable[[DataFrame, int], None]:
