@@ -9,6 +9,7 @@ bare templates aren't.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import xxhash
@@ -30,11 +31,19 @@ FACTORS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(64)], np.
 
 
 class Canon(dict):
-    """Token -> (kind, hash of its lower-cased form as a signed long)."""
-
-    def __missing__(self, token: str) -> tuple[int, int]:
-        kind = BREAK if token in ".!?\n" else NUMBER if token[0].isdigit() else CAPITAL if token[0].isupper() and token[1:].islower() else WORD
-        made = (kind, xxhash.xxh64_intdigest(token.lower().encode(), 1) - (1 << 63))
+    """Token -> hash of its lower-cased form, with its kind in the lowest three bits; UNIT is a word that may be one."""
+
+    def __missing__(self, token: str) -> int:
+        low = token.lower()
+        if token in ".!?\n":
+            kind = BREAK
+        elif token[0].isdigit():
+            kind = NUMBER
+        elif low in UNITS:
+            kind = UNIT
+        else:
+            kind = CAPITAL if token[0].isupper() and token[1:].islower() else WORD
+        made = (xxhash.xxh64_intdigest(low.encode(), 1) >> 1 & ~7) | kind
         if len(self) < CACHE:
             self[token] = made
         return made
@@ -44,36 +53,50 @@ CANON = Canon()
 PLACEHOLDER = {kind: np.uint64(xxhash.xxh64_intdigest(name, 2)) for kind, name in ((NUMBER, b"<number>"), (CAPITAL, b"<name>"), (UNIT, b"<unit>"))}
 
 
+def templates(found: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the tokens of all texts, one after another, without sentence ends: text number, place in the text's own
+    tokens, kind and hash of the template's word."""
+    size = np.array([len(x) for x in found], np.int64)
+    of = np.repeat(np.arange(len(found)), size)
+    place = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+    made = np.fromiter(map(CANON.__getitem__, chain.from_iterable(found)), np.int64, len(of))
+    kind = made & 7
+    before = np.concatenate(([BREAK], kind[:-1])) if len(kind) else kind
+    before = np.where(place == 0, BREAK, before)
+    kind = np.where((kind == CAPITAL) & (before == BREAK) | (kind == UNIT) & (before != NUMBER), WORD, kind)
+    keep = np.flatnonzero(kind != BREAK)
+    kind, h = kind[keep], made[keep].view(np.uint64)
+    h = h & ~np.uint64(7)
+    for k, x in PLACEHOLDER.items():
+        h[kind == k] = x
+    return of[keep], place[keep], kind, h
+
+
 def windows(texts: list[bytes | None], size: int, sift: np.ndarray | None) -> list[tuple[np.ndarray, list[list[str]]]]:
     """For each text the hashes of its template windows and the slots of each; with sift only the windows in it.
     A text of fewer tokens is one window; one without tokens has none. Each hash comes once, at its first place."""
-    out = []
-    for t in texts:
-        found = TOKEN.findall((t or b"").decode("utf-8", "replace"))
-        pairs = np.array([CANON[x] for x in found], np.int64).reshape(-1, 2)
-        kind, h = pairs[:, 0], (pairs[:, 1].view(np.uint64) + np.uint64(1 << 63))
-        opens = np.concatenate(([True], kind[:-1] == BREAK)) if len(kind) else np.zeros(0, bool)
-        kind = np.where((kind == CAPITAL) & opens, WORD, kind)
-        for i in np.flatnonzero(kind[:-1] == NUMBER).tolist() if len(kind) else ():
-            if found[i + 1].lower() in UNITS:
-                kind[i + 1] = UNIT
-        keep = np.flatnonzero(kind != BREAK)
-        kind, h = kind[keep], h[keep].copy()
-        for k, x in PLACEHOLDER.items():
-            h[kind == k] = x
-        n = min(size, len(keep))
-        if not n:
-            out.append((np.zeros(0, np.int64), []))
-            continue
-        many = len(keep) - n + 1
-        hashes = np.full(many, n, np.uint64)
-        for j in range(n):
-            hashes = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + h[j : j + many] * FACTORS[j]
-        at = np.arange(many) if sift is None else np.flatnonzero(sift[np.minimum(np.searchsorted(sift, hashes), len(sift) - 1)] == hashes) if len(sift) else np.zeros(0, int)
-        hashes, first = np.unique(hashes[at], return_index=True)
-        slots = [[found[keep[i]].lower() for i in range(p, p + n) if kind[i] != WORD] for p in at[first].tolist()]
-        out.append((hashes.view(np.int64), slots))
-    return out
+    found = [TOKEN.findall((t or b"").decode("utf-8", "replace")) for t in texts]
+    of, place, kind, h = templates(found)
+    tokens = np.bincount(of, minlength=len(texts))
+    first = np.cumsum(tokens) - tokens
+    width = np.minimum(size, tokens)
+    starts = np.flatnonzero(np.arange(len(of)) - first[of] <= (tokens - width)[of])
+    n = width[of[starts]]
+    hashes = n.astype(np.uint64)
+    for j in range(size):
+        more = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + h[np.minimum(starts + j, len(h) - 1)] * FACTORS[j]
+        hashes = np.where(j < n, more, hashes)
+    if sift is not None:
+        hit = np.flatnonzero(sift[np.minimum(np.searchsorted(sift, hashes), len(sift) - 1)] == hashes) if len(sift) else np.zeros(0, int)
+        starts, hashes, n = starts[hit], hashes[hit], n[hit]
+    order = np.lexsort((starts, hashes, of[starts]))
+    starts, hashes, n = starts[order], hashes[order], n[order]
+    once = np.ones(len(starts), bool)
+    once[1:] = (np.diff(of[starts]) != 0) | (np.diff(hashes) != 0)
+    starts, hashes, n = starts[once], hashes[once].view(np.int64), n[once]
+    slots = [[found[of[i]][place[i]].lower() for i in range(p, p + m) if kind[i] != WORD] for p, m in zip(starts.tolist(), n.tolist(), strict=True)]
+    bounds = np.searchsorted(of[starts], np.arange(len(texts) + 1)).tolist()
+    return [(hashes[a:b], slots[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
 def template_windows(df: DataFrame, carry: list[str], size: int = WINDOW, sift: np.ndarray | None = None) -> DataFrame:
