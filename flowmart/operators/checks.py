@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,7 +103,3 @@ def assert_all(checks: Sequence[Callable[[], None]]) -> None:
             failed.append(str(e))
     if failed:
         raise ValueError("; ".join(failed))
-
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

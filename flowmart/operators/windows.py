@@ -60,12 +60,6 @@ def temporal_flow(df: DataFrame, windows: Sequence[int], value: str = "total_net
     return df.withColumns(made)
 
 
-def days_since(cond: Column, w: WindowSpec) -> Column:
-    """Rows since the condition last held before this one: 0 if the row before held it; null before the first."""
-    rn = F.row_number().over(w)
-    return rn - 1 - F.last(F.when(cond, rn), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-
-
 def with_days_since(df: DataFrame, cond: Column, name: str, keys: Sequence[str], order: str = "date") -> DataFrame:
     w = by(keys, order)
     df = df.withColumns({"_n": F.row_number().over(w), "_c": flag(cond)})

@@ -27,12 +27,8 @@ def trades(spark, sf):
     return P.apply_policy(pred, grid(spark), pred.select("date"), [F.col("entry_price") > 50])
 
 
-#: Capping by rounds, as a recursion over (policy, date): each round gives the excess to those below.
-TRADES_SQL = f"""WITH c AS (SELECT v.*, g.* FROM v_pred v, {GRID_SQL} WHERE ret IS NOT NULL AND entry_price > 50),
-  t AS (SELECT policy, date, greatest(max(floor), quantile_cont(pred_proba, max(quantile))) AS threshold FROM (SELECT c.*, 1 AS one FROM c) GROUP BY policy, date)"""
-
-
 def trades_sql(body):
+    """The daily and trade tables in SQL; the rounds of capping are written out one after another."""
     caps = ", ".join(f"'{g[0]}'" for g in GRID)
     per = " UNION ALL ".join(f"SELECT '{g[0]}' AS policy, date, greatest({g[2]}, quantile_cont(pred_proba, {g[3]})) AS threshold FROM v_pred WHERE ret IS NOT NULL AND entry_price > 50 GROUP BY date" for g in GRID)
     rounds = "\n".join(

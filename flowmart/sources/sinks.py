@@ -41,7 +41,7 @@ def write_upsert(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[
     """upsert() into a partitioned table: only the partitions that new touches are read and written. Doing it again
     with the same rows changes nothing but the update time."""
     try:
-        existing = spark.read.parquet(path)
+        existing = spark.read.option("mergeSchema", True).parquet(path)
     except Exception as e:  # no table yet
         if "PATH_NOT_FOUND" not in str(e):
             raise
