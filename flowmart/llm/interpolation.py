@@ -27,6 +27,8 @@ COMMON, PAIR = 3e-7, 1e-6
 END = b"\n"  # no word holds it
 KEPT, HELD, OTHER = 0, 1, 2
 FLUSH_WORDS, FLUSH_PAIRS, CACHE = 400_000, 4_000_000, 400_000
+#: Texts that are looked up together. Each ends with its own end token, so they can follow one another.
+TOGETHER = 64
 BUCKETS, Q2, Q1 = 24, 48, 64
 
 
@@ -124,13 +126,18 @@ def count_pairs(docs: DataFrame, shared) -> DataFrame:
                     held[part].clear()
 
         for b in batches:
-            for part, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                w = lex.numbers(tokens(text.as_py()))
-                v = contexts(w, end)
-                both = (v >= 0) & (w >= 0)
-                both[both] = lex.pairs_with[v[both]] & lex.pairs_with[w[both]]
-                held[part].append(v[both] * size + w[both])
-                some += len(w)
+            parts, texts = b.column(0).to_pylist(), b.column(1)
+            for at in range(0, len(parts), TOGETHER):
+                words: tuple[list, list] = ([], [])
+                for part, text in zip(parts[at : at + TOGETHER], texts[at : at + TOGETHER], strict=True):
+                    words[part].extend(tokens(text.as_py()))
+                for part in (KEPT, HELD):
+                    w = lex.numbers(words[part])
+                    v = contexts(w, end)
+                    both = (v >= 0) & (w >= 0)
+                    both[both] = lex.pairs_with[v[both]] & lex.pairs_with[w[both]]
+                    held[part].append(v[both] * size + w[both])
+                    some += len(w)
                 if some > FLUSH_PAIRS:
                     yield from flush()
                     some = 0
@@ -219,12 +226,10 @@ def fit(docs: DataFrame) -> tuple[Interpolated, DataFrame]:
     plan = sc.broadcast(model)
 
     def cells(texts: list[bytes | None]) -> list:
-        seen: Counter = Counter()
-        for t in texts:
-            c, n = np.unique(log_cells(*plan.value.estimates(tokens(t), KEPT)), return_counts=True)
-            seen.update(dict(zip(c.tolist(), n.tolist(), strict=True)))
+        words = [w for t in texts for w in tokens(t)]
+        c, n = np.unique(log_cells(*plan.value.estimates(words, KEPT)), return_counts=True)
         rest = [[]] * (len(texts) - 1)
-        return [[list(seen), *rest], [list(seen.values()), *rest]]
+        return [[c.tolist(), *rest], [n.tolist(), *rest]]
 
     sums = map_texts(held, cells, "cell array<long>, n array<long>", []).select(F.explode(F.arrays_zip("cell", "n")).alias("x"))
     found = [(r.cell, r.n) for r in sums.groupBy("x.cell").agg(F.sum("x.n").alias("n")).collect()]
@@ -251,23 +256,23 @@ def log_score(docs: DataFrame, part: Column) -> DataFrame:
 
     def run(texts: list[bytes | None]) -> list:
         m: Interpolated = shared.value
-        size, known, base, score, rare_h, rare_b, ends = [], [], [], [], [], [], [0]
+        words, size = [], []
         for t in texts:
-            toks = tokens(t)
-            w, b, f2, f1 = m.estimates(toks)
-            rare = np.flatnonzero(w < 0)
-            at = np.flatnonzero(w >= 0)
-            p = m.weights[b[at]]
-            size.append(len(w))
-            known.append(len(at))
-            base.append(float(np.log10((m.lex.total[w[at]] + 1) / (m.lex.n + m.lex.distinct + 1)).sum()))
-            score.append(float(np.log10(p[:, 0] * f2[at] + p[:, 1] * f1[at] + p[:, 2] * m.any).sum()))
-            rare_h += [word_hash(toks[i]) for i in rare.tolist()]
-            rare_b.append(b[rare])
-            ends.append(len(rare_h))
-        ends = pa.array(ends, pa.int32())
-        lists = [pa.ListArray.from_arrays(ends, pa.array(x, pa.int64())) for x in (rare_h, np.concatenate(rare_b))]
-        return [size, known, base, score, *lists]
+            own_words = tokens(t)
+            words += own_words
+            size.append(len(own_words))
+        size = np.array(size)
+        begin = np.cumsum(size) - size
+        w, b, f2, f1 = m.estimates(words)
+        there = w >= 0
+        p = m.weights[b]
+        base = np.where(there, np.log10((m.lex.total[np.maximum(w, 0)] + 1) / (m.lex.n + m.lex.distinct + 1)) if len(m.lex.h) else 0.0, 0.0)
+        score = np.where(there, np.log10(p[:, 0] * f2 + p[:, 1] * f1 + p[:, 2] * m.any), 0.0)
+        rare = np.flatnonzero(~there)
+        known = np.add.reduceat(there.astype(np.int64), begin)
+        ends = pa.array(np.concatenate(([0], np.cumsum(size - known))), pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, pa.array(x, pa.int64())) for x in ([word_hash(words[i]) for i in rare.tolist()], b[rare])]
+        return [size, known, np.add.reduceat(base, begin), np.add.reduceat(score, begin), *lists]
 
     columns = "n_tokens long, n_known long, base_score double, score double, _h array<long>, _b array<long>"
     own_id = docs.select(*own, "text").withColumn("_row", F.monotonically_increasing_id())
