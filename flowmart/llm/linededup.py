@@ -88,8 +88,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
     keys = F.array_distinct(F.transform(F.filter(F.transform(lines_of(F.col("text")), line_key), lambda k: F.char_length(k) >= min_chars), hashes))
     lines = stored(own.select(F.col("_id").alias("doc_id"), F.explode(keys).alias("k")).select("k.h1", "k.h2", "doc_id"), "lines")
 
-    common = lines.groupBy("h1", "h2").agg(F.count_distinct("doc_id").alias("n")).filter(F.col("n") >= min_docs)
-    repeated = stored(lines.join(common.drop("n"), ["h1", "h2"]), "repeated")
+    # Both sides of the two joins with the lines are stored tables, so that Spark can split a line that is very common.
+    common = stored(lines.groupBy("h1", "h2").agg(F.count_distinct("doc_id").alias("n")).filter(F.col("n") >= min_docs).drop("n"), "common")
+    repeated = stored(lines.join(common, ["h1", "h2"]), "repeated")
     cuts = repeated.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)], 1000)).first()[0] or []
     cuts = sorted(set(cuts), reverse=True)
     runs = LineRuns(spark, fanout)
@@ -99,7 +100,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
         batch = batch if high is None else batch.filter(F.col("doc_id") <= high)
         runs.add(batch)
 
-    drops = repeated.join(runs.keepers(), ["h1", "h2"]).filter("doc_id != keeper")
+    drops = repeated.join(stored(runs.keepers(), "keepers"), ["h1", "h2"]).filter("doc_id != keeper")
     drops = drops.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set(F.struct("h1", "h2")).alias("_drop"))
     joined = own.join(drops, "_id", "left").withColumn("_lines", lines_of(F.col("text")))
 
