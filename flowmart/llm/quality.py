@@ -1,13 +1,15 @@
 """Quality by nearest-neighbour voting among latent-semantic vectors.
 
-Terms are the hashed three-byte sequences of a text. Their damped counts, weighted by inverse document frequency, are
-projected onto the leading singular vectors of the labelled sample. The labelled vectors are few by that sample's
+Terms are the hashed three-byte sequences of a text, and the repetition of its words. Damped counts, weighted by
+inverse document frequency, and the share of words that repeat the one before, are projected onto the leading singular vectors of the labelled sample. The labelled vectors are few by that sample's
 bound and are broadcast; every document's cosines with all of them are computed exactly, a block at a time, and the
 nearest vote with weights that grow with their similarity.
 """
 
 from __future__ import annotations
 
+from operator import eq
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,17 +19,23 @@ from flowmart.llm.common import crc_fold, labelled_sample, map_texts, table
 #: Most labelled documents of each label.
 FIT_DOCS = 1_500
 TERMS, RANK, NEIGHBOURS, POWER = 1 << 13, 48, 25, 6
+#: Weight of the share of repeated words beside the weighted term counts, whose norm is about as large for a usual text.
+REPEATS = 60.0
 THRESHOLD = 0.3
 
 
 def term_counts(texts: list[bytes | None]) -> np.ndarray:
-    """A row of damped term counts for each text."""
-    out = np.zeros((len(texts), TERMS), np.float32)
+    """A row for each text: its damped term counts, and in the last place its weighted share of repeated words."""
+    out = np.zeros((len(texts), TERMS + 1), np.float32)
     for i, t in enumerate(texts):
         b = np.frombuffer(b" " + (t or b"") + b" ", np.uint8).astype(np.uint32)
         terms = (b[:-2] * np.uint32(0x9E3779B1) + b[1:-1] * np.uint32(0x85EBCA6B) + b[2:] * np.uint32(0xC2B2AE35)) >> np.uint32(19)
-        out[i] = np.bincount(terms, minlength=TERMS)
-    return np.log1p(out, out=out)
+        out[i, :TERMS] = np.bincount(terms, minlength=TERMS)
+    np.log1p(out, out=out)
+    for i, t in enumerate(texts):
+        words = (t or b"").split()
+        out[i, TERMS] = REPEATS * max(sum(map(eq, words, words[1:])) - 2, 0) / (len(words) + 10)  # a few come by chance
+    return out
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -42,10 +50,11 @@ class Neighbours:
             return
         counts = term_counts(texts)
         self.idf = np.log((1 + len(texts)) / (1 + (counts > 0).sum(0))).astype(np.float32) + 0.1
+        self.idf[TERMS] = 1.0
         rows = unit(counts * self.idf)
         rank = min(RANK, len(texts))
         rng = np.random.default_rng(0)
-        basis = np.linalg.qr(rows @ rng.standard_normal((TERMS, rank + 16), dtype=np.float32))[0]
+        basis = np.linalg.qr(rows @ rng.standard_normal((TERMS + 1, rank + 16), dtype=np.float32))[0]
         for _ in range(4):  # subspace iteration for the leading singular vectors
             basis = np.linalg.qr(rows @ (rows.T @ basis))[0]
         self.axes = np.linalg.svd(basis.T @ rows, full_matrices=False)[2][:rank].T.astype(np.float32)
