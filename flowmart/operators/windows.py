@@ -194,3 +194,31 @@ def limit_history(df: DataFrame, limit: Column, keys: Sequence[str] = ("ticker",
     made |= {f"max_ret_{n}": F.max("_ret").over(prior(w, n)) for n in (5, 20)}
     df = with_days_since(df.withColumns(made), hit, "limit_days_since", keys, order)
     return with_streak(df, hit, "limit_streak", keys, order, current=False).drop("_prev", "_ret")
+
+
+def rezscore(df: DataFrame, value: str, window: int, keys: Sequence[str], order: str = "date") -> DataFrame:
+    """z and velocity of the row before against its own prior baseline, so that nothing of the current row is known."""
+    w = by(keys, order)
+    mean, std = guarded("mean", F.col(value), prior(w, window), window), guarded("std", F.col(value), prior(w, window), window)
+    df = df.withColumns({"_m": mean, "_s": std})
+    last, m, s = (F.lag(c).over(w) for c in (value, "_m", "_s"))
+    return df.withColumns({f"{value}_rez_{window}": clip(safe_div(last - m, s), -10.0, 10.0), f"{value}_revelocity_{window}": safe_div(last, m)}).drop("_m", "_s")
+
+
+def opening_history(df: DataFrame, hour: str, first_hour: int, ts: str, keys: Sequence[str] = ("ticker",), order: str = "date", window: int = 20, rise: float = 0.02) -> DataFrame:
+    """Of each day's opening bar the return and range, their mean, deviation and rate of rises over the last days, and the previous return."""
+    rn = F.row_number().over(Window.partitionBy(*keys, order).orderBy(ts))
+    day = df.filter(F.col(hour) == first_hour).withColumn("_rn", rn).filter("_rn = 1")
+    day = day.select(*keys, order, (safe_div("close", "open") - 1).alias("open_ret"), safe_div(F.col("high") - F.col("low"), "open").alias("open_range"))
+    w = by(keys, order)
+    frame = latest(w, window)
+    made = {"open_ret_ma": F.avg("open_ret").over(frame), "open_ret_std": F.stddev_samp("open_ret").over(frame), "open_rise_rate": F.avg(flag(F.col("open_ret") >= rise)).over(frame)}
+    return day.withColumns(made | {"open_range_ma": F.avg("open_range").over(frame), "open_ret_prev": F.lag("open_ret").over(w)})
+
+
+def volume_family(df: DataFrame, hour: str, last_hour: int, keys: Sequence[str] = ("ticker",), order: str = "date", window: int = 20, least: int = 10) -> DataFrame:
+    """A day's volume against its mean of the days before, and its last hour against the mean of the hours before it."""
+    late = F.col(hour) == last_hour
+    day = df.groupBy(*keys, order).agg(F.sum("volume").alias("day_volume"), F.sum(F.when(late, F.col("volume"))).alias("_l"), F.avg(F.when(F.col(hour) < last_hour, F.col("volume"))).alias("_e"))
+    mean = guarded("mean", F.col("day_volume"), prior(by(keys, order), window), least)
+    return day.withColumns({"volume_ma": mean, "relative_volume": safe_div("day_volume", mean), "last_hour_surge": safe_div("_l", "_e")}).drop("_l", "_e")

@@ -133,3 +133,18 @@ def j1_j3_walk_forward_model(spark, sf):
 
 
 _ = (day, rd)
+
+
+@query("v_pred", f"""WITH p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY pred_proba DESC, ticker) AS rank FROM v_pred) WHERE rank <= 3)
+  SELECT date::VARCHAR AS date, 'base' AS variant, rank::INT AS rank, CASE WHEN rank = 1 THEN ticker || '!' ELSE ticker END AS ticker, CASE WHEN rank = 1 THEN '2024-02-01' ELSE '2024-01-01' END AS logged FROM p""")
+def h6_log_picks(spark, sf):
+    """A log of picks by (date, variant, rank), written twice: the second time only the first ranks, renamed."""
+    from flowmart.operators.ranks import top_k
+    from flowmart.sources.sinks import upsert
+
+    at = lambda s: F.lit(s).cast("timestamp")
+    picks = top_k(V.predictions(spark, sf), ["date"], [F.desc("pred_proba"), "ticker"], 3).select("date", F.lit("base").alias("variant"), "rank", "ticker")
+    first = picks.withColumns({"_inserted_at": at("2024-01-01"), "_updated_at": at("2024-01-01")})
+    again = picks.filter("rank = 1").withColumn("ticker", F.concat("ticker", F.lit("!")))
+    out = upsert(first, again, ["date", "variant", "rank"], at("2024-02-01"))
+    return out.select(day().alias("date"), "variant", "rank", "ticker", day("_updated_at").alias("logged"))

@@ -253,3 +253,23 @@ def j18_conditional_lift(spark, sf):
     p = V.panel(spark, sf).withColumn("won", X.flag(F.col("total_net_buy") > 0))
     return shown(aggs.conditional_lift(p, "broker", "won", 50), "broker", "n", "rate", "lift", "wilson_low")
 
+
+
+@query("v_daily", f"""WITH m AS (SELECT *, {stat('avg', 'close', 5)} AS m, {stat('stddev_samp', 'close', 5)} AS s FROM v_daily), l AS (SELECT *, lag(close) OVER ({TICKER}) AS lc, lag(m) OVER ({TICKER}) AS lm, lag(s) OVER ({TICKER}) AS ls FROM m)
+  SELECT date::VARCHAR AS date, ticker, {r('CASE WHEN ls <> 0 AND lm IS NOT NULL THEN least(greatest((lc - lm) / ls, -10), 10) END AS close_rez_5', 'lc / nullif(lm, 0) AS close_revelocity_5', n=5)} FROM l""")
+def e7_rezscore(spark, sf):
+    return shown(W.rezscore(V.daily(spark, sf), "close", 5, ["ticker"]), "date", "ticker", "close_rez_5", "close_revelocity_5", digits=5)
+
+
+@query("v_hourly", f"""WITH d AS (SELECT date, ticker, close / nullif(open, 0) - 1 AS open_ret, (high - low) / nullif(open, 0) AS open_range FROM (SELECT *, row_number() OVER (PARTITION BY ticker, date ORDER BY ts) AS rn FROM v_hourly WHERE hour = 9) WHERE rn = 1)
+  SELECT date::VARCHAR AS date, ticker, {r('open_ret', 'open_range', f'avg(open_ret) {upto(20)} AS open_ret_ma', f'stddev_samp(open_ret) {upto(20)} AS open_ret_std', f'avg((open_ret >= 0.02)::INT) {upto(20)} AS open_rise_rate', f'avg(open_range) {upto(20)} AS open_range_ma', f'lag(open_ret) OVER ({TICKER}) AS open_ret_prev', n=5)} FROM d""")
+def e19_opening_history(spark, sf):
+    h = W.opening_history(V.hourly(spark, sf), "hour", 9, "ts")
+    return shown(h, "date", "ticker", "open_ret", "open_range", "open_ret_ma", "open_ret_std", "open_rise_rate", "open_range_ma", "open_ret_prev", digits=5)
+
+
+@query("v_hourly", f"""WITH d AS (SELECT date, ticker, sum(volume) AS day_volume, sum(volume) FILTER (hour = 14) AS l, avg(volume) FILTER (hour < 14) AS e FROM v_hourly GROUP BY ALL)
+  SELECT date::VARCHAR AS date, ticker, {r('day_volume', f"{stat('avg', 'day_volume', 20, 10)} AS volume_ma", f"day_volume / nullif({stat('avg', 'day_volume', 20, 10)}, 0) AS relative_volume", 'l / nullif(e, 0) AS last_hour_surge', n=5)} FROM d""")
+def e26_volume_family(spark, sf):
+    v = W.volume_family(V.hourly(spark, sf), "hour", 14)
+    return shown(v, "date", "ticker", "day_volume", "volume_ma", "relative_volume", "last_hour_surge", digits=5)
