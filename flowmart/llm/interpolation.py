@@ -5,31 +5,37 @@ with weights that depend on how frequent the predecessor is. The weights are lea
 the counts of a tenth of the training documents that is held back from the estimates; for scoring, the estimates use
 all training documents.
 
-Words with a share of at least COMMON of all training tokens, and pairs with a share of at least PAIR, are at most
-1 / COMMON and 1 / PAIR by that definition: those are broadcast. Pairs below that share aren't used as estimates. The
-counts of all other words stay in a table, with which the documents' rare words are joined.
+All words and all pairs count, however rare. Documents are read once into blocks of about BLOCK tokens. Each block
+sends every word and pair it holds once, with its counts, to the range of hashes that it falls in; there they are
+summed, and the sums go back to the block in the same order. So a frequent word costs a range one entry a block, and
+neither a task nor the driver holds more than a block, a range, or the cells of the mixture.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, StructField, StructType
 
-from flowmart.llm.common import crc_fold, map_texts, stored, table
+from flowmart.llm.common import crc_fold, stored, table
 
-COMMON, PAIR = 3e-7, 1e-6
 END = b"\n"  # no word holds it
 KEPT, HELD, OTHER = 0, 1, 2
-FLUSH_WORDS, FLUSH_PAIRS, CACHE = 400_000, 4_000_000, 400_000
-#: Texts that are looked up together. Each ends with its own end token, so they can follow one another.
-TOGETHER = 64
-BUCKETS, Q2, Q1 = 24, 48, 64
+#: Tokens of a block, and about how many words and pairs of all blocks meet in one range of hashes.
+BLOCK, RANGE = 1_000_000, 1_000_000
+#: Buckets of predecessors by the binary logarithm of their count (0: never seen), and steps of both estimates.
+BUCKETS, STEPS = 48, 64
+BLOCK_COLUMNS = "block long, n_tokens long, n_kept long, n_held long, parts binary, sizes binary, words binary, tokens binary"
 
 
 def tokens(text: bytes | None) -> list[bytes]:
@@ -38,205 +44,218 @@ def tokens(text: bytes | None) -> list[bytes]:
     return words
 
 
-def word_hash(word: bytes) -> int:
-    h = xxhash.xxh64_intdigest(word, 8)
-    return h - (1 << 64) if h >> 63 else h
-
-
-def batches_of(columns: list, names: list[str], rows: int = 100_000) -> Iterator[pa.RecordBatch]:
-    made = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
-    for i in range(0, made.num_rows, rows):
-        yield made.slice(i, rows)
-
-
-def count_words(docs: DataFrame) -> DataFrame:
-    """h, kept, held: how often each word stands in the two parts of the training documents (part, text)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = (Counter(), Counter())
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for part, c in enumerate(counts):
-                h, n = [word_hash(w) for w in c], list(c.values())
-                yield from batches_of([h, *([n, [0] * len(n)][:: 1 if part == KEPT else -1])], ["h", "kept", "held"])
-                c.clear()
-
-        for b in batches:
-            for part, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                counts[part].update(tokens(text.as_py()))
-                if len(counts[KEPT]) + len(counts[HELD]) > FLUSH_WORDS:
-                    yield from flush()
-        yield from flush()
-
-    rows = docs.filter(F.col("part") != OTHER).select("part", F.col("text").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "h long, kept long, held long").groupBy("h").agg(F.sum("kept").alias("kept"), F.sum("held").alias("held"))
+class Numbers(dict):
+    """Word -> its number in the block, in the order seen."""
 
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
 
-class Lexicon:
-    """The common words: hashes in order, counts, and the number of each word seen (-1 for the others)."""
 
-    def __init__(self, h: np.ndarray, kept: np.ndarray, held: np.ndarray, n: int, n_kept: int, distinct: int):
-        order = np.argsort(h)
-        self.h, self.kept, self.held = h[order], kept[order].astype(np.float64), held[order].astype(np.float64)
-        self.n, self.n_kept, self.distinct, self.cache = n, max(n_kept, 1), distinct, None
-        self.total = self.kept + self.held
-        self.pairs_with = self.total >= PAIR * n
+class Block:
+    def __init__(self):
+        self.ids, self.texts, self.parts, self.picked, self.rows, self.size = Numbers(), [], [], [], [], 0
 
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"cache": None}
+    def add(self, text: bytes | None, part: int, row: int) -> None:
+        words = tokens(text)
+        self.texts.append(np.fromiter(map(self.ids.__getitem__, words), np.int32, len(words)))
+        self.parts.append(part)
+        self.picked.append(row)
+        self.size += len(words)
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        if self.cache is None:
-            self.cache = Numbers(self.h)
-        return np.fromiter(map(self.cache.__getitem__, words), np.int64, len(words))
+    def take(self, own: pa.StructArray) -> None:
+        """Keeps the rows picked from this batch."""
+        if self.picked:
+            self.rows.append(own.take(pa.array(self.picked)))
+            self.picked = []
 
+    def columns(self, number: int) -> list:
+        sizes, parts = np.array([len(x) for x in self.texts], np.int64), np.array(self.parts, np.uint8)
+        words = np.fromiter((xxhash.xxh64_intdigest(w, 8) for w in self.ids), np.uint64, len(self.ids))
+        n = [int(sizes[parts == k].sum()) for k in (KEPT, HELD)]
+        return [number, self.size, *n, parts.tobytes(), sizes.tobytes(), words.tobytes(), np.concatenate(self.texts).tobytes()]
 
-class Numbers(dict):
-    def __init__(self, h: np.ndarray):
-        super().__init__()
-        self.h = h
-
-    def __missing__(self, word: bytes) -> int:
-        x = word_hash(word)
-        i = int(np.searchsorted(self.h, x))
-        i = i if i < len(self.h) and self.h[i] == x else -1
-        if len(self) < CACHE:
-            self[word] = i
-        return i
 
+def blocks_of(docs: DataFrame, own: list[str]) -> DataFrame:
+    """BLOCK_COLUMNS and docs, an array of the columns `own`, of docs (part, text): a row for each block. Blocks of
+    odd number hold the documents held back, those of even number all others."""
+    rows = docs.select(F.struct(*own).alias("own"), "part", F.col("text").cast("binary").alias("text"))
+    schema = StructType([*StructType.fromDDL(BLOCK_COLUMNS).fields, StructField("docs", ArrayType(rows.schema["own"].dataType))])
+    arrow, most = to_arrow_schema(schema), BLOCK
 
-def contexts(numbers: np.ndarray, end: int) -> np.ndarray:
-    """The predecessors; that of the first word is the end of a text."""
-    return np.concatenate(([end], numbers[:-1]))
-
-
-def count_pairs(docs: DataFrame, shared) -> DataFrame:
-    """key (number of the predecessor times the lexicon's length, plus that of the word), kept, held; pairs that are frequent enough only.
-    A pair is no more frequent than its words, so only words that are as frequent are paired."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, number = [Block(), Block()], TaskContext.get().partitionId() << 32
+
+        def flush(held: int) -> pa.RecordBatch:
+            nonlocal number
+            b, made[held] = made[held], Block()
+            number += 2
+            kept = pa.concat_arrays(b.rows)
+            docs = pa.ListArray.from_arrays(pa.array([0, len(kept)], pa.int32()), kept)
+            return pa.RecordBatch.from_arrays([*(pa.array([x], arrow.field(i).type) for i, x in enumerate(b.columns(number + held))), docs], names=arrow.names)
+
+        for batch in batches:
+            structs, parts, texts = batch.column(0), batch.column(1).to_pylist(), batch.column(2)
+            for i, part in enumerate(parts):
+                held = int(part == HELD)
+                made[held].add(texts[i].as_py(), part, i)
+                if made[held].size >= most:
+                    made[held].take(structs)
+                    yield flush(held)
+            for b in made:
+                b.take(structs)
+        for held in (0, 1):
+            if made[held].size:
+                yield flush(held)
+
+    return rows.mapInArrow(run, schema)
+
+
+class Keys(NamedTuple):
+    """Of a block: its token numbers and their predecessors', each token's place among the distinct pairs, the hashes
+    of all words (even) and then all pairs (odd) in ascending order, and where each stood before."""
+
+    tokens: np.ndarray
+    before: np.ndarray
+    pair: np.ndarray
+    key: np.ndarray
+    order: np.ndarray
+    n_words: int
+
+
+def keys_of(words: bytes, numbers: bytes, sizes: np.ndarray) -> Keys:
+    """The predecessor of a text's first word is the end of a text."""
+    h, w = np.frombuffer(words, np.uint64), np.frombuffer(numbers, np.int32)
+    v = np.empty_like(w)
+    v[1:] = w[:-1]
+    v[np.cumsum(sizes) - sizes] = w[-1]
+    code, pair = np.unique(v.astype(np.int64) * len(h) + w, return_inverse=True)
+    x = h[code // len(h)] * np.uint64(0x9E3779B97F4A7C15) + h[code % len(h)]
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    key = np.concatenate((h & ~np.uint64(1), (x ^ (x >> np.uint64(32))) | np.uint64(1)))
+    order = np.argsort(key)
+    return Keys(w, v, pair, key[order], order, len(h))
+
+
+def sent(blocks: DataFrame, bits: int) -> DataFrame:
+    """range, block, keys, kept, held: each block's words and pairs in each of the 2^bits ranges of hashes, with their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lex: Lexicon = shared.value
-        size, end, held, some = len(lex.h), int(lex.numbers([END])[0]), ([], []), 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for part in (KEPT, HELD):
-                if held[part]:
-                    key, n = np.unique(np.concatenate(held[part]), return_counts=True)
-                    yield from batches_of([key, *([n, np.zeros_like(n)][:: 1 if part == KEPT else -1])], ["key", "kept", "held"])
-                    held[part].clear()
-
-        for b in batches:
-            parts, texts = b.column(0).to_pylist(), b.column(1)
-            for at in range(0, len(parts), TOGETHER):
-                words: tuple[list, list] = ([], [])
-                for part, text in zip(parts[at : at + TOGETHER], texts[at : at + TOGETHER], strict=True):
-                    words[part].extend(tokens(text.as_py()))
-                for part in (KEPT, HELD):
-                    w = lex.numbers(words[part])
-                    v = contexts(w, end)
-                    both = (v >= 0) & (w >= 0)
-                    both[both] = lex.pairs_with[v[both]] & lex.pairs_with[w[both]]
-                    held[part].append(v[both] * size + w[both])
-                    some += len(w)
-                if some > FLUSH_PAIRS:
-                    yield from flush()
-                    some = 0
-        yield from flush()
-
-    rows = docs.filter(F.col("part") != OTHER).select("part", F.col("text").cast("binary").alias("text"))
-    sums = rows.mapInArrow(run, "key long, kept long, held long").groupBy("key").agg(F.sum("kept").alias("kept"), F.sum("held").alias("held"))
-    return sums
-
-
-class Interpolated:
-    """Pairs in order of key, and the mixture weights of each bucket of predecessors (pair, word, any)."""
-
-    def __init__(self, lex: Lexicon, key: np.ndarray, kept: np.ndarray, held: np.ndarray):
-        order = np.argsort(key)
-        self.lex, self.key, self.kept, self.total = lex, key[order], kept[order].astype(float), (kept + held)[order].astype(float)
-        size = max(len(lex.h), 1)
-        self.after_kept = np.bincount(self.key // size, self.kept, size)
-        self.after = np.bincount(self.key // size, self.total, size)
-        share = self.after / max(lex.n, 1)
-        self.bucket = np.where(share > 0, np.clip(np.floor(np.log2(np.maximum(share, 1e-12))) + BUCKETS - 1, 1, BUCKETS - 1), 0).astype(np.int64)
-        self.weights = np.tile([0.4, 0.5, 0.1], (BUCKETS, 1))
-        self.weights[0] = [0, 0.9, 0.1]
-        self.any = 1 / (lex.distinct + 1)
-
-    def estimates(self, words: list[bytes], part: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Numbers, buckets of the predecessors, pair estimates, word estimates; by the kept part only if part is KEPT."""
-        lex, size = self.lex, len(self.lex.h)
-        w = lex.numbers(words)
-        if not size:
-            return w, np.zeros(len(w), np.int64), np.zeros(len(w)), np.zeros(len(w))
-        v = contexts(w, int(lex.numbers([END])[0]))
-        b = np.where(v >= 0, self.bucket[np.maximum(v, 0)], 0)
-        k = v * size + w
-        i = np.minimum(np.searchsorted(self.key, k), max(len(self.key) - 1, 0))
-        hit = (v >= 0) & (w >= 0) & (self.key[i] == k) if len(self.key) else np.zeros(len(w), bool)
-        pairs, after = (self.kept, self.after_kept) if part == KEPT else (self.total, self.after)
-        f2 = np.zeros(len(w))
-        f2[hit] = pairs[i[hit]] / np.maximum(after[v[hit]], 1)
-        f1 = np.where(w >= 0, (lex.kept / lex.n_kept if part == KEPT else lex.total / max(lex.n, 1))[np.maximum(w, 0)], 0)
-        return w, b, f2, f1
-
-    def learn(self, cells: list[tuple[int, int]], rare: list[tuple[float, int]], rounds: int = 60) -> None:
-        """cells: (bucket, pair and word estimates on a log scale) and how often; rare: estimates of the words outside the lexicon, how often."""
-        rare = rare or [(0.0, 1)]
-        total = sum(n for _, n in rare)
-        rows: list[tuple[int, float, float, float]] = []
-        for cell, n in cells:
-            b, q2, q1 = cell // (Q2 * Q1), cell // Q1 % Q2, cell % Q1
-            f2 = 2.0 ** (-(q2 - 1) / 2) if q2 else 0.0
-            rows += [(b, f2, f1, n * m / total) for f1, m in rare] if q1 == Q1 - 1 else [(b, f2, 2.0 ** (-(q1 - 1) / 2) if q1 else 0.0, n)]
-        if not rows:
-            return
-        x = np.array(rows)
-        b, n = x[:, 0].astype(int), x[:, 3]
-        f = np.stack([x[:, 1], x[:, 2], np.full(len(x), self.any)], axis=1)
-        for _ in range(rounds):
-            p = self.weights[b] * f
-            p *= (n / p.sum(1))[:, None]
-            new = np.stack([np.bincount(b, p[:, k], BUCKETS) for k in range(3)], axis=1) + self.weights * 1.0
-            new[0, 0] = 0
-            self.weights = new / new.sum(1, keepdims=True)
-
-
-def log_cells(w: np.ndarray, b: np.ndarray, f2: np.ndarray, f1: np.ndarray) -> np.ndarray:
-    """Bucket and both estimates as one number: 0 for an estimate of 0, else 1 and up, by half powers of two; the
-    last number of the word estimate stands for words outside the lexicon."""
-    q = lambda f, most: np.where(f > 0, np.clip(np.round(-2 * np.log2(np.maximum(f, 1e-30))) + 1, 1, most), 0).astype(np.int64)
-    return (b * Q2 + q(f2, Q2 - 1)) * Q1 + np.where(w < 0, Q1 - 1, q(f1, Q1 - 2))
-
-
-def fit(docs: DataFrame) -> tuple[Interpolated, DataFrame]:
-    """The model of docs (part, text), and the table of all words' counts."""
-    sc = docs.sparkSession.sparkContext
-    words = stored(count_words(docs), "words")
-    n_kept, n_held, distinct = words.agg(F.sum("kept"), F.sum("held"), F.count("*")).first()
-    n_kept, n = n_kept or 0, (n_kept or 0) + (n_held or 0)
-    end = word_hash(END)
-    is_common = (F.col("kept") + F.col("held") >= COMMON * n) | (F.col("h") == end)
-    got = words.filter(is_common).toArrow()
-    lex = Lexicon(*(got.column(c).to_numpy() for c in ("h", "kept", "held")), n, n_kept, distinct)
-    shared = sc.broadcast(lex)
-    got = count_pairs(docs, shared).filter(F.col("kept") + F.col("held") >= PAIR * n).toArrow()
-    model = Interpolated(lex, *(got.column(c).to_numpy() for c in ("key", "kept", "held")))
-    held = docs.filter(F.col("part") == HELD).select("text")
-    plan = sc.broadcast(model)
-
-    def cells(texts: list[bytes | None]) -> list:
-        words = [w for t in texts for w in tokens(t)]
-        c, n = np.unique(log_cells(*plan.value.estimates(words, KEPT)), return_counts=True)
-        rest = [[]] * (len(texts) - 1)
-        return [[c.tolist(), *rest], [n.tolist(), *rest]]
-
-    sums = map_texts(held, cells, "cell array<long>, n array<long>", []).select(F.explode(F.arrays_zip("cell", "n")).alias("x"))
-    found = [(r.cell, r.n) for r in sums.groupBy("x.cell").agg(F.sum("x.n").alias("n")).collect()]
-    size = F.when(F.col("kept") > 0, F.round(2 * F.log2("kept")))
-    rare = words.filter(~is_common & (F.col("held") > 0)).groupBy(size.alias("q")).agg(F.sum("held").alias("n")).collect()
-    model.learn(found, [(2.0 ** (r.q / 2) / lex.n_kept if r.q is not None else 0.0, r.n) for r in rare])
-    return model, words
+        for batch in batches:
+            for r in batch.to_pylist():
+                sizes = np.frombuffer(r["sizes"], np.int64)
+                k = keys_of(r["words"], r["tokens"], sizes)
+                part = np.repeat(np.frombuffer(r["parts"], np.uint8), sizes)
+                n_pairs = len(k.key) - k.n_words
+                counts = []
+                for p in (KEPT, HELD):
+                    of = part == p
+                    both = np.concatenate((np.bincount(k.tokens[of], minlength=k.n_words), np.bincount(k.pair[of], minlength=n_pairs)))
+                    counts.append(both[k.order].astype(np.int32))
+                at = k.key >> np.uint64(64 - bits) if bits else np.zeros_like(k.key)
+                starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+                cuts = list(zip(starts.tolist(), [*starts[1:].tolist(), len(at)], strict=True))
+                columns = [pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary()) for x in (k.key, *counts)]
+                yield pa.RecordBatch.from_arrays([pa.array(at[starts].astype(np.int64)), pa.array([r["block"]] * len(cuts), pa.int64()), *columns], names=["range", "block", "keys", "kept", "held"])
+
+    return blocks.select("block", "parts", "sizes", "words", "tokens").mapInArrow(run, "range long, block long, keys binary, kept binary, held binary")
+
+
+def joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def summed(rows: DataFrame) -> DataFrame:
+    """block, range, kept, held: what sent() sent, with the sums over all blocks; and on one row of each range, how
+    many distinct words the training documents have there."""
+
+    def run(got: pa.Table) -> pa.Table:
+        key, place = np.unique(joined(got["keys"], np.uint64), return_inverse=True)
+        sums = [np.bincount(place, joined(got[c], np.int32), len(key)).astype(np.int64) for c in ("kept", "held")]
+        distinct = int((((key & np.uint64(1)) == 0) & (sums[0] + sums[1] > 0)).sum())
+        ends = np.cumsum([x // 8 for x in pc.binary_length(got["keys"]).to_pylist()]).tolist()
+        back = [pa.array([s[place[a:b]].tobytes() for a, b in zip([0, *ends], ends, strict=False)], pa.binary()) for s in sums]
+        return pa.table([got["block"], got["range"], *back, pa.array([distinct] + [0] * (len(ends) - 1), pa.int64())], names=["block", "range", "kept", "held", "distinct"])
+
+    return rows.groupBy("range").applyInArrow(run, "block long, range long, kept binary, held binary, distinct long")
+
+
+class Looked(NamedTuple):
+    """For each token of a block how often its predecessor, it, and the two together stand in the part counted."""
+
+    before: np.ndarray
+    word: np.ndarray
+    pair: np.ndarray
+    sizes: np.ndarray
+
+
+def looked_up(block: pa.Table, counts: pa.Table, parts: tuple[str, ...]) -> Looked:
+    r = block.select(["words", "tokens", "sizes"]).to_pylist()[0]
+    sizes = np.frombuffer(r["sizes"], np.int64)
+    k = keys_of(r["words"], r["tokens"], sizes)
+    counts = counts.sort_by("range")
+    n = np.empty(len(k.key), np.int64)
+    n[k.order] = sum(joined(counts[c], np.int64) for c in parts)
+    return Looked(n[k.before], n[k.tokens], n[k.n_words :][k.pair], sizes)
+
+
+def estimates(before: np.ndarray, word: np.ndarray, pair: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of the predecessors, pair estimates, word estimates."""
+    bucket = np.minimum(np.frexp(before.astype(np.float64))[1], BUCKETS - 1)
+    return bucket, np.minimum(pair / np.maximum(before, 1), 1.0), word / max(n, 1)
+
+
+def log_cells(bucket: np.ndarray, f2: np.ndarray, f1: np.ndarray) -> np.ndarray:
+    """Bucket and both estimates as one number: 0 for an estimate of 0, else 1 and up, by half powers of two."""
+    q = lambda f: np.where(f > 0, np.clip(np.round(-2 * np.log2(np.maximum(f, 1e-30))) + 1, 1, STEPS - 1), 0).astype(np.int64)
+    return (bucket * STEPS + q(f2)) * STEPS + q(f1)
+
+
+def learn(cells: list[tuple[int, int]], anything: float, rounds: int = 60) -> np.ndarray:
+    """The weights (pair, word, any) of each bucket by expectation-maximisation; cells: those of log_cells(), how often."""
+    weights = np.tile([0.4, 0.5, 0.1], (BUCKETS, 1))
+    weights[0] = [0, 0.9, 0.1]
+    if not cells:
+        return weights
+    cell, n = np.array(cells, np.int64).T
+    b, n = cell // STEPS**2, n.astype(float)
+    value = lambda q: np.where(q > 0, 2.0 ** (-(q - 1) / 2), 0.0)
+    f = np.stack([value(cell // STEPS % STEPS), value(cell % STEPS), np.full(len(cell), anything)], axis=1)
+    for _ in range(rounds):
+        p = weights[b] * f
+        p *= (n / p.sum(1))[:, None]
+        new = np.stack([np.bincount(b, p[:, k], BUCKETS) for k in range(3)], axis=1) + weights
+        new[0, 0] = 0
+        weights = new / new.sum(1, keepdims=True)
+    return weights
+
+
+class Model(NamedTuple):
+    """Tables of blocks and of their summed counts; tokens and distinct words of the training documents; weights."""
+
+    blocks: DataFrame
+    counts: DataFrame
+    n: int
+    distinct: int
+    weights: np.ndarray
+
+
+def fit(docs: DataFrame, own: list[str]) -> Model:
+    """The model of docs (part, text), which also holds the blocks of all docs with their columns `own`."""
+    blocks = stored(blocks_of(docs, own), "blocks")
+    n_all, n_kept, n_held = (x or 0 for x in blocks.agg(F.sum("n_tokens"), F.sum("n_kept"), F.sum("n_held")).first())
+    counts = stored(summed(sent(blocks, max(0, math.ceil(math.log2(max(n_all, 1) / RANGE))))), "counts")
+    distinct = counts.agg(F.sum("distinct")).first()[0] or 0
+
+    def cells(block: pa.Table, sums: pa.Table) -> pa.Table:
+        x = looked_up(block, sums, ("kept",))
+        c, n = np.unique(log_cells(*estimates(x.before, x.word, x.pair, n_kept)), return_counts=True)
+        return pa.table([pa.array(c, pa.int64()), pa.array(n, pa.int64())], names=["cell", "n"])
+
+    odd = "block % 2 = 1"
+    held = blocks.filter(odd).select("block", "sizes", "words", "tokens").groupBy("block").cogroup(counts.filter(odd).select("block", "range", "kept").groupBy("block"))
+    found = held.applyInArrow(cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    return Model(blocks, counts, n_kept + n_held, distinct, learn([(r.cell, r.n) for r in found], 1 / (distinct + 1)))
 
 
 def log_score(docs: DataFrame, part: Column) -> DataFrame:
@@ -248,45 +267,24 @@ def log_score(docs: DataFrame, part: Column) -> DataFrame:
     gives an empty result.
     """
     added = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
-    own = [c for c in docs.columns if c not in (*added, "text", "part", "_row", "_h", "_b")]
-    docs = docs.withColumn("part", part)
-    model, words = fit(docs)
-    lex = model.lex
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(texts: list[bytes | None]) -> list:
-        m: Interpolated = shared.value
-        words, size = [], []
-        for t in texts:
-            own_words = tokens(t)
-            words += own_words
-            size.append(len(own_words))
-        size = np.array(size)
-        begin = np.cumsum(size) - size
-        w, b, f2, f1 = m.estimates(words)
-        there = w >= 0
-        p = m.weights[b]
-        base = np.where(there, np.log10((m.lex.total[np.maximum(w, 0)] + 1) / (m.lex.n + m.lex.distinct + 1)) if len(m.lex.h) else 0.0, 0.0)
-        score = np.where(there, np.log10(p[:, 0] * f2 + p[:, 1] * f1 + p[:, 2] * m.any), 0.0)
-        rare = np.flatnonzero(~there)
-        known = np.add.reduceat(there.astype(np.int64), begin)
-        ends = pa.array(np.concatenate(([0], np.cumsum(size - known))), pa.int32())
-        lists = [pa.ListArray.from_arrays(ends, pa.array(x, pa.int64())) for x in ([word_hash(words[i]) for i in rare.tolist()], b[rare])]
-        return [size, known, np.add.reduceat(base, begin), np.add.reduceat(score, begin), *lists]
-
-    columns = "n_tokens long, n_known long, base_score double, score double, _h array<long>, _b array<long>"
-    own_id = docs.select(*own, "text").withColumn("_row", F.monotonically_increasing_id())
-    first = stored(map_texts(own_id, run, columns, [*own, "_row"]), "scored")
-    rare = first.select("_row", F.explode(F.arrays_zip("_h", "_b")).alias("x")).select("_row", F.col("x._h").alias("h"), F.col("x._b").alias("b"))
-    met = rare.join(words.select("h", (F.col("kept") + F.col("held")).alias("c")), "h", "left").withColumn("c", F.coalesce("c", F.lit(0)))
-    weight = lambda k: F.element_at(F.array(*[F.lit(float(x)) for x in model.weights[:, k]]), (F.col("b") + 1).cast("int"))
-    p = weight(1) * F.col("c") / max(lex.n, 1) + weight(2) * model.any
-    sums = met.groupBy("_row").agg(
-        F.sum((F.col("c") > 0).cast("long")).alias("_k"), F.sum(F.log10((F.col("c") + 1) / F.lit(float(lex.n + lex.distinct + 1)))).alias("_base"), F.sum(F.log10(p)).alias("_score")
-    )
-    out = first.drop("_h", "_b").join(sums, "_row", "left")
-    total = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0))
-    return out.select(*own, "n_tokens", total("n_known", "_k").alias("n_known"), F.lit(lex.n).cast("long").alias("train_tokens"), total("base_score", "_base").alias("base_score"), total("score", "_score").alias("score"))
+    own = [c for c in docs.columns if c not in (*added, "text", "part")]
+    model = fit(docs.withColumn("part", part.cast("int")), own)
+    n, distinct, weights = model.n, model.distinct, model.weights
+    new = StructType.fromDDL("n_tokens long, n_known long, train_tokens long, base_score double, score double").fields
+    schema = StructType([docs.schema[c] for c in own] + new)
+    names = schema.names
+
+    def run(block: pa.Table, sums: pa.Table) -> pa.Table:
+        x = looked_up(block, sums, ("kept", "held"))
+        begin = np.cumsum(x.sizes) - x.sizes
+        b, f2, f1 = estimates(x.before, x.word, x.pair, n)
+        p = weights[b, 0] * f2 + weights[b, 1] * f1 + weights[b, 2] / (distinct + 1)
+        base = np.log10((x.word + 1) / (n + distinct + 1))
+        made = [x.sizes, np.add.reduceat((x.word > 0).astype(np.int64), begin), np.full(len(begin), n), np.add.reduceat(base, begin), np.add.reduceat(np.log10(p), begin)]
+        return pa.table([*block["docs"].combine_chunks().flatten().flatten(), *map(pa.array, made)], names=names)
+
+    left = model.blocks.select("block", "sizes", "words", "tokens", "docs").groupBy("block")
+    return left.cogroup(model.counts.select("block", "range", "kept", "held").groupBy("block")).applyInArrow(run, schema)
 
 
 def op8_deleted_interpolation(spark, sf_dir: str) -> DataFrame:

@@ -348,24 +348,32 @@ def test_interpolation(spark, docs, none):
     assert interpolation.log_score(none, part).count() == 0
 
 
-def test_interpolation_with_rare_words(spark, docs, monkeypatch):
-    """With few words in the lexicon the table of rare words must give the same sums, and the estimates still add up to 1."""
+def test_interpolation_brute(spark, docs, monkeypatch):
+    """Over blocks of a few tokens and ranges of a few hashes, the scores are those of all words' and pairs' counts, and the estimates add up to 1."""
     part = F.when(F.col("doc_id") % 5 == 0, interpolation.HELD).otherwise(interpolation.KEPT)
-    by = lambda rows: sorted((r.doc_id or -1, r.n_known, round(r.base_score, 6)) for r in rows)
-    want = by(interpolation.log_score(docs, part).collect())
-    monkeypatch.setattr(interpolation, "COMMON", 5e-2)
-    monkeypatch.setattr(interpolation, "PAIR", 6e-2)
-    got = interpolation.log_score(docs, part).collect()
-    assert by(got) == want and all(r.score < 0 for r in got)
-
-
-def test_estimates_sum_to_one(spark, docs):
-    model, words = interpolation.fit(docs.withColumn("part", F.lit(interpolation.KEPT)))
-    vocabulary = sorted({w for r in docs.collect() for w in interpolation.tokens((r.text or "").encode())})
-    for context in vocabulary[:5]:
-        total = 0.0
-        for w in vocabulary:
-            _, b, f2, f1 = model.estimates([context, w])
-            total += float(model.weights[b[1]] @ [f2[1], f1[1], model.any])
-        spare = float(model.weights[b[1], 2]) * model.any
-        assert total + spare == pytest.approx(1, abs=1e-6)
+    rows = docs.collect()
+    toks = lambda t: [*(t or "").encode().lower().split(), b"\n"]
+    pairs = collections.Counter(p for r in rows for w in [toks(r.text)] for p in zip([b"\n", *w], w, strict=False))
+    words = collections.Counter(w for r in rows for w in toks(r.text))
+    n, v = sum(words.values()), len(words)
+    monkeypatch.setattr(interpolation, "BLOCK", 50)
+    monkeypatch.setattr(interpolation, "RANGE", 20)
+    model = interpolation.fit(docs.withColumn("part", part), ["doc_id"])
+    assert (model.n, model.distinct) == (n, v) and model.blocks.count() > 3
+
+    def estimate(a, b):
+        x = model.weights[words[a].bit_length()]
+        return x[0] * pairs[a, b] / words[a] + x[1] * words[b] / n + x[2] / (v + 1)
+
+    score = lambda t: round(sum(math.log10(estimate(a, b)) for a, b in zip([b"\n", *toks(t)], toks(t), strict=False)), 6)
+    got = collections.Counter((r.doc_id, round(r.score, 6)) for r in interpolation.log_score(docs, part).collect())
+    assert got == collections.Counter((r.doc_id, score(r.text)) for r in rows)
+    for a in sorted(words)[:5]:
+        assert sum(estimate(a, b) for b in words) + model.weights[words[a].bit_length(), 2] / (v + 1) == pytest.approx(1, abs=1e-6)
+
+
+def test_interpolation_learns_weights():
+    """With pairs that always hold, the weight goes to them; with pairs never seen, to the words."""
+    sure, never = interpolation.log_cells(np.array([3, 4]), np.array([1.0, 0.0]), np.array([0.01, 0.25])).tolist()
+    weights = interpolation.learn([(sure, 1000), (never, 1000)], 1e-4)
+    assert weights[3, 0] > 0.95 and weights[4, 1] > 0.95 and np.allclose(weights.sum(1), 1)
