@@ -44,6 +44,16 @@ def tokens(text: bytes | None) -> list[bytes]:
     return words
 
 
+def packed(x: np.ndarray) -> bytes:
+    """The lowest bytes of all numbers, then the next ones, and so on: small or sorted numbers compress well so."""
+    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
 class Numbers(dict):
     """Word -> its number in the block, in the order seen."""
 
@@ -73,7 +83,7 @@ class Block:
         sizes, parts = np.array([len(x) for x in self.texts], np.int64), np.array(self.parts, np.uint8)
         words = np.fromiter((xxhash.xxh64_intdigest(w, 8) for w in self.ids), np.uint64, len(self.ids))
         n = [int(sizes[parts == k].sum()) for k in (KEPT, HELD)]
-        return [number, self.size, *n, parts.tobytes(), sizes.tobytes(), words.tobytes(), np.concatenate(self.texts).tobytes()]
+        return [number, self.size, *n, parts.tobytes(), sizes.tobytes(), words.tobytes(), packed(np.concatenate(self.texts))]
 
 
 def blocks_of(docs: DataFrame, own: list[str]) -> DataFrame:
@@ -125,7 +135,7 @@ class Keys(NamedTuple):
 
 def keys_of(words: bytes, numbers: bytes, sizes: np.ndarray) -> Keys:
     """The predecessor of a text's first word is the end of a text."""
-    h, w = np.frombuffer(words, np.uint64), np.frombuffer(numbers, np.int32)
+    h, w = np.frombuffer(words, np.uint64), unpacked(numbers, np.int32)
     v = np.empty_like(w)
     v[1:] = w[:-1]
     v[np.cumsum(sizes) - sizes] = w[-1]
@@ -142,7 +152,8 @@ def sent(blocks: DataFrame, bits: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
+            for i in range(batch.num_rows):
+                r = batch.slice(i, 1).to_pylist()[0]
                 sizes = np.frombuffer(r["sizes"], np.int64)
                 k = keys_of(r["words"], r["tokens"], sizes)
                 part = np.repeat(np.frombuffer(r["parts"], np.uint8), sizes)
@@ -155,29 +166,32 @@ def sent(blocks: DataFrame, bits: int) -> DataFrame:
                 at = k.key >> np.uint64(64 - bits) if bits else np.zeros_like(k.key)
                 starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
                 cuts = list(zip(starts.tolist(), [*starts[1:].tolist(), len(at)], strict=True))
-                columns = [pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary()) for x in (k.key, *counts)]
+                columns = [pa.array([packed(x[a:b]) for a, b in cuts], pa.binary()) for x in (k.key, *counts)]
                 yield pa.RecordBatch.from_arrays([pa.array(at[starts].astype(np.int64)), pa.array([r["block"]] * len(cuts), pa.int64()), *columns], names=["range", "block", "keys", "kept", "held"])
 
     return blocks.select("block", "parts", "sizes", "words", "tokens").mapInArrow(run, "range long, block long, keys binary, kept binary, held binary")
 
 
 def joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind)
+    return np.concatenate([unpacked(x, kind) for x in column.to_pylist()])
 
 
 def summed(rows: DataFrame) -> DataFrame:
-    """block, range, kept, held: what sent() sent, with the sums over all blocks; and on one row of each range, how
-    many distinct words the training documents have there."""
+    """block, range, total, kept: what sent() sent, with the sums over all blocks: of all training documents, and for
+    blocks held back also of those kept; and on one row of each range, how many distinct words training documents have
+    there."""
 
     def run(got: pa.Table) -> pa.Table:
         key, place = np.unique(joined(got["keys"], np.uint64), return_inverse=True)
-        sums = [np.bincount(place, joined(got[c], np.int32), len(key)).astype(np.int64) for c in ("kept", "held")]
-        distinct = int((((key & np.uint64(1)) == 0) & (sums[0] + sums[1] > 0)).sum())
+        kept, held = (np.bincount(place, joined(got[c], np.int32), len(key)).astype(np.int64) for c in ("kept", "held"))
+        total = kept + held
+        distinct = int((((key & np.uint64(1)) == 0) & (total > 0)).sum())
         ends = np.cumsum([x // 8 for x in pc.binary_length(got["keys"]).to_pylist()]).tolist()
-        back = [pa.array([s[place[a:b]].tobytes() for a, b in zip([0, *ends], ends, strict=False)], pa.binary()) for s in sums]
-        return pa.table([got["block"], got["range"], *back, pa.array([distinct] + [0] * (len(ends) - 1), pa.int64())], names=["block", "range", "kept", "held", "distinct"])
+        cuts = list(zip([0, *ends], ends, got["block"].to_pylist(), strict=False))
+        sums = [packed(total[place[a:b]]) for a, b, _ in cuts], [packed(kept[place[a:b]]) if block % 2 else None for a, b, block in cuts]
+        return pa.table([got["block"], got["range"], *(pa.array(x, pa.binary()) for x in sums), pa.array([distinct] + [0] * (len(ends) - 1), pa.int64())], names=["block", "range", "total", "kept", "distinct"])
 
-    return rows.groupBy("range").applyInArrow(run, "block long, range long, kept binary, held binary, distinct long")
+    return rows.groupBy("range").applyInArrow(run, "block long, range long, total binary, kept binary, distinct long")
 
 
 class Looked(NamedTuple):
@@ -189,13 +203,13 @@ class Looked(NamedTuple):
     sizes: np.ndarray
 
 
-def looked_up(block: pa.Table, counts: pa.Table, parts: tuple[str, ...]) -> Looked:
+def looked_up(block: pa.Table, counts: pa.Table, part: str) -> Looked:
     r = block.select(["words", "tokens", "sizes"]).to_pylist()[0]
     sizes = np.frombuffer(r["sizes"], np.int64)
     k = keys_of(r["words"], r["tokens"], sizes)
     counts = counts.sort_by("range")
     n = np.empty(len(k.key), np.int64)
-    n[k.order] = sum(joined(counts[c], np.int64) for c in parts)
+    n[k.order] = joined(counts[part], np.int64)
     return Looked(n[k.before], n[k.tokens], n[k.n_words :][k.pair], sizes)
 
 
@@ -248,7 +262,7 @@ def fit(docs: DataFrame, own: list[str]) -> Model:
     distinct = counts.agg(F.sum("distinct")).first()[0] or 0
 
     def cells(block: pa.Table, sums: pa.Table) -> pa.Table:
-        x = looked_up(block, sums, ("kept",))
+        x = looked_up(block, sums, "kept")
         c, n = np.unique(log_cells(*estimates(x.before, x.word, x.pair, n_kept)), return_counts=True)
         return pa.table([pa.array(c, pa.int64()), pa.array(n, pa.int64())], names=["cell", "n"])
 
@@ -275,7 +289,7 @@ def log_score(docs: DataFrame, part: Column) -> DataFrame:
     names = schema.names
 
     def run(block: pa.Table, sums: pa.Table) -> pa.Table:
-        x = looked_up(block, sums, ("kept", "held"))
+        x = looked_up(block, sums, "total")
         begin = np.cumsum(x.sizes) - x.sizes
         b, f2, f1 = estimates(x.before, x.word, x.pair, n)
         p = weights[b, 0] * f2 + weights[b, 1] * f1 + weights[b, 2] / (distinct + 1)
@@ -284,7 +298,7 @@ def log_score(docs: DataFrame, part: Column) -> DataFrame:
         return pa.table([*block["docs"].combine_chunks().flatten().flatten(), *map(pa.array, made)], names=names)
 
     left = model.blocks.select("block", "sizes", "words", "tokens", "docs").groupBy("block")
-    return left.cogroup(model.counts.select("block", "range", "kept", "held").groupBy("block")).applyInArrow(run, schema)
+    return left.cogroup(model.counts.select("block", "range", "total").groupBy("block")).applyInArrow(run, schema)
 
 
 def op8_deleted_interpolation(spark, sf_dir: str) -> DataFrame:
