@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from flowmart.functions import exprs as X
 from flowmart.operators import checks
 from flowmart.operators import joins as J
+from flowmart.operators import modules
 from flowmart.plans import views as V
 from flowmart.plans.catalog import day, query, r, rd, shown
 from flowmart.sources import readers as R
@@ -169,4 +170,40 @@ def n6_freshness(spark, sf):
     return checks.freshness(V.panel(spark, sf), "date", "broker", F.lit("2030-01-01").cast("date"), 3000, 10).withColumn("latest", day("latest"))
 
 
+@query("v_panel", f"SELECT date::VARCHAR AS date, brkm_broker, ticker, {r('gross_buy AS flow_gross_buy', 'gross_sell AS flow_gross_sell', 'avg_buy_price AS pc_avg_buy_price', n=3)}, buy_freq AS act_buy_freq FROM (SELECT *, broker AS brkm_broker FROM v_panel)")
+def b8_column_families(spark, sf):
+    p = R.column_families(V.panel(spark, sf), {"flow_": ["gross_buy", "gross_sell", "no_such"], "pc_": ["avg_buy_price"], "act_": ["buy_freq"], "brkm_": ["broker"]})
+    return shown(p, "date", "brkm_broker", "ticker", "flow_gross_buy", "flow_gross_sell", "pc_avg_buy_price", "act_buy_freq", digits=3)
+
+
+@query("", """WITH c AS (SELECT date, row_number() OVER (ORDER BY date) AS n FROM (SELECT DISTINCT o_orderdate::DATE AS date FROM orders)),
+  w AS (SELECT unnest(generate_series((SELECT min(date) FROM c), (SELECT max(date) FROM c), INTERVAL 1 DAY))::DATE AS date)
+  SELECT w.date::VARCHAR AS date, n FROM w LEFT JOIN c USING (date) WHERE isodow(w.date) < 6""")
+def g13_calendar(spark, sf):
+    """Weekdays from the first to the last day with orders, numbered where the calendar has them."""
+    d = R.calendar(V.table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("date")))
+    first, last = d.agg(F.min("date"), F.max("date")).first()
+    return R.weekdays(spark, first, last).join(d, "date", "left").select(day().alias("date"), "n")
+
+
+@query("v_daily v_hourly", """SELECT 'daily' AS source, date::VARCHAR AS date, ticker, close, NULL::INT AS hour FROM v_daily UNION ALL SELECT 'hourly', date::VARCHAR, ticker, close, hour::INT FROM v_hourly""")
+def k2_concat(spark, sf):
+    d = V.daily(spark, sf).select(F.lit("daily").alias("source"), "date", "ticker", "close")
+    h = V.hourly(spark, sf).select("hour", "close", "date", "ticker", F.lit("hourly").alias("source"))
+    return J.concat([d, h]).select("source", day().alias("date"), "ticker", "close", "hour")
+
+
+@query("v_daily v_index", f"""WITH m AS (SELECT date, max(close) - min(close) AS index_range FROM v_index GROUP BY date), t AS (SELECT date, ticker, (high - low) / nullif(close, 0) AS bar_range FROM v_daily)
+  SELECT date::VARCHAR AS date, ticker, {r('index_range', 'bar_range', n=4)} FROM v_daily LEFT JOIN t USING (date, ticker) LEFT JOIN m USING (date)""")
+def m4_feature_modules(spark, sf):
+    """Two modules of different grain, each checked and joined to the core rows."""
+    sources = {"daily": V.daily(spark, sf), "index": V.index(spark, sf)}
+    made = [
+        modules.Module("index_range", "market", lambda s: s["index"].groupBy("date").agg((F.max("close") - F.min("close")).alias("index_range"))),
+        modules.Module("bar_range", "ticker", lambda s: s["daily"].select("date", "ticker", X.safe_div(F.col("high") - F.col("low"), "close").alias("bar_range"))),
+    ]
+    out = J.join_modules(sources["daily"].select("date", "ticker"), {m.name: m.run(sources) for m in made})
+    return shown(out, "date", "ticker", "index_range", "bar_range", digits=4)
+
+
 _ = rd

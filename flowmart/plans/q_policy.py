@@ -148,3 +148,18 @@ def h6_log_picks(spark, sf):
     again = picks.filter("rank = 1").withColumn("ticker", F.concat("ticker", F.lit("!")))
     out = upsert(first, again, ["date", "variant", "rank"], at("2024-02-01"))
     return out.select(day().alias("date"), "variant", "rank", "ticker", day("_updated_at").alias("logged"))
+
+
+@query("v_daily", f"""WITH d AS (SELECT date, ticker, close AS entry_price, close * volume AS turnover, close / open - 1 AS day_ret FROM v_daily), x AS (SELECT date, avg(day_ret) AS index_ret FROM d GROUP BY date)
+  SELECT date::VARCHAR AS date, ticker, entry_price FROM d JOIN x USING (date) WHERE entry_price >= 50 AND {SPREAD.format("entry_price")} <= 0.004 AND turnover >= 100000 AND day_ret < 0.5 AND index_ret >= -0.1""")
+def b14_market_filters(spark, sf):
+    d = V.daily(spark, sf).select("date", "ticker", F.col("close").alias("entry_price"), (F.col("close") * F.col("volume")).alias("turnover"), (F.col("close") / F.col("open") - 1).alias("day_ret"))
+    d = d.join(d.groupBy("date").agg(F.avg("day_ret").alias("index_ret")), "date")
+    kept = P.market_filters({"least_price": 50, "most_cost": 0.004, "least_turnover": 1e5, "most_ret": 0.5, "index_floor": -0.1})
+    return d.filter(X.all_of(kept)).select(day().alias("date"), "ticker", "entry_price")
+
+
+@query("v_daily", "SELECT date::VARCHAR AS date, ticker, close::FLOAT::DOUBLE AS close, volume::FLOAT::DOUBLE AS volume FROM v_daily")
+def i7_cast_features(spark, sf):
+    d = L.cast_features(V.daily(spark, sf), ["close", "volume"])
+    return d.select(day().alias("date"), "ticker", *[F.col(c).cast("double").alias(c) for c in ("close", "volume")])

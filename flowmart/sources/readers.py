@@ -94,6 +94,17 @@ def universe(master: DataFrame, ticker: str = "ticker", status: str | None = "st
     return rows.select(normalize_symbol(ticker).alias("ticker")).dropna().distinct()
 
 
+def column_families(df: DataFrame, families: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Puts each family's prefix before the columns listed for it. Columns that df lacks are passed over, those that
+    have the prefix keep their names; a name that is taken is an error."""
+    named = {c: c if c.startswith(prefix) else f"{prefix}{c}" for prefix, cols in families.items() for c in cols if c in df.columns}
+    after = [named.get(c, c) for c in df.columns]
+    twice = sorted({c for c in after if after.count(c) > 1})
+    if twice:
+        raise ValueError(f"names taken: {', '.join(twice)}")
+    return df.withColumnsRenamed(named)
+
+
 def weekdays(spark: SparkSession, first: date, last: date) -> DataFrame:
     days = spark.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("date"))
     return days.filter(~F.dayofweek("date").isin(1, 7))

@@ -204,3 +204,10 @@ def test_no_window_over_a_fact_table(spark):
     out = J.asof_join(left, right, ["k"], "date", ["v"], strict=True)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert one(out, "v") == [(2,)] and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_column_families(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "a int, b int, flow_c int")
+    assert R.column_families(df, {"flow_": ["a", "flow_c", "none"]}).columns == ["flow_a", "b", "flow_c"]
+    with pytest.raises(ValueError, match="taken"):
+        R.column_families(df.withColumn("c", F.lit(1)), {"flow_": ["c"]})
