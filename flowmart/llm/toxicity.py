@@ -102,9 +102,10 @@ class Segments:
         return self.lam * score - self.log_k - float(np.log(max(n, 1)))
 
     def evidence(self, n: int, found: list[tuple[int, int, float]]) -> list[float]:
-        """1, the calibrated best segment, and the sum over the significant ones."""
+        """1, the calibrated best segment, and the sum over the significant ones. Having no segment isn't rarer than chance
+        in a text of any length."""
         over = [self.excess(n, s) for _, _, s in found]
-        best = max(over, default=self.excess(n, 0.0))
+        best = max(over, default=min(self.excess(n, 0.0), 0.0))
         return [1.0, min(max(best, -15.0), 15.0), float(np.log1p(sum(x for x in over if -np.expm1(-np.exp(-x)) < SIGNIFICANT)))]
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
