@@ -28,8 +28,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id; rows without doc_id stay."""
-    copies = simhash.near_duplicates(docs).filter("doc_id != component_id").select(F.col("doc_id").alias("_copy")).distinct()
+    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the document with the smallest doc_id;
+    rows without doc_id stay."""
+    copies = simhash.near_copies(docs).filter("doc_id != component_id").select(F.col("doc_id").alias("_copy")).distinct()
     return docs.join(copies, docs.doc_id == copies["_copy"], "left_anti")
 
 

@@ -102,6 +102,67 @@ def near_duplicates(docs: DataFrame, words_in_shingle: int = 3) -> DataFrame:
     return sig.join(classes, "fp", "left").select("doc_id", "fp", "component_id")
 
 
+def shingle_set(data: bytes | None, words_in_shingle: int = 5) -> np.ndarray:
+    """The distinct XXH64 (seed 42) of all word shingles, in order; a shorter text is one shingle, one without words none."""
+    words = (data or b"").lower().split()
+    k = min(words_in_shingle, len(words))
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(b" ".join(words[i : i + k]), 42) for i in range(len(words) - k + 1)] if words else [], np.uint64))
+
+
+def set_hash(shingles: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), 1)).view(np.int64))
+
+
+def wide_links(nodes: DataFrame, bits: int) -> DataFrame:
+    """Pairs (a < b) of the ids h of rows (fp, h) whose fingerprints differ in at most `bits` bits.
+
+    Of floor(bits / 2) + 1 segments one differs in at most one bit, so the variants are those of links().
+    """
+    cuts = [64 * i // (bits // 2 + 1) for i in range(bits // 2 + 2)]
+    whole = [(1 << hi) - (1 << lo) for lo, hi in zip(cuts, cuts[1:], strict=False)]
+    masks = [next(m for m in whole if m >> i & 1) & ~(1 << i) for i in range(64)] + whole
+    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
+    k = nodes.select("fp", "h", F.posexplode(F.array(*[F.lit(m).cast("long") for m in signed])).alias("k", "mask"))
+    k = k.selectExpr("fp", "h", "k", "fp & mask as v", "if(k < 64, shiftrightunsigned(fp, k) & 1, 2) as side")
+    a = k.filter("side != 1").selectExpr("k", "v", "fp as fa", "h as ha")
+    b = k.filter("side != 0").selectExpr("k", "v", "fp as fb", "h as hb")
+    met = a.join(b, ["k", "v"]).filter(f"bit_count(fa ^ fb) <= {bits} and ha != hb and (k < 64 or fa < fb or k = 64 and fa = fb and ha < hb)")
+    return met.select(F.least("ha", "hb").alias("a"), F.greatest("ha", "hb").alias("b")).distinct()
+
+
+def near_copies(docs: DataFrame, bits: int = 9, similarity: float = 0.8, words_in_shingle: int = 5) -> DataFrame:
+    """doc_id, component_id of every row of docs (doc_id, text, whatever else) that has a doc_id.
+
+    Candidates are texts whose fingerprints differ in at most `bits` bits; a pair links if the sets of its word
+    shingles have at least that Jaccard similarity. Texts with equal sets are one node. component_id is the smallest
+    doc_id reachable. Texts without words are copies of one another.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("t")).filter("doc_id is not null")
+
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [x.as_py() for x in b.column(1)]
+            own = [set_hash(shingle_set(x, words_in_shingle)) for x in texts]
+            yield pa.record_batch([b.column(0), pa.array([fingerprint(x) for x in texts], pa.int64()), pa.array(own, pa.int64())], ["doc_id", "fp", "h"])
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = [shingle_set(x.as_py(), words_in_shingle) for x in b.column(1)]
+            yield pa.record_batch([pa.array([set_hash(x) for x in made], pa.int64()), pa.array([x.view(np.int64) for x in made], pa.list_(pa.int64()))], ["h", "s"])
+
+    sig = stored(rows.mapInArrow(hashes, "doc_id long, fp long, h long"), "fingerprints")
+    pairs = stored(wide_links(stored(sig.select("fp", "h").distinct(), "nodes"), bits), "candidates")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
+    ids = sig.join(ends, "h").groupBy("h").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
+    held = stored(rows.join(ids, "doc_id", "left_semi").mapInArrow(sets, "h long, s array<long>").dropDuplicates(["h"]), "sets")
+    both = pairs.join(held.select(F.col("h").alias("a"), F.col("s").alias("sa")), "a").join(held.select(F.col("h").alias("b"), F.col("s").alias("sb")), "b")
+    near = both.filter(f"size(array_intersect(sa, sb)) * {1 + similarity} >= {similarity} * (size(sa) + size(sb)) - 1e-9")
+    roots = components(near.select("a", "b"))
+    classed = sig.join(roots, sig.h == roots.node, "left").select("doc_id", F.coalesce("root", "h").alias("c"))
+    return classed.join(classed.groupBy("c").agg(F.min("doc_id").alias("component_id")), "c").select("doc_id", "component_id")
+
+
 def op5_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -134,6 +134,40 @@ def test_links_and_components(spark):
     assert simhash.components(chain).filter("root != 0").count() == 0
 
 
+def test_near_copies(spark, none):
+    r = random.Random(3)
+    five = lambda t: {tuple(t.lower().split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))}
+    texts = []
+    for _ in range(12):
+        words = [f"w{r.randrange(5000)}" for _ in range(150)]
+        texts.append(" ".join(words))
+        for n in (1, 2, 5, 12):
+            other = list(words)
+            for i in r.sample(range(150), n):
+                other[i] = "changed"
+            texts.append(" ".join(other))
+    texts += [f"{'the same line again and once more ' * 60}{x}" for x in (" ".join(f"{y}{i}" for i in range(60)) for y in "abc")]
+    texts += [texts[0].upper(), "one two", None, ""]
+    pairs = [(i, j) for i, a in enumerate(texts) for j in range(i) if a and (b := texts[j]) for x in [five(a)] for y in [five(b)] if len(x & y) >= 0.8 * len(x | y)]
+    far = [(i, j) for i, j in pairs if (brute_fp(texts[i]) ^ brute_fp(texts[j])).bit_count() > 2]
+    assert len(far) > 10 and any((brute_fp(texts[i]) ^ brute_fp(texts[j])).bit_count() <= 2 for i in (60, 61, 62) for j in range(60, i))
+    near = [(i, j) for i, j in pairs if (brute_fp(texts[i]) ^ brute_fp(texts[j])).bit_count() <= 9] + [(len(texts) - 1, len(texts) - 2)]
+    assert any(p in near for p in far)
+    root = list(range(len(texts)))
+    for _ in texts:
+        for i, j in near:
+            root[i] = root[j] = min(root[i], root[j])
+    rows = table(spark, [(i, t, "en", "s") for i, t in enumerate(texts)] + [(None, texts[0], "en", "s")])
+    assert {tuple(x) for x in simhash.near_copies(rows).collect()} == set(enumerate(root))
+    assert simhash.near_copies(none).count() == 0
+    fps = [r.getrandbits(64) for _ in range(30)]
+    fps = sorted({f ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 7))) for f in fps for _ in range(6)})
+    nodes = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f, i) for i, f in enumerate(fps)], "fp long, h long")
+    for bits in (4, 7, 9):
+        want = {(i, j) for j in range(len(fps)) for i in range(j) if (fps[i] ^ fps[j]).bit_count() <= bits}
+        assert {tuple(x) for x in simhash.wide_links(nodes, bits).collect()} == want
+
+
 def brute_lines(rows, min_chars=40, min_docs=5):
     key = lambda line: "".join(c.lower() if c.isascii() else c for c in line.strip(" \t\n\x0b\x0c\r"))
     lines = [((-1 if i is None else i), (t or "").split("\n")) for i, t in rows]
