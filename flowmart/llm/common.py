@@ -84,15 +84,15 @@ def map_texts(docs: DataFrame, fn: Callable[[list[bytes | None]], list], added:
 
 def hashed_sample(docs: DataFrame, label: str, most: int, seed: int = 0) -> list[Row]:
     """At most `most` rows (text, label) of each label, for fitting a classifier: those whose text hashes below the
-    share that is wanted, each text once. Rows with null or empty text or null label don't come."""
+    share of the label's distinct texts that is wanted, each text once. Rows with null or empty text or null label don't come."""
     rows = docs.filter(F.col(label).isNotNull() & (F.col("text") != "")).select("text", label)
-    counts = rows.groupBy(label).count().collect()
+    counts = rows.select(label, F.xxhash64("text").alias("_text")).distinct().groupBy(label).count().collect()
     draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("text")), 11) / F.lit(float(1 << 53))
     wanted = F.lit(False)
     for r in counts:
         wanted = wanted | ((F.col(label) == F.lit(r[0])) & (draw < min(1.0, 1.5 * most / r[1])))
     seen: dict = {r[0]: {} for r in counts}
-    for r in rows.filter(wanted).withColumn("_draw", draw).orderBy("_draw", "text").toLocalIterator() if counts else ():
+    for r in rows.filter(wanted).dropDuplicates([label, "text"]).withColumn("_draw", draw).orderBy("_draw", "text").toLocalIterator() if counts else ():
         if len(seen[r[1]]) < most:
             seen[r[1]].setdefault(r[0], r)
     return [r for k in sorted(seen) for r in seen[k].values()]

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from flowmart.llm import decontaminate, interpolation, langid, linededup, mixing, permindex, quality, simhash, toxicity, urlfilter
-from flowmart.llm.common import crc_fold
+from flowmart.llm.common import crc_fold, hashed_sample
 
 rng = random.Random(4)
 EN, FR, DE = "the of and to in is that it was for with", "le la de et les des un une que pour", "der die und das zu den von mit ist auf"
@@ -57,6 +57,12 @@ def test_fold(docs):
         assert r.f == crc(r.doc_id, 4)
 
 
+def test_sample_counts_texts_once(spark):
+    rows = [(f"text {i}", "en") for i in range(100)] + [("hot", "en")] * 20_000 + [(f"texte {i}", "fr") for i in range(5)]
+    drawn = hashed_sample(spark.createDataFrame(rows, "text string, lang string"), "lang", 50)
+    assert sum(r.lang == "en" for r in drawn) >= 40 and sum(r.lang == "fr" for r in drawn) == 5 and len(set(drawn)) == len(drawn)
+
+
 def test_language(docs, none):
     model = langid.fit(docs.filter(crc_fold(F.col("doc_id"), 4) != 2), fit_docs=50)
     out = langid.label_languages(docs, model, spans=True).collect()
