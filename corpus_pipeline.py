@@ -8,15 +8,12 @@ from pyspark.sql import functions as F
 from flowmart.llm import decontaminate, langid, linededup, mixing, simhash
 from flowmart.llm.common import crc_fold, stored, table
 
-#: A document goes if its language is `und` or less than half of its words, by their marginals, are of one language.
-LEAST_SHARE = 0.5
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language; lang is left as it is."""
+    """Documents with a language, those of several languages too; lang is left as it is."""
     model = langid.fit(docs.filter(crc_fold(F.col("doc_id"), 4) != 2))
     told = langid.label_languages(docs, model, docs.columns)
-    return told.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select(docs.columns)
+    return told.filter(F.col("lang_pred") != "und").select(docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from flowmart.llm.common import crc_fold, hashed_sample, map_texts, table
 
 #: Most labelled documents of each language that the model is fitted on.
 FIT_DOCS = 400
-#: Of each of those, at most this many windows of WINDOW words, spread evenly over the text.
+#: Of each of those, at most this many windows of WINDOW words (the last one shorter), spread evenly over the text.
 FIT_WINDOWS, WINDOW = 12, 32
 LEXICON = 256
 BLOCK = 32
@@ -89,27 +89,30 @@ class Crf:
         self.trans += rate * trans / np.sqrt(sums["trans"])
 
     def fit(self, texts: list[list[bytes]], golds: list[np.ndarray], epochs: int = 4, batch: int = 256) -> None:
-        """texts: windows as lists of WINDOW words; golds: the language of each word."""
+        """texts: windows as lists of at most WINDOW words; golds: the language of each word. Shorter windows are
+        padded, and places behind their last word take no part."""
         k, sums = len(self.langs), {}
         for epoch in range(epochs):
             for i in range(0, len(texts), batch):
                 w = Words([b" ".join(x) for x in texts[i : i + batch]])
-                y = np.array(golds[i : i + batch])
-                e = self.scores(w).reshape(len(y), WINDOW, k).astype(np.float64)
+                size = np.array([len(x) for x in golds[i : i + batch]])
+                there = np.arange(WINDOW) < size[:, None]
+                gold, e = np.zeros((2, len(size), WINDOW, k))
+                gold[there] = np.eye(k)[np.concatenate(golds[i : i + batch])]
+                e[there] = self.scores(w)
                 e = np.exp(e - e.max(axis=2, keepdims=True))
                 t = np.exp(self.trans - self.trans.max())
                 alpha, beta, z = np.empty_like(e), np.ones_like(e), np.empty(e.shape[:2])
                 for j in range(WINDOW):
-                    a = (alpha[:, j - 1] if j else np.full((len(y), k), 1 / k)) @ t * e[:, j]
+                    a = (alpha[:, j - 1] if j else np.full((len(size), k), 1 / k)) @ t * e[:, j]
                     z[:, j] = a.sum(1)
                     alpha[:, j] = a / z[:, j, None]
                 for j in range(WINDOW - 2, -1, -1):
-                    beta[:, j] = (e[:, j + 1] * beta[:, j + 1]) @ t.T / z[:, j + 1, None]
+                    beta[:, j] = np.where(there[:, j + 1, None], (e[:, j + 1] * beta[:, j + 1]) @ t.T / z[:, j + 1, None], 1)
                 gamma = alpha * beta
                 gamma /= gamma.sum(2, keepdims=True)
-                pair = np.einsum("nja,ab,njb->ab", alpha[:, :-1], t, (e * beta / z[:, :, None])[:, 1:])
-                gold = np.eye(k)[y]
-                self.step(w, (gold - gamma).reshape(-1, k), np.einsum("nja,njb->ab", gold[:, :-1], gold[:, 1:]) - pair, sums, 0.3 / (1 + epoch))
+                pair = np.einsum("nja,ab,njb->ab", alpha[:, :-1], t, (e * beta / z[:, :, None] * there[:, :, None])[:, 1:])
+                self.step(w, (gold - gamma)[there], np.einsum("nja,njb->ab", gold[:, :-1], gold[:, 1:]) - pair, sums, 0.3 / (1 + epoch))
 
     def marginals(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
         """For each text the summed marginals of its words, and for each word its likeliest language."""
@@ -205,18 +208,19 @@ def fit(labelled: DataFrame, fit_docs: int = FIT_DOCS, seed: int = 3) -> Crf:
         words = words_of(r.text)
         for x in words:
             counts[r.lang][x] = counts[r.lang].get(x, 0) + 1
-        many = len(words) // WINDOW
+        many = -(-len(words) // WINDOW)
         pool[r.lang] += [words[i * WINDOW : (i + 1) * WINDOW] for i in sorted(set(np.linspace(0, many - 1, min(many, FIT_WINDOWS)).astype(int).tolist()))]
     common = sorted({x for c in counts.values() for x in sorted(c, key=lambda x: (-c[x], x))[:LEXICON]})
     model = Crf(langs, np.unique(Words([b" ".join(common)]).word) if common else np.zeros(0, np.uint64))
     texts, golds = [], []
     for i, x in enumerate(langs):
         for words in pool[x]:
-            y = [i] * WINDOW
+            y = [i] * len(words)
             other = langs[rng.integers(len(langs))]
-            if other != x and pool[other] and rng.random() < 0.25:
-                at = int(rng.integers(1, WINDOW))
-                words, y = words[:at] + pool[other][rng.integers(len(pool[other]))][at:], y[:at] + [langs.index(other)] * (WINDOW - at)
+            if other != x and pool[other] and len(words) > 1 and rng.random() < 0.25:
+                at = int(rng.integers(1, len(words)))
+                rest = pool[other][rng.integers(len(pool[other]))][at:]
+                words, y = words[:at] + rest, y[:at] + [langs.index(other)] * len(rest)
             texts.append(words)
             golds.append(np.array(y))
     order = rng.permutation(len(texts))

@@ -79,6 +79,14 @@ def test_language(docs, none):
     assert {r.lang_pred for r in langid.label_languages(docs, langid.fit(none)).collect()} == {"und"}
 
 
+def test_language_of_short_texts(spark):
+    rows = [(prose(w, 5 + i % 16), x) for i in range(60) for w, x in ((EN, "en"), (FR, "fr"), (DE, "de"))]
+    model = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    held = [(prose(w, 8).encode(), x) for _ in range(40) for w, x in ((EN, "en"), (FR, "fr"), (DE, "de"))]
+    got, score, _ = model.label([t for t, _ in held])
+    assert sum(g == x for g, (_, x) in zip(got, held, strict=True)) >= 110 and np.median(score) > 0.5
+
+
 def test_forward_backward_is_exact(docs):
     model = langid.fit(docs, fit_docs=50)
     for text in (b"", b"the", prose(EN, 200).encode(), (prose(FR, 33) + " " + prose(DE, 97)).encode()):

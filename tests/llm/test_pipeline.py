@@ -36,3 +36,10 @@ def test_stages(spark, tmp_path):
     left = out.dropDuplicates(["doc_id"])
     assert simhash.near_duplicates(left.filter("doc_id is not null")).filter("doc_id != component_id").count() == 0
     assert decontaminate.leaks(out, spark.read.parquet(f"{tmp_path}/benchmark.parquet")).count() == 0
+
+
+def test_several_languages_stay(spark, tmp_path):
+    rows = [(i, prose(w, 40), x, "s", 1) for i, (w, x) in enumerate([(EN, "en"), (FR, "fr"), (DE, "de")] * 12)]
+    rows.append((100, f"{prose(EN, 40)} {prose(FR, 40)} {prose(DE, 40)}", "en", "s", 1))
+    docs = spark.createDataFrame(rows, COLUMNS)
+    assert corpus_pipeline.language(spark, docs, str(tmp_path)).filter("doc_id = 100").count() == 1
