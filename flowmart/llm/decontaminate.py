@@ -27,6 +27,7 @@ TOKEN = re.compile(r"\d+(?:[.,:]\d+)*|[^\W\d_]+|[.!?\n]")
 UNITS = frozenset("mm cm m km in ft mi inch inches foot feet mile miles mg g kg t lb lbs oz ml l s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks month months year years c f k usd eur gbp dollar dollars euro euros cent cents percent mph kmh kw w v a hz khz mhz ghz kb mb gb tb".split())
 WORD, NUMBER, CAPITAL, BREAK, UNIT = range(5)
 CACHE = 500_000
+PART, WHOLE = ("doc_id", "item_id", "part"), -(1 << 63)
 FACTORS = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(64)], np.uint64)
 
 
@@ -73,8 +74,14 @@ def templates(found: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 def windows(texts: list[bytes | None], size: int, sift: np.ndarray | None) -> list[tuple[np.ndarray, list[list[str]]]]:
-    """For each text the hashes of its template windows and the slots of each; with sift only the windows in it.
-    A text of fewer tokens is one window; one without tokens has none. Each hash comes once, at its first place."""
+    """For each text the hashes of its template windows and the slots of each, as in placed(); each hash comes once, at its first place."""
+    return [(h, s) for h, s, _ in placed(texts, size, sift, True)]
+
+
+def placed(texts: list[bytes | None], size: int, sift: np.ndarray | None, first_only: bool) -> list[tuple[np.ndarray, list[list[str]], np.ndarray]]:
+    """For each text the hashes of its template windows, the slots of each and its place; with sift only the windows
+    in it. A text of fewer tokens is one window; one without tokens has none. With first_only each hash comes once,
+    at its first place."""
     found = [TOKEN.findall((t or b"").decode("utf-8", "replace")) for t in texts]
     of, place, kind, h = templates(found)
     tokens = np.bincount(of, minlength=len(texts))
@@ -92,22 +99,25 @@ def windows(texts: list[bytes | None], size: int, sift: np.ndarray | None) -> li
     order = np.lexsort((starts, hashes, of[starts]))
     starts, hashes, n = starts[order], hashes[order], n[order]
     once = np.ones(len(starts), bool)
-    once[1:] = (np.diff(of[starts]) != 0) | (np.diff(hashes) != 0)
+    once[1:] = not first_only
+    once[1:] |= (np.diff(of[starts]) != 0) | (np.diff(hashes) != 0)
     starts, hashes, n = starts[once], hashes[once].view(np.int64), n[once]
     slots = [[found[of[i]][place[i]].lower() for i in range(p, p + m) if kind[i] != WORD] for p, m in zip(starts.tolist(), n.tolist(), strict=True)]
     bounds = np.searchsorted(of[starts], np.arange(len(texts) + 1)).tolist()
-    return [(hashes[a:b], slots[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
+    places = starts - first[of[starts]]
+    return [(hashes[a:b], slots[a:b], places[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
 
 
-def template_windows(df: DataFrame, carry: list[str], size: int = WINDOW, sift: np.ndarray | None = None) -> DataFrame:
-    """Columns `carry`, and wh (window hash), slots, a row for each distinct template window of text; n_windows: how many the text has."""
+def template_windows(df: DataFrame, carry: list[str], size: int = WINDOW, sift: np.ndarray | None = None, first_only: bool = True) -> DataFrame:
+    """Columns `carry`, and wh (window hash), slots, at (its place), a row for each template window of text (the first of
+    each hash with first_only); n_windows: how many rows the text has."""
     shared = df.sparkSession.sparkContext.broadcast(sift)
 
     def run(texts: list[bytes | None]) -> list:
-        made = windows(texts, size, shared.value)
-        return [[[{"wh": w, "slots": s} for w, s in zip(x.tolist(), slots, strict=True)] for x, slots in made], [len(x) for x, _ in made]]
+        made = placed(texts, size, shared.value, first_only)
+        return [[[{"wh": w, "slots": s, "at": p} for w, s, p in zip(x.tolist(), slots, at.tolist(), strict=True)] for x, slots, at in made], [len(x) for x, _, _ in made]]
 
-    rows = map_texts(df, run, "w array<struct<wh:long,slots:array<string>>>, n_windows long", carry)
+    rows = map_texts(df, run, "w array<struct<wh:long,slots:array<string>,at:long>>, n_windows long", carry)
     return rows.filter("n_windows > 0").select(*carry, "n_windows", F.explode("w").alias("w")).select(*carry, "n_windows", "w.*")
 
 
@@ -115,24 +125,32 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, similarity:
     """doc_id, item_id, matched, n_windows, share: the pairs where a document holds at least `similarity` of the distinct
     template windows of a benchmark item (item_id, text), counting the windows with consistent slots.
 
+    That is tried on the whole document and on each part of it where the windows lie about as far from the document's
+    start as from the item's, so that passages of one template with other fillings don't break each other. A window
+    counts if one of its fillings is consistent.
+
     A slot of an item is consistent where the document fills it as it does in most of the windows that have it (ties
     to the text that sorts first). Texts that are null or empty, and those without letters or digits, match nothing;
     an item of fewer than `size` tokens is one window. Rows with the same doc_id are one document, as are items with
     the same item_id. Rows without doc_id or item_id take no part. Empty tables give an empty result.
     """
     items = template_windows(benchmark.select("item_id", "text").filter("item_id is not null"), ["item_id"], size)
-    items = stored(items.groupBy("item_id", "wh").agg(F.min("slots").alias("item_slots")), "items")
-    sizes = items.groupBy("item_id").agg(F.count("*").alias("n_windows"))
+    items = stored(items.groupBy("item_id", "wh").agg(F.min("slots").alias("item_slots"), F.min("at").alias("item_at")), "items")
+    sizes = items.groupBy("item_id").agg(F.count("*").alias("n_windows"), F.greatest(F.lit(4), F.floor((F.max("item_at") + size) / 4)).alias("step"))
     hashes = items.select("wh").distinct()
     small = hashes.limit(sift_rows + 1).count() <= sift_rows
     sift = np.sort(hashes.toArrow().column(0).combine_chunks().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)) if small else None
-    rows = template_windows(docs.select("doc_id", "text").filter("doc_id is not null"), ["doc_id"], size, sift).drop("n_windows")
-    met = stored(rows.join(items, "wh").withColumn("_row", F.monotonically_increasing_id()), "met")
-    slot = met.select("doc_id", "item_id", "_row", F.explode(F.arrays_zip("item_slots", "slots")).alias("s")).select("doc_id", "item_id", "_row", "s.item_slots", "s.slots")
-    usual = slot.groupBy("doc_id", "item_id", "item_slots", "slots").agg(F.count("*").alias("n"))
-    usual = usual.groupBy("doc_id", "item_id", "item_slots").agg(F.min(F.struct((-F.col("n")).alias("n"), "slots"))["slots"].alias("usual"))
-    broken = slot.join(usual, ["doc_id", "item_id", "item_slots"]).filter("slots != usual").select("_row").distinct()
-    kept = met.join(broken, "_row", "left_anti").groupBy("doc_id", "item_id").agg(F.count_distinct("wh").alias("matched"))
+    rows = template_windows(docs.select("doc_id", "text").filter("doc_id is not null"), ["doc_id"], size, sift, False).drop("n_windows")
+    part = F.floor((F.col("at") - F.col("item_at")) / F.col("step"))
+    met = rows.join(items, "wh").join(sizes, "item_id").withColumn("part", F.explode(F.array(F.lit(WHOLE), part, part - 1)))
+    met = met.select("doc_id", "item_id", "part", "wh", "slots", "item_slots").distinct()
+    met = stored(met.withColumn("_row", F.monotonically_increasing_id()), "met")
+    slot = met.select(*PART, "_row", F.explode(F.arrays_zip("item_slots", "slots")).alias("s")).select(*PART, "_row", "s.item_slots", "s.slots")
+    usual = slot.groupBy(*PART, "item_slots", "slots").agg(F.count("*").alias("n"))
+    usual = usual.groupBy(*PART, "item_slots").agg(F.min(F.struct((-F.col("n")).alias("n"), "slots"))["slots"].alias("usual"))
+    broken = slot.join(usual, [*PART, "item_slots"]).filter("slots != usual").select("_row").distinct()
+    kept = met.join(broken, "_row", "left_anti").groupBy(*PART).agg(F.count_distinct("wh").alias("matched"))
+    kept = kept.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"))
     out = kept.join(sizes, "item_id").withColumn("share", F.col("matched") / F.col("n_windows"))
     return out.filter(F.col("matched") >= F.ceil(F.col("n_windows") * similarity - 1e-9)).select("doc_id", "item_id", "matched", "n_windows", "share")
 

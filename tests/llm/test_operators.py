@@ -282,6 +282,16 @@ def test_leaks(spark, docs, none):
     assert decontaminate.leaks(none, items).count() == 0 and decontaminate.leaks(rows, items.limit(0)).count() == 0
 
 
+def test_leaks_beside_other_fillings(spark):
+    ask = "At noon the baker {0} sells {1} loaves to the school and later {0} gives {2} rolls away so how many does the baker {0} still hold then"
+    item = ask.format("Anna", 12, 7)
+    docs = {1: f"At noon the baker Zed sells 5 loaves to the school. {'word ' * 40} {item}", 2: f"{ask.format('Ben', 3, 99)} {item} {ask.format('Carl', 88, 4)}",
+            3: " ".join(ask.format(*x) for x in (("Ben", 3, 99), ("Carl", 88, 4), ("Dora", 5, 55))), 4: ask.format("Ben", 3, 99).replace("baker Ben still", "baker Eve still").replace("later Ben", "later Carl")}
+    rows = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert {r.doc_id for r in decontaminate.leaks(rows, items).collect()} == {1, 2, 3}
+
+
 def test_windows_by_hand():
     (hashes, slots), (none, _) = decontaminate.windows([b"Then 5 km. And 6 km and so on", b"..."], 3, None)
     assert len(none) == 0 and len(hashes) == 6 and ["5", "km"] in slots and ["6", "km"] in slots
