@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -25,23 +24,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. One of our own is set only where the session names none."""
+    """The folder that driver and executors share: spark.checkpoint.dir, else the checkpoint folder that was set, else
+    one in the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-flowmart-"))
-        named = spark.sparkContext.getCheckpointDir()
-    return named.rstrip("/")
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared").rstrip("/")
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """df as a table in the shared folder: lineage is cut, and lost executors don't cost a recomputation."""
+def stored(df: DataFrame, label: str, **options) -> DataFrame:
+    """df as a table in the shared folder: lineage is cut, and lost executors don't cost a recomputation. The folder's
+    owner clears it; results that are computed later still read these tables."""
     spark = df.sparkSession
     path = shared_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

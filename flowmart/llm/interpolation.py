@@ -7,8 +7,12 @@ all training documents.
 
 All words and all pairs count, however rare. Documents are read once into blocks of about BLOCK tokens. Each block
 sends every word and pair it holds once, with its counts, to the range of hashes that it falls in; there they are
-summed, and the sums go back to the block in the same order. So a frequent word costs a range one entry a block, and
-neither a task nor the driver holds more than a block, a range, or the cells of the mixture.
+summed, and the sums go back to the block in the same order. So a frequent word costs a range one entry a block. Where
+there are more than FAN blocks, a range is summed by groups of that many first, and each group is answered by itself,
+so neither a task nor the driver holds more than a block, FAN blocks' share of a range, or the cells of the mixture.
+
+The weights see the estimates of the tokens held back rounded to half powers of two (log_cells), so that what the
+driver maximises over is a table of bounded size; scores use the estimates as they are.
 """
 
 from __future__ import annotations
@@ -31,8 +35,10 @@ from flowmart.llm.common import crc_fold, stored, table
 
 END = b"\n"  # no word holds it
 KEPT, HELD, OTHER = 0, 1, 2
-#: Tokens of a block, and about how many words and pairs of all blocks meet in one range of hashes.
-BLOCK, RANGE = 1_000_000, 1_000_000
+#: Tokens of a block, about how many words and pairs of all blocks meet in one range of hashes, and how many blocks are summed at once.
+BLOCK, RANGE, FAN = 200_000, 1_000_000, 4_096
+#: Bytes of the row groups of the stored blocks. A reader holds one of each column.
+GROUP_BYTES = 8 << 20
 #: Buckets of predecessors by the binary logarithm of their count (0: never seen), and steps of both estimates.
 BUCKETS, STEPS = 48, 64
 BLOCK_COLUMNS = "block long, n_tokens long, n_kept long, n_held long, parts binary, sizes binary, words binary, tokens binary"
@@ -49,7 +55,7 @@ def packed(x: np.ndarray) -> bytes:
     return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
 
 
-def unpacked(data: bytes, kind: type) -> np.ndarray:
+def unpacked(data: bytes | pa.Buffer, kind: type) -> np.ndarray:
     size = np.dtype(kind).itemsize
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
 
@@ -133,7 +139,7 @@ class Keys(NamedTuple):
     n_words: int
 
 
-def keys_of(words: bytes, numbers: bytes, sizes: np.ndarray) -> Keys:
+def keys_of(words: bytes | pa.Buffer, numbers: bytes | pa.Buffer, sizes: np.ndarray) -> Keys:
     """The predecessor of a text's first word is the end of a text."""
     h, w = np.frombuffer(words, np.uint64), unpacked(numbers, np.int32)
     v = np.empty_like(w)
@@ -153,10 +159,10 @@ def sent(blocks: DataFrame, bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                r = batch.slice(i, 1).to_pylist()[0]
-                sizes = np.frombuffer(r["sizes"], np.int64)
-                k = keys_of(r["words"], r["tokens"], sizes)
-                part = np.repeat(np.frombuffer(r["parts"], np.uint8), sizes)
+                r = {name: batch.column(name)[i] for name in batch.schema.names}
+                sizes = np.frombuffer(r["sizes"].as_buffer(), np.int64)
+                k = keys_of(r["words"].as_buffer(), r["tokens"].as_buffer(), sizes)
+                part = np.repeat(np.frombuffer(r["parts"].as_buffer(), np.uint8), sizes)
                 n_pairs = len(k.key) - k.n_words
                 counts = []
                 for p in (KEPT, HELD):
@@ -167,31 +173,66 @@ def sent(blocks: DataFrame, bits: int) -> DataFrame:
                 starts = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
                 cuts = list(zip(starts.tolist(), [*starts[1:].tolist(), len(at)], strict=True))
                 columns = [pa.array([packed(x[a:b]) for a, b in cuts], pa.binary()) for x in (k.key, *counts)]
-                yield pa.RecordBatch.from_arrays([pa.array(at[starts].astype(np.int64)), pa.array([r["block"]] * len(cuts), pa.int64()), *columns], names=["range", "block", "keys", "kept", "held"])
+                yield pa.RecordBatch.from_arrays([pa.array(at[starts].astype(np.int64)), pa.array([r["block"].as_py()] * len(cuts), pa.int64()), *columns], names=["range", "block", "keys", "kept", "held"])
 
     return blocks.select("block", "parts", "sizes", "words", "tokens").mapInArrow(run, "range long, block long, keys binary, kept binary, held binary")
 
 
 def joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
-    return np.concatenate([unpacked(x, kind) for x in column.to_pylist()])
+    return np.concatenate([unpacked(x.as_buffer(), kind) for x in column] or [np.zeros(0, kind)])
+
+
+def sums_of(got: pa.Table, kind: type = np.int32) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The distinct keys of the rows, the place of each of their keys among those, and the sums of kept and held."""
+    key, place = np.unique(joined(got["keys"], np.uint64), return_inverse=True)
+    return key, place, [np.bincount(place, joined(got[c], kind), len(key)).astype(np.int64) for c in ("kept", "held")]
+
+
+def answered(got: pa.Table, place: np.ndarray, kept: np.ndarray, total: np.ndarray, distinct: int) -> pa.Table:
+    """The sums at `place` cut into the rows of `got`; the first one also tells `distinct`."""
+    ends = np.cumsum([x // 8 for x in pc.binary_length(got["keys"]).to_pylist()]).tolist()
+    cuts = list(zip([0, *ends], ends, got["block"].to_pylist(), strict=False))
+    sums = [packed(total[place[a:b]]) for a, b, _ in cuts], [packed(kept[place[a:b]]) if block % 2 else None for a, b, block in cuts]
+    return pa.table([got["block"], got["range"], *(pa.array(x, pa.binary()) for x in sums), pa.array([distinct] + [0] * (len(ends) - 1), pa.int64())], names=["block", "range", "total", "kept", "distinct"])
+
 
+def distinct_words(key: np.ndarray, total: np.ndarray) -> int:
+    return int((((key & np.uint64(1)) == 0) & (total > 0)).sum())
 
-def summed(rows: DataFrame) -> DataFrame:
+
+def summed(rows: DataFrame, groups: int = 1) -> DataFrame:
     """block, range, total, kept: what sent() sent, with the sums over all blocks: of all training documents, and for
     blocks held back also of those kept; and on one row of each range, how many distinct words training documents have
-    there."""
+    there. With more than one group the blocks are dealt to that many groups, which are summed and answered apart."""
+    out = "block long, range long, total binary, kept binary, distinct long"
 
     def run(got: pa.Table) -> pa.Table:
-        key, place = np.unique(joined(got["keys"], np.uint64), return_inverse=True)
-        kept, held = (np.bincount(place, joined(got[c], np.int32), len(key)).astype(np.int64) for c in ("kept", "held"))
-        total = kept + held
-        distinct = int((((key & np.uint64(1)) == 0) & (total > 0)).sum())
-        ends = np.cumsum([x // 8 for x in pc.binary_length(got["keys"]).to_pylist()]).tolist()
-        cuts = list(zip([0, *ends], ends, got["block"].to_pylist(), strict=False))
-        sums = [packed(total[place[a:b]]) for a, b, _ in cuts], [packed(kept[place[a:b]]) if block % 2 else None for a, b, block in cuts]
-        return pa.table([got["block"], got["range"], *(pa.array(x, pa.binary()) for x in sums), pa.array([distinct] + [0] * (len(ends) - 1), pa.int64())], names=["block", "range", "total", "kept", "distinct"])
+        key, place, (kept, held) = sums_of(got)
+        return answered(got, place, kept, kept + held, distinct_words(key, kept + held))
+
+    if groups == 1:
+        return rows.groupBy("range").applyInArrow(run, out)
+
+    def part(got: pa.Table) -> pa.Table:
+        key, _, (kept, held) = sums_of(got)
+        return pa.table([got["range"][:1], *(pa.array([packed(x)], pa.binary()) for x in (key, kept, held))], names=["range", "keys", "kept", "held"])
+
+    def whole(got: pa.Table) -> pa.Table:
+        key, _, (kept, held) = sums_of(got, np.int64)
+        return pa.table([got["range"][:1], *(pa.array([packed(x)], pa.binary()) for x in (key, kept, kept + held)), pa.array([distinct_words(key, kept + held)], pa.int64())], names=["range", "keys", "kept", "total", "distinct"])
+
+    def answer(got: pa.Table, sums: pa.Table) -> pa.Table:
+        if not got.num_rows:
+            return pa.table([pa.array([], x) for x in (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64())], names=["block", "range", "total", "kept", "distinct"])
+        key, kept, total = (joined(sums[c], kind) for c, kind in (("keys", np.uint64), ("kept", np.int64), ("total", np.int64)))
+        return answered(got, np.searchsorted(key, joined(got["keys"], np.uint64)), kept, total, sums["distinct"][0].as_py() if sums["lot"][0].as_py() == sums["first"][0].as_py() else 0)
 
-    return rows.groupBy("range").applyInArrow(run, "block long, range long, total binary, kept binary, distinct long")
+    dealt = stored(rows.withColumn("lot", F.pmod(F.xxhash64(F.col("block")), F.lit(groups).cast("long"))), "sent")
+    parts = dealt.groupBy("range", "lot").applyInArrow(part, "range long, keys binary, kept binary, held binary")
+    totals = parts.groupBy("range").applyInArrow(whole, "range long, keys binary, kept binary, total binary, distinct long")
+    lots = dealt.select("range", "lot").distinct().groupBy("range").agg(F.collect_set("lot").alias("lots"))
+    totals = totals.join(lots, "range").withColumn("first", F.array_min("lots")).withColumn("lot", F.explode("lots")).drop("lots")
+    return dealt.groupBy("range", "lot").cogroup(totals.groupBy("range", "lot")).applyInArrow(answer, out)
 
 
 class Looked(NamedTuple):
@@ -204,9 +245,9 @@ class Looked(NamedTuple):
 
 
 def looked_up(block: pa.Table, counts: pa.Table, part: str) -> Looked:
-    r = block.select(["words", "tokens", "sizes"]).to_pylist()[0]
-    sizes = np.frombuffer(r["sizes"], np.int64)
-    k = keys_of(r["words"], r["tokens"], sizes)
+    words, numbers, sizes = (block[c][0].as_buffer() for c in ("words", "tokens", "sizes"))
+    sizes = np.frombuffer(sizes, np.int64)
+    k = keys_of(words, numbers, sizes)
     counts = counts.sort_by("range")
     n = np.empty(len(k.key), np.int64)
     n[k.order] = joined(counts[part], np.int64)
@@ -256,9 +297,10 @@ class Model(NamedTuple):
 
 def fit(docs: DataFrame, own: list[str]) -> Model:
     """The model of docs (part, text), which also holds the blocks of all docs with their columns `own`."""
-    blocks = stored(blocks_of(docs, own), "blocks")
-    n_all, n_kept, n_held = (x or 0 for x in blocks.agg(F.sum("n_tokens"), F.sum("n_kept"), F.sum("n_held")).first())
-    counts = stored(summed(sent(blocks, max(0, math.ceil(math.log2(max(n_all, 1) / RANGE))))), "counts")
+    blocks = stored(blocks_of(docs, own), "blocks", **{"parquet.block.size": GROUP_BYTES})
+    n_all, n_kept, n_held, n_blocks = (x or 0 for x in blocks.agg(F.sum("n_tokens"), F.sum("n_kept"), F.sum("n_held"), F.count("*")).first())
+    counts = sent(blocks, max(0, math.ceil(math.log2(max(n_all, 1) / RANGE))))
+    counts = stored(summed(counts, max(1, -(-n_blocks // FAN))), "counts", **{"parquet.block.size": GROUP_BYTES})
     distinct = counts.agg(F.sum("distinct")).first()[0] or 0
 
     def cells(block: pa.Table, sums: pa.Table) -> pa.Table:

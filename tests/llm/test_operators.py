@@ -406,7 +406,8 @@ def test_interpolation(spark, docs, none):
     assert interpolation.log_score(none, part).count() == 0
 
 
-def test_interpolation_brute(spark, docs, monkeypatch):
+@pytest.mark.parametrize("fan", [4096, 3])
+def test_interpolation_brute(spark, docs, monkeypatch, fan):
     """Over blocks of a few tokens and ranges of a few hashes, the scores are those of all words' and pairs' counts, and the estimates add up to 1."""
     part = F.when(F.col("doc_id") % 5 == 0, interpolation.HELD).otherwise(interpolation.KEPT)
     rows = docs.collect()
@@ -416,6 +417,7 @@ def test_interpolation_brute(spark, docs, monkeypatch):
     n, v = sum(words.values()), len(words)
     monkeypatch.setattr(interpolation, "BLOCK", 50)
     monkeypatch.setattr(interpolation, "RANGE", 20)
+    monkeypatch.setattr(interpolation, "FAN", fan)
     model = interpolation.fit(docs.withColumn("part", part), ["doc_id"])
     assert (model.n, model.distinct) == (n, v) and model.blocks.count() > 3
 
