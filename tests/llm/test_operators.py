@@ -148,6 +148,13 @@ def test_links_and_components(spark):
     assert simhash.components(chain).filter("root != 0").count() == 0
 
 
+def candidates(x, y):
+    """Whether two wide fingerprints share a variant and agree enough elsewhere, and in how many bits they don't."""
+    diff = [(a ^ b) & (1 << 64) - 1 for a, b in zip(x, y, strict=True)]
+    bits = sum((d >> 48).bit_count() for d in diff)
+    return bits <= simhash.CHECK_BITS and any((d >> at & 0xFFFFFF).bit_count() <= 1 for d in diff for at in (0, 24)), bits
+
+
 def test_near_copies(spark, none):
     r = random.Random(3)
     five = lambda t: {tuple(t.lower().split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))}
@@ -163,23 +170,35 @@ def test_near_copies(spark, none):
     texts += [f"{'the same line again and once more ' * 60}{x}" for x in (" ".join(f"{y}{i}" for i in range(60)) for y in "abc")]
     texts += [texts[0].upper(), "one two", None, ""]
     pairs = [(i, j) for i, a in enumerate(texts) for j in range(i) if a and (b := texts[j]) for x in [five(a)] for y in [five(b)] if len(x & y) >= 0.8 * len(x | y)]
-    far = [(i, j) for i, j in pairs if (brute_fp(texts[i]) ^ brute_fp(texts[j])).bit_count() > 2]
-    assert len(far) > 10 and any((brute_fp(texts[i]) ^ brute_fp(texts[j])).bit_count() <= 2 for i in (60, 61, 62) for j in range(60, i))
-    near = [(i, j) for i, j in pairs if (brute_fp(texts[i]) ^ brute_fp(texts[j])).bit_count() <= 9] + [(len(texts) - 1, len(texts) - 2)]
-    assert any(p in near for p in far)
+    assert len(pairs) > 30 and any((brute_fp(texts[i]) ^ brute_fp(texts[j])).bit_count() > 2 for i, j in pairs)
+    wide = [simhash.wide_fingerprint(simhash.shingles(simhash.words_hashed((t or "").encode(), simhash.WordHashes()), 2)) for t in texts]
+    near = [(i, j) for i, j in pairs if candidates(wide[i], wide[j])[0]] + [(len(texts) - 1, len(texts) - 2)]
+    assert len(near) > 0.9 * len(pairs)
     root = list(range(len(texts)))
     for _ in texts:
         for i, j in near:
             root[i] = root[j] = min(root[i], root[j])
     rows = table(spark, [(i, t, "en", "s") for i, t in enumerate(texts)] + [(None, texts[0], "en", "s")])
-    assert {tuple(x) for x in simhash.near_copies(rows).collect()} == set(enumerate(root))
+    for large in (simhash.LARGE, 2):
+        assert {tuple(x) for x in simhash.near_copies(rows, large=large).collect()} == set(enumerate(root))
     assert simhash.near_copies(none).count() == 0
-    fps = [r.getrandbits(64) for _ in range(30)]
-    fps = sorted({f ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 7))) for f in fps for _ in range(6)})
-    nodes = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f, i) for i, f in enumerate(fps)], "fp long, h long")
-    for bits in (4, 7, 9):
-        want = {(i, j) for j in range(len(fps)) for i in range(j) if (fps[i] ^ fps[j]).bit_count() <= bits}
-        assert {tuple(x) for x in simhash.wide_links(nodes, bits).collect()} == want
+
+
+def test_nearby_pairs(spark):
+    """All pairs that share a variant and no component, whether components are large or not."""
+    r = random.Random(8)
+    seeds = [[r.getrandbits(64) for _ in range(4)] for _ in range(10)]
+    fps = [[w ^ sum(1 << b for b in r.sample(range(64), r.choice((0, 1, 2, 6)))) for w in s] for s in seeds for _ in range(8)]
+    comp = [r.choice((None, 1, 2, 3)) for _ in fps]
+    size = collections.Counter(comp)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    nodes = spark.createDataFrame([(i, *map(signed, f), c, size[c] if c else 1) for i, (f, c) in enumerate(zip(fps, comp, strict=True))], "h long, w0 long, w1 long, w2 long, w3 long, c long, members long")
+    pairs = [(i, j, *candidates(fps[i], fps[j])) for j in range(len(fps)) for i in range(j) if comp[i] is None or comp[i] != comp[j]]
+    want = {(i, j, bits) for i, j, met, bits in pairs if met}
+    assert want
+    for large in (1000, 10):
+        got = [tuple(x) for x in simhash.nearby(nodes, large).collect()]
+        assert set(got) == want and len(got) == len(want)
 
 
 def brute_lines(rows, min_chars=40, min_docs=5):
