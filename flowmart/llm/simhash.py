@@ -15,6 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from flowmart.llm.common import stored, table
 
@@ -151,7 +152,7 @@ def words_hashed(data: bytes | None, known: WordHashes) -> np.ndarray:
 
 
 def signed_texts(rows: DataFrame, words_in_shingle: int) -> DataFrame:
-    """doc_id, h (one for each set of word shingles), w0 to w3 (the wide fingerprint) of rows (doc_id, t)."""
+    """own, h (one for each set of word shingles), w0 to w3 (the wide fingerprint) of rows (own, t)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -160,9 +161,9 @@ def signed_texts(rows: DataFrame, words_in_shingle: int) -> DataFrame:
             for x in b.column(1):
                 words = words_hashed(x.as_py(), known)
                 made.append((int(np.uint64(xxhash.xxh64_intdigest(np.unique(shingles(words, words_in_shingle)).tobytes(), 1)).view(np.int64)), *wide_fingerprint(shingles(words, CANDIDATE_WORDS))))
-            yield pa.record_batch([b.column(0), *(pa.array(c, pa.int64()) for c in zip(*made, strict=True))] if made else [b.column(0).slice(0, 0), *[pa.array([], pa.int64())] * 5], ["doc_id", "h", *WIDE])
+            yield pa.record_batch([b.column(0), *(pa.array(c, pa.int64()) for c in zip(*made, strict=True))] if made else [b.column(0).slice(0, 0), *[pa.array([], pa.int64())] * 5], ["own", "h", *WIDE])
 
-    return rows.mapInArrow(run, "doc_id long, h long, w0 long, w1 long, w2 long, w3 long")
+    return rows.select("own", "t").mapInArrow(run, StructType([rows.schema["own"], *StructType.fromDDL("h long, w0 long, w1 long, w2 long, w3 long").fields]))
 
 
 def shingle_sets(rows: DataFrame, words_in_shingle: int) -> DataFrame:
@@ -214,8 +215,8 @@ def nearby(nodes: DataFrame, large: int = LARGE) -> DataFrame:
     return found.select(F.least("ha", "hb").alias("a"), F.greatest("ha", "hb").alias("b"), F.expr("bit_count(xa ^ xb)").alias("bits")).distinct()
 
 
-def near_copies(docs: DataFrame, similarity: float = 0.8, words_in_shingle: int = 5, large: int = LARGE) -> DataFrame:
-    """doc_id, component_id of every row of docs (doc_id, text, whatever else) that has a doc_id.
+def near_copies(docs: DataFrame, carry: tuple[str, ...] = (), similarity: float = 0.8, words_in_shingle: int = 5, large: int = LARGE) -> DataFrame:
+    """doc_id, the columns `carry`, component_id of every row of docs (doc_id, text, whatever else) that has a doc_id.
 
     A pair links if the sets of its word shingles have at least that Jaccard similarity. Candidates are texts with
     wide fingerprints (of pairs of words) of which one of eight segments differs in at most one bit. Texts with equal
@@ -227,9 +228,11 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, words_in_shingle: int
     component yet are candidates: of each node the nearest of these is tried first, then all that are still in
     different components.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("t")).filter("doc_id is not null")
-    sig = stored(signed_texts(rows, words_in_shingle), "fingerprints")
-    nodes = stored(sig.groupBy("h").agg(F.min("doc_id").alias("rep"), *[F.first(w).alias(w) for w in WIDE]), "nodes")
+    known = docs.filter("doc_id is not null")
+    rows = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("t"))
+    own = F.struct(F.col("doc_id").cast("long").alias("doc_id"), *carry)
+    sig = stored(signed_texts(known.select(own.alias("own"), F.col("text").cast("binary").alias("t")), words_in_shingle), "fingerprints")
+    nodes = stored(sig.groupBy("h").agg(F.min("own.doc_id").alias("rep"), *[F.first(w).alias(w) for w in WIDE]), "nodes")
 
     def sets(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
@@ -256,8 +259,8 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, words_in_shingle: int
 
     of = placed(roots)
     sizes = of.groupBy("c").agg(F.count("*").alias("members"))
-    known = nodes.select("h", *WIDE).join(of.join(sizes, "c"), "h", "left").withColumn("members", F.coalesce("members", F.lit(1)))
-    pairs = stored(nearby(stored(known, "known"), large), "candidates")
+    grouped = nodes.select("h", *WIDE).join(of.join(sizes, "c"), "h", "left").withColumn("members", F.coalesce("members", F.lit(1)))
+    pairs = stored(nearby(stored(grouped, "grouped"), large), "candidates")
     held = sets(pairs)
     ends = pairs.select("a", "b", "bits").unionByName(pairs.selectExpr("b as a", "a as b", "bits"))
     first = ends.groupBy("a").agg(F.min(F.struct("bits", "b"))["b"].alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -267,8 +270,8 @@ def near_copies(docs: DataFrame, similarity: float = 0.8, words_in_shingle: int
     rest = rest.filter("coalesce(ca, a) != coalesce(cb, b)").select("a", "b").join(first, ["a", "b"], "left_anti")
     edges = edges.unionByName(stored(linked(stored(rest, "rest"), held), "edges"))
     roots = components(edges)
-    classed = sig.join(roots, sig.h == roots.node, "left").select("doc_id", F.coalesce("root", "h").alias("c"))
-    return classed.join(classed.groupBy("c").agg(F.min("doc_id").alias("component_id")), "c").select("doc_id", "component_id")
+    classed = sig.join(roots, sig.h == roots.node, "left").select("own.*", F.coalesce("root", "h").alias("_c"))
+    return classed.join(classed.groupBy("_c").agg(F.min("doc_id").alias("component_id")), "_c").select("doc_id", *carry, "component_id")
 
 
 def op5_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

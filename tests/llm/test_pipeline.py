@@ -43,3 +43,30 @@ def test_several_languages_stay(spark, tmp_path):
     rows.append((100, f"{prose(EN, 40)} {prose(FR, 40)} {prose(DE, 40)}", "en", "s", 1))
     docs = spark.createDataFrame(rows, COLUMNS)
     assert corpus_pipeline.language(spark, docs, str(tmp_path)).filter("doc_id = 100").count() == 1
+
+
+CLASHES = "score double, lang_pred string, _id long, _kept string, _lines int, _drop int, n_lines long, h int, t0 int, own string, size int, target int, taken int, copies int, rate int, source_size int, wh int, component_id int"
+
+
+def test_clashing_names_and_repeats(spark, tmp_path):
+    """Further columns come through every stage, rows that share a doc_id are told apart, of repeated rows one stays."""
+    random.seed(2)
+    copy, own = prose(EN, 60), prose(EN, 60)
+    texts = [(i, f"{prose(w, 60)}\n{LINE}", x, f"s{i % 2}", 1) for i, (w, x) in enumerate([(EN, "en"), (FR, "fr")] * 8)]
+    texts += [(50, copy, "en", "s0", 1), (51, copy, "en", "s0", 1), (51, own, "en", "s0", 1), (51, own, "en", "s0", 1), (52, prose(EN, 40_000), "en", "s1", 1), (53, "", "en", "s1", 1)]
+    clash = (0.25, "x", 7, "k", 3, 4, 5, 6, 8, "o", 9, 10, 11, 12, 13, 14, 15, 16)
+    docs = spark.createDataFrame([(*t, *clash) for t in texts], f"{COLUMNS}, {CLASHES}")
+    spark.createDataFrame([(1, QUESTION)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs.write.parquet(f"{tmp_path}/in")
+    now = spark.read.parquet(f"{tmp_path}/in")
+    names = now.columns
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, now, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        now = spark.read.parquet(f"{tmp_path}/{name}")
+        rows = now.collect()
+        assert now.columns == (names if name != "mixture" else [*names, "copy_no"]) and rows
+        assert {tuple(r[5 : 5 + len(clash)]) for r in rows} == {clash}
+        if name == "near_duplicates":
+            assert sorted(r.text for r in rows if r.doc_id in (50, 51)) == sorted([copy, own])
+        none = stage(spark, spark.createDataFrame([], docs.schema), str(tmp_path))
+        assert none.count() == 0
