@@ -23,6 +23,8 @@ FIT_DOCS = 400
 FIT_WINDOWS, WINDOW = 12, 32
 LEXICON = 256
 BLOCK = 32
+#: Bytes of text that are worked on together; the arrays over them take about 120 bytes for each.
+TEXT_BYTES = 500_000
 TRI, BI, AFFIX = 1 << 17, 1 << 16, 1 << 16
 ADDED = "lang_pred string, score double, n_words long"
 IS_LETTER = np.array([b >= 128 or chr(b).isalpha() for b in range(256)])
@@ -239,7 +241,7 @@ def label_languages(docs: DataFrame, model: Crf, carry: list[str] | None = None,
     shared = docs.sparkSession.sparkContext.broadcast(model)
     added = ADDED + (", spans array<struct<lang:string,words:long>>" if spans else "")
     own = [c for c in (carry if carry is not None else docs.columns) if c not in ("lang_pred", "score", "n_words", *["spans"] * spans)]
-    return map_texts(docs, lambda texts: shared.value.label(texts, spans), added, own)
+    return map_texts(docs, lambda texts: shared.value.label(texts, spans), added, own, block_bytes=TEXT_BYTES)
 
 
 def op1_crf_language_id(spark, sf_dir: str) -> DataFrame:

@@ -24,8 +24,8 @@ BLOCK = 1 << 15
 WIDE, CANDIDATE_WORDS = ("w0", "w1", "w2", "w3"), 2
 #: Bits of a segment, in how many of the 64 checked bits candidates may differ, and members from which a component is large.
 SEGMENT, CHECK_BITS, LARGE = 24, 18, 1_000
-#: Words of which a task remembers the hash.
-WORDS = 500_000
+#: Words of which a task remembers the hash, about 200 bytes each; others are hashed again where they stand.
+WORDS = 50_000
 
 
 def fingerprint(data: bytes | None, words_in_shingle: int = 3) -> int:
