@@ -159,16 +159,18 @@ def trade_anatomy(trades: DataFrame, prices: DataFrame, keys: Sequence[str], ent
 
 def block_bootstrap(daily: DataFrame, paths: int, block: int, horizon: int, seed: int = 0, ret: str = "net_return", day: str = "date") -> DataFrame:
     """final and max_drawdown of resampled paths. Path i draws contiguous blocks of days; a block's start is the hash of
-    (seed, path, block number), so reruns agree. block=1 draws single days."""
+    (seed, path, block number), so reruns agree. block=1 draws single days. No block wraps around the end, and the
+    drawdown is from the path's own maximum."""
     days = daily.select(day, ret).withColumn("_i", F.row_number().over(Window.orderBy(day)) - 1)
     n = days.count()
+    block = min(block, max(n, 1))
     draws = daily.sparkSession.range(paths).select(F.col("id").alias("path"), F.explode(F.sequence(F.lit(0), F.lit(horizon - 1))).alias("t"))
-    start = F.pmod(F.xxhash64(F.lit(seed), "path", F.floor(F.col("t") / block)), F.lit(max(n, 1)))
-    draws = draws.withColumn("_i", F.pmod(start + F.col("t") % block, F.lit(max(n, 1))))
+    start = F.pmod(F.xxhash64(F.lit(seed), "path", F.floor(F.col("t") / block)), F.lit(max(n - block + 1, 1)))
+    draws = draws.withColumn("_i", start + F.col("t") % block)
     rows = draws.join(days, "_i")
     w = Window.partitionBy("path").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_e", F.exp(F.sum(F.log1p(ret)).over(w)))
-    rows = rows.withColumn("_d", F.col("_e") / F.greatest(F.max("_e").over(w), F.lit(1.0)) - 1)
+    rows = rows.withColumn("_d", F.col("_e") / F.max("_e").over(w) - 1)
     return rows.groupBy("path").agg(F.max_by("_e", "t").alias("final"), F.min("_d").alias("max_drawdown"))
 
 

@@ -83,11 +83,14 @@ def global_pct_rank(df: DataFrame, value: str, name: str, buckets: int = 256) ->
 
 
 def risk_score(df: DataFrame, cols: Sequence[str], name: str = "risk_norm") -> DataFrame:
-    """Mean over the columns of the percent ranks of their winsorised values; a missing one counts as the column's median rank."""
+    """Mean over the columns of the percent ranks of their winsorised values, as far as a row has them. A row without
+    any has the median of the others; 0.5 if there is none or no column."""
     out = df
     for c in cols:
         ranked = global_pct_rank(winsorize(out.withColumn("_w", F.col(c)), "_w"), "_w", "_r")
-        middle = ranked.agg(F.percentile("_r", 0.5)).first()[0]
-        out = ranked.withColumn(f"_rank_{c}", F.coalesce("_r", F.lit(middle))).drop("_w", "_r")
-    mean = sum((F.col(f"_rank_{c}") for c in cols), F.lit(0.0)) / len(cols)
-    return out.withColumn(name, clip(mean, 0.0, 1.0)).drop(*[f"_rank_{c}" for c in cols])
+        out = ranked.withColumnRenamed("_r", f"_rank_{c}").drop("_w")
+    known = [F.col(f"_rank_{c}") for c in cols]
+    total, n = sum((F.coalesce(x, F.lit(0.0)) for x in known), F.lit(0.0)), sum((x.isNotNull().cast("int") for x in known), F.lit(0))
+    out = out.withColumn(name, clip(safe_div(total, n), 0.0, 1.0)).drop(*[f"_rank_{c}" for c in cols])
+    middle = out.agg(F.percentile(name, 0.5)).first()[0] if cols else None
+    return out.withColumn(name, F.coalesce(name, F.lit(0.5 if middle is None else middle)))

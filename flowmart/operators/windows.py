@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from flowmart.functions.exprs import clip, col, flag, safe_div, sample_kurtosis, sample_skew
+from flowmart.functions.exprs import clip, col, flag, limit_pct, safe_div, sample_kurtosis, sample_skew
 
 STATS = {"mean": F.avg, "std": F.stddev_samp, "sum": F.sum, "max": F.max, "min": F.min, "median": lambda x: F.percentile(x, 0.5)}
 
@@ -170,29 +171,36 @@ def overnight_profile(df: DataFrame, windows: Sequence[int], keys: Sequence[str]
 
 
 def index_features(df: DataFrame, value: str = "close", keys: Sequence[str] = ("symbol",), order: str = "date", windows: Sequence[int] = (5, 20, 100, 200)) -> DataFrame:
-    """Of each series the previous value and return, the 5-row return, and ratios to the means of the rows before (from one row on)."""
+    """Of each series the previous value and return, the 5-row return, the means of the rows before (from half a window
+    of values on) and the previous value's ratios to them."""
     w = by(keys, order)
     prev = F.lag(value).over(w)
     made = {"prev": prev, "prev_ret": safe_div(prev, F.lag(value, 2).over(w)) - 1, "ret5": safe_div(prev, F.lag(value, 6).over(w)) - 1}
-    return df.withColumns(made | {f"to_ma_{n}": safe_div(prev, F.avg(value).over(prior(w, n))) for n in windows})
+    means = {n: guarded("mean", F.col(value), prior(w, n), (n + 1) // 2) for n in windows}
+    return df.withColumns(made | {f"ma_{n}": m for n, m in means.items()} | {f"to_ma_{n}": safe_div(prev, m) for n, m in means.items()})
 
 
-def ewm_sum(value, w: WindowSpec, alpha: float, rows: int = 110) -> Column:
-    """The sum of (1 - alpha)^i x over the last rows, where what lies further back is below the precision of a double."""
+def ewm_sum(value, w: WindowSpec, alpha: float) -> Column:
+    """The sum of (1 - alpha)^i x over the rows up to this one, 0 < alpha < 1. The frame ends where the weights fall
+    below 2^-56, less than a double holds beside values of like size."""
+    rows = math.ceil(-56 / math.log2(1 - alpha))
     kept = F.collect_list(F.coalesce(col(value), F.lit(0.0))).over(latest(w, rows))
     return F.aggregate(kept, F.lit(0.0), lambda acc, x: acc * (1 - alpha) + x)
 
 
-def limit_history(df: DataFrame, limit: Column, keys: Sequence[str] = ("ticker",), order: str = "date", windows: Sequence[int] = (3, 5, 10, 20, 60)) -> DataFrame:
-    """History of limit-up rows before each row: state and counts, streak, rows since, last return, best returns.
-    limit: the row's limit as a fraction of prev_close; the row is limit-up if its return reaches it."""
+def limit_history(df: DataFrame, limit: Column | None = None, keys: Sequence[str] = ("ticker",), order: str = "date", windows: Sequence[int] = (3, 5, 10, 20, 60), buffer: float = 0.005) -> DataFrame:
+    """History of limit-up rows before each row: state and counts (null at the first row), streaks with and without,
+    rows since, last return, best returns. limit: the row's limit as a fraction of the previous close (by the price
+    steps, if None); the row is limit-up if its return comes within `buffer` of it."""
     w = by(keys, order)
-    df = df.withColumn("_prev", F.lag("close").over(w)).withColumn("_ret", safe_div(F.col("close") - F.col("_prev"), "_prev")).withColumn("is_limit", flag(F.col("_ret") >= limit))
+    df = df.withColumn("_prev", F.lag("close").over(w)).withColumn("_ret", safe_div(F.col("close") - F.col("_prev"), "_prev"))
+    df = df.withColumn("is_limit", flag(F.col("_ret") >= (limit_pct("_prev") if limit is None else limit) - F.lit(buffer)))
     hit = F.col("is_limit") == 1
-    made = {"limit_t1": F.coalesce(F.lag("is_limit").over(w), F.lit(0)), "limit_last_ret": last_value_when(hit, "_ret", w)}
-    made |= {f"limit_count_{n}": F.coalesce(F.sum("is_limit").over(prior(w, n)), F.lit(0)) for n in windows}
+    made = {"limit_t1": F.lag("is_limit").over(w), "limit_last_ret": last_value_when(hit, "_ret", w)}
+    made |= {f"limit_count_{n}": F.sum("is_limit").over(prior(w, n)) for n in windows}
     made |= {f"max_ret_{n}": F.max("_ret").over(prior(w, n)) for n in (5, 20)}
     df = with_days_since(df.withColumns(made), hit, "limit_days_since", keys, order)
+    df = with_streak(df, ~hit, "no_limit_streak", keys, order, current=False)
     return with_streak(df, hit, "limit_streak", keys, order, current=False).drop("_prev", "_ret")
 
 
@@ -205,15 +213,18 @@ def rezscore(df: DataFrame, value: str, window: int, keys: Sequence[str], order:
     return df.withColumns({f"{value}_rez_{window}": clip(safe_div(last - m, s), -10.0, 10.0), f"{value}_revelocity_{window}": safe_div(last, m)}).drop("_m", "_s")
 
 
-def opening_history(df: DataFrame, hour: str, first_hour: int, ts: str, keys: Sequence[str] = ("ticker",), order: str = "date", window: int = 20, rise: float = 0.02) -> DataFrame:
-    """Of each day's opening bar the return and range, their mean, deviation and rate of rises over the last days, and the previous return."""
+def opening_history(df: DataFrame, hour: str, first_hour: int, ts: str, keys: Sequence[str] = ("ticker",), order: str = "date", window: int = 20, rise: float = 0.02, least: int = 10) -> DataFrame:
+    """Of each day's opening bar the return and range, their mean, deviation and rate of rises over the last days (from
+    `least` days on), and the previous return. Bars without all four prices, or that open at 0 or less, don't count."""
     rn = F.row_number().over(Window.partitionBy(*keys, order).orderBy(ts))
-    day = df.filter(F.col(hour) == first_hour).withColumn("_rn", rn).filter("_rn = 1")
+    whole = " and ".join(f"{c} is not null" for c in ("high", "low", "close"))
+    day = df.filter(F.col(hour) == first_hour).filter(f"open > 0 and {whole}").withColumn("_rn", rn).filter("_rn = 1")
     day = day.select(*keys, order, (safe_div("close", "open") - 1).alias("open_ret"), safe_div(F.col("high") - F.col("low"), "open").alias("open_range"))
     w = by(keys, order)
     frame = latest(w, window)
-    made = {"open_ret_ma": F.avg("open_ret").over(frame), "open_ret_std": F.stddev_samp("open_ret").over(frame), "open_rise_rate": F.avg(flag(F.col("open_ret") >= rise)).over(frame)}
-    return day.withColumns(made | {"open_range_ma": F.avg("open_range").over(frame), "open_ret_prev": F.lag("open_ret").over(w)})
+    of = lambda s, x: guarded(s, x, frame, least)
+    made = {"open_ret_ma": of("mean", F.col("open_ret")), "open_ret_std": of("std", F.col("open_ret")), "open_rise_rate": of("mean", flag(F.col("open_ret") >= rise))}
+    return day.withColumns(made | {"open_range_ma": of("mean", F.col("open_range")), "open_ret_prev": F.lag("open_ret").over(w)})
 
 
 def volume_family(df: DataFrame, hour: str, last_hour: int, keys: Sequence[str] = ("ticker",), order: str = "date", window: int = 20, least: int = 10) -> DataFrame:
@@ -222,3 +233,54 @@ def volume_family(df: DataFrame, hour: str, last_hour: int, keys: Sequence[str]
     day = df.groupBy(*keys, order).agg(F.sum("volume").alias("day_volume"), F.sum(F.when(late, F.col("volume"))).alias("_l"), F.avg(F.when(F.col(hour) < last_hour, F.col("volume"))).alias("_e"))
     mean = guarded("mean", F.col("day_volume"), prior(by(keys, order), window), least)
     return day.withColumns({"volume_ma": mean, "relative_volume": safe_div("day_volume", mean), "last_hour_surge": safe_div("_l", "_e")}).drop("_l", "_e")
+
+
+def frequency_surge(df: DataFrame, keys: Sequence[str] = ("ticker",), order: str = "date", buy: str = "buy_freq", sell: str = "sell_freq") -> DataFrame:
+    """Of the trades of one member, nulls as 0: means of bought and sold ones over the 5 rows before (from 2 on) and of
+    bought ones over 20 (from 5 on), and the total of the row before over the total's mean of the 20 rows before."""
+    w = by(keys, order)
+    df = df.withColumns({"_b": F.coalesce(buy, F.lit(0)), "_s": F.coalesce(sell, F.lit(0))}).withColumn("_t", F.col("_b") + F.col("_s"))
+    mean = lambda c, n, least: guarded("mean", F.col(c), prior(w, n), least)
+    made = {"buy_freq_ma_5": mean("_b", 5, 2), "sell_freq_ma_5": mean("_s", 5, 2), "buy_freq_ma_20": mean("_b", 20, 5), "freq_surge": safe_div(F.lag("_t").over(w), mean("_t", 20, 5))}
+    return df.withColumns(made).drop("_b", "_s", "_t")
+
+
+def group_rolling(df: DataFrame, group: str, all_members: str = "members", keys: Sequence[str] = ("ticker",), order: str = "date") -> DataFrame:
+    """Of a member group's totals ({group}_sum, _abs, _members, _buyers, _buy_freq): participation among all members,
+    share of buyers, consensus; the run of rows bought (rows without the group neither add nor end it); and against
+    the rows before the z over 20 (from 5 values), sums over 3 and 7 (from 1 and 3), and of bought trades the mean, z
+    and ratio over 30 (from 10). What isn't known is 0."""
+    w, g = by(keys, order), group
+    net, freq = F.col(f"{g}_sum"), F.col(f"{g}_buy_freq")
+    of = lambda s, x, n, least: guarded(s, x, prior(w, n), least)
+    up = F.sum(flag(net > 0)).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    df = df.withColumn("_up", up)
+    ended = F.max(F.when(net <= 0, F.col("_up"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    made = {
+        f"{g}_participation": safe_div(f"{g}_members", all_members), f"{g}_buyer_ratio": safe_div(f"{g}_buyers", f"{g}_members"), f"{g}_consensus": safe_div(F.abs(net), f"{g}_abs"),
+        f"{g}_streak": F.col("_up") - F.coalesce(ended, F.lit(0)), f"{g}_z_20": safe_div(net - of("mean", net, 20, 5), of("std", net, 20, 5)), f"{g}_sum_3": of("sum", net, 3, 1), f"{g}_sum_7": of("sum", net, 7, 3),
+        f"{g}_buy_freq_ma_30": of("mean", freq, 30, 10), f"{g}_buy_freq_z_30": safe_div(freq - of("mean", freq, 30, 10), of("std", freq, 30, 10)), f"{g}_buy_freq_ratio_30": safe_div(freq, of("mean", freq, 30, 10)),
+    }
+    df = df.withColumns(made).drop("_up")
+    return df.fillna(0, [f"{g}_{c}" for c in ("sum", "abs", "members", "buyers", "buy_freq")] + list(made))
+
+
+def foreign_flow(df: DataFrame, names: Sequence[str], keys: Sequence[str] = ("date", "ticker"), member: str = "broker", buy: str = "gross_buy", sell: str = "gross_sell", turnover: str = "gross_turnover") -> DataFrame:
+    """foreign_net_buy and foreign_participation (bought and sold over the turnover of all rows) by key, the mean of
+    the 5 net flows before (from 3), and z: the flow less that mean over the deviation of the 20 before (from 10).
+
+    The flows are those of the members `names` (in any case of letters), for keys that have such rows. If there are
+    none, the columns foreign_buy and foreign_sell, or foreign_net_buy alone, are taken of all rows; else none comes back.
+    """
+    mine = F.upper(member).isin([x.upper() for x in names]) if member in df.columns else F.lit(False)
+    b, s = F.col(buy), F.col(sell)
+    if df.filter(mine).isEmpty():
+        mine = F.lit(bool({"foreign_net_buy", "foreign_buy"} & set(df.columns)))
+        pair = {"foreign_buy", "foreign_sell"} <= set(df.columns)
+        net = F.col("foreign_net_buy") if "foreign_net_buy" in df.columns else F.lit(None).cast("double")
+        b, s = (F.col("foreign_buy"), F.col("foreign_sell")) if pair else (F.greatest(net, F.lit(0.0)), F.greatest(-net, F.lit(0.0)))
+    both = F.sum(F.when(mine, F.coalesce(b, F.lit(0.0)) + F.coalesce(s, F.lit(0.0))))
+    day = df.groupBy(*keys).agg(F.count(F.when(mine, 1)).alias("_n"), F.coalesce(F.sum(F.when(mine, b - s)), F.lit(0.0)).alias("foreign_net_buy"), safe_div(both, F.sum(turnover)).alias("foreign_participation")).filter("_n > 0").drop("_n")
+    w, net = by(keys[1:], keys[0]), F.col("foreign_net_buy")
+    mean = guarded("mean", net, prior(w, 5), 3)
+    return day.withColumns({"foreign_ma_5": mean, "foreign_z_20": safe_div(net - mean, guarded("std", net, prior(w, 20), 10))})

@@ -57,16 +57,11 @@ def c6_c7_members(spark, sf):
     return shown(g, *KEYS, "B0_total_net_buy", "B0_present", "B7_total_net_buy", "B7_present", "some", digits=3)
 
 
-@query("v_panel", f"""WITH f AS (SELECT date, ticker, round(coalesce(sum(total_net_buy) FILTER (broker IN ('B5', 'B6')), 0), 4) AS net, coalesce(sum(abs(total_net_buy)) FILTER (broker IN ('B5', 'B6')), 0) / nullif(sum(gross_buy + gross_sell), 0) AS part FROM v_panel GROUP BY ALL)
-  SELECT date::VARCHAR AS date, ticker, {r('net', 'part', f"{stat('avg', 'net', 5, 3)} AS ma5", f"(net - {stat('avg', 'net', 20, 10)}) / nullif({stat('stddev_samp', 'net', 20, 10)}, 0) AS z", n=4)} FROM f""")
+@query("v_panel", f"""WITH f AS (SELECT date, ticker, coalesce(sum(gross_buy - gross_sell) FILTER (broker IN ('B5', 'B6')), 0) AS net, sum(gross_buy + gross_sell) FILTER (broker IN ('B5', 'B6')) / nullif(sum(gross_buy + gross_sell), 0) AS part FROM v_panel GROUP BY ALL HAVING bool_or(broker IN ('B5', 'B6')))
+  SELECT date::VARCHAR AS date, ticker, {r('net AS foreign_net_buy', 'part AS foreign_participation', f"{stat('avg', 'net', 5, 3)} AS foreign_ma_5", f"(net - {stat('avg', 'net', 5, 3)}) / nullif({stat('stddev_samp', 'net', 20, 10)}, 0) AS foreign_z_20", n=3)} FROM f""")
 def c8_foreign_flow(spark, sf):
-    own = F.col("broker").isin("B5", "B6")
-    f = V.panel(spark, sf).groupBy(*KEYS).agg(
-        F.round(F.coalesce(F.sum(F.when(own, F.col("total_net_buy"))), F.lit(0.0)), 4).alias("net"),
-        X.safe_div(F.coalesce(F.sum(F.when(own, F.abs("total_net_buy"))), F.lit(0.0)), F.sum(F.col("gross_buy") + F.col("gross_sell"))).alias("part"),
-    )
-    f = W.rolling(W.rolling(f, ["net"], [5], ["mean"], ["ticker"], least=3).withColumnRenamed("net_mean_5", "ma5"), ["net"], [20], ["mean", "std"], ["ticker"], least=10)
-    return shown(f.withColumn("z", X.safe_div(F.col("net") - F.col("net_mean_20"), "net_std_20")), *KEYS, "net", "part", "ma5", "z", digits=4)
+    f = W.foreign_flow(V.panel(spark, sf).withColumn("gross_turnover", F.col("gross_buy") + F.col("gross_sell")), ["b5", "b6"])
+    return shown(f, *KEYS, "foreign_net_buy", "foreign_participation", "foreign_ma_5", "foreign_z_20", digits=3)
 
 
 @query("v_panel", f"""WITH a AS (SELECT *, abs(total_net_buy) AS x FROM v_panel)

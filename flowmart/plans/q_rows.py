@@ -116,7 +116,10 @@ def with_flow_ratios(df):
     """Ratios of one row's flows; sides that only bought have 99 and those that only sold 0.01 for bought over sold."""
     buy, sell = F.coalesce("gross_buy", F.lit(0.0)), F.coalesce("gross_sell", F.lit(0.0))
     only_buy, only_sell = (buy > 0) & (sell == 0), (sell > 0) & (buy == 0)
-    df = df.withColumns({"gross_turnover": buy + sell, "net_volume": F.col("buy_volume") - F.col("sell_volume"), "is_buy_only": X.flag(only_buy), "is_sell_only": X.flag(only_sell), "total_trades": F.col("buy_freq") + F.col("sell_freq"), "abs_net_buy": F.abs("total_net_buy")})
+    or_0 = lambda c: F.coalesce(c, F.lit(0))
+    made = {"gross_turnover": buy + sell, "net_volume": or_0("buy_volume") - or_0("sell_volume")}
+    made = {c: x for c, x in made.items() if c not in df.columns}  # those that are given stay
+    df = df.withColumns(made | {"is_buy_only": X.flag(only_buy), "is_sell_only": X.flag(only_sell), "total_trades": or_0("buy_freq") + or_0("sell_freq"), "abs_net_buy": F.abs("total_net_buy")})
     ratio = lambda a, b: F.when(only_buy, 99.0).when(only_sell, 0.01).otherwise(X.safe_div(a, b))
     return df.withColumns(
         {
@@ -132,13 +135,19 @@ def ratio_sql(a, b, name):
 
 
 FLOW_SQL = f"""SELECT *, gross_buy + gross_sell AS gross_turnover, abs(total_net_buy) AS abs_net_buy, total_net_buy / nullif(gross_buy + gross_sell, 0) AS net_flow_ratio, {ratio_sql('gross_buy', 'gross_sell', 'buy_sell_val_ratio')},
-  {ratio_sql('buy_volume', 'sell_volume', 'buy_sell_vol_ratio')}, {ratio_sql('buy_freq', 'sell_freq', 'buy_sell_freq_ratio')}, total_net_buy / nullif(buy_freq + sell_freq, 0) AS net_buy_per_trade,
+  {ratio_sql('buy_volume', 'sell_volume', 'buy_sell_vol_ratio')}, {ratio_sql('buy_freq', 'sell_freq', 'buy_sell_freq_ratio')}, total_net_buy / nullif(coalesce(buy_freq, 0) + coalesce(sell_freq, 0), 0) AS net_buy_per_trade, coalesce(buy_volume, 0) - coalesce(sell_volume, 0) AS net_volume, coalesce(buy_freq, 0) + coalesce(sell_freq, 0) AS total_trades,
   (gross_buy + gross_sell) / nullif(abs(total_net_buy), 0) AS churn_ratio, (avg_sell_price - avg_buy_price) / nullif(avg_buy_price, 0) AS avg_spread_pct FROM v_panel"""
 
 
-@query("v_panel", f"SELECT date::VARCHAR AS date, broker, ticker, {r(*FLOW_COLS, 'buy_sell_freq_ratio', n=5)} FROM ({FLOW_SQL})")
+HOLES = {"buy_volume": ("B3", "B4"), "sell_volume": ("B4", "B5"), "buy_freq": ("B6",), "sell_freq": ("B6", "B7")}
+HOLED_SQL = ", ".join(f"CASE WHEN broker NOT IN {(*b, '')} THEN {c} END AS {c}" for c, b in HOLES.items())
+
+
+@query("v_panel", f"SELECT date::VARCHAR AS date, broker, ticker, {r(*FLOW_COLS, 'buy_sell_freq_ratio', 'net_volume', n=5)}, total_trades FROM ({FLOW_SQL.replace('FROM v_panel', f'FROM (SELECT * REPLACE ({HOLED_SQL}) FROM v_panel)')})")
 def b2_flow_ratios(spark, sf):
-    return shown(with_flow_ratios(V.panel(spark, sf)), "date", "broker", "ticker", *FLOW_COLS, "buy_sell_freq_ratio", digits=5)
+    """Some members' volumes and trades are left out, to show what nulls do."""
+    p = V.panel(spark, sf).withColumns({c: F.when(~F.col("broker").isin(*b), F.col(c)) for c, b in HOLES.items()})
+    return shown(with_flow_ratios(p), "date", "broker", "ticker", *FLOW_COLS, "buy_sell_freq_ratio", "net_volume", "total_trades", digits=5)
 
 
 @query("v_daily", f"""SELECT date::VARCHAR AS date, ticker, {r("CASE WHEN high <> low THEN least(greatest((close - low) / (high - low), 0), 1) END AS place", "CASE WHEN high > low THEN (close - low) / (high - low) ELSE 0.5 END AS proximity")} FROM v_daily""")

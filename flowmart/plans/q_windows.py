@@ -89,12 +89,11 @@ def e9_cvd(spark, sf):
     return shown(d, "date", "ticker", "cvd_5", "cvd_ratio_5", "cvd_20", "cvd_ratio_20")
 
 
-@query("v_panel", f"""WITH f AS (SELECT date, ticker, buy_freq + sell_freq AS n FROM v_panel WHERE broker = 'B7')
-  SELECT date::VARCHAR AS date, ticker, n, {r(f"{stat('avg', 'n', 5)} AS n_mean_5", f"n / nullif({stat('avg', 'n', 20)}, 0) AS surge")} FROM f""")
+@query("v_panel", f"""WITH f AS (SELECT date, ticker, coalesce(buy_freq, 0) AS b, coalesce(sell_freq, 0) AS s, coalesce(buy_freq, 0) + coalesce(sell_freq, 0) AS t FROM v_panel WHERE broker = 'B7')
+  SELECT date::VARCHAR AS date, ticker, {r(f"{stat('avg', 'b', 5, 2)} AS buy_freq_ma_5", f"{stat('avg', 's', 5, 2)} AS sell_freq_ma_5", f"{stat('avg', 'b', 20, 5)} AS buy_freq_ma_20", f"lag(t) OVER ({TICKER}) / nullif({stat('avg', 't', 20, 5)}, 0) AS freq_surge")} FROM f""")
 def e10_frequency_surge(spark, sf):
-    f = V.panel(spark, sf).filter("broker = 'B7'").withColumn("n", F.col("buy_freq") + F.col("sell_freq"))
-    f = W.rolling(f, ["n"], [5, 20], ["mean"], ["ticker"]).withColumn("surge", X.safe_div("n", "n_mean_20"))
-    return shown(f, "date", "ticker", "n", "n_mean_5", "surge")
+    f = W.frequency_surge(V.panel(spark, sf).filter("broker = 'B7'"))
+    return shown(f, "date", "ticker", "buy_freq_ma_5", "sell_freq_ma_5", "buy_freq_ma_20", "freq_surge")
 
 
 @query("v_panel", f"""WITH n AS (SELECT *, row_number() OVER ({PAIR}) AS rn, (abs(total_net_buy) > 0)::INT AS act, (total_net_buy > 0)::INT AS up FROM v_panel),
@@ -112,15 +111,15 @@ def e11_e14_activity(spark, sf):
     return p.select(day().alias("date"), *keys, *[F.col(c).cast("double").alias(c) for c in ("active_days_in_5", "days_since_last_active", "since_buy")], "buy_streak", "streak_before", "last_buy")
 
 
-@query("v_daily", f"""WITH a AS (SELECT *, (close - lag(close) OVER ({TICKER})) / lag(close) OVER ({TICKER}) AS ret FROM v_daily), b AS (SELECT *, coalesce((ret >= 0.25)::INT, 0) AS is_limit, row_number() OVER ({TICKER}) AS rn FROM a),
-  c AS (SELECT *, coalesce(max(CASE WHEN is_limit = 0 THEN rn END) OVER ({TICKER} ROWS UNBOUNDED PRECEDING), 0) AS miss FROM b)
-  SELECT date::VARCHAR AS date, ticker, is_limit, coalesce(lag(is_limit) OVER ({TICKER}), 0) AS limit_t1, coalesce(sum(is_limit) {prior(5)}, 0)::INT AS limit_count_5, coalesce(sum(is_limit) {prior(20)}, 0)::INT AS limit_count_20,
+@query("v_daily", f"""WITH a AS (SELECT *, (close - lag(close) OVER ({TICKER})) / lag(close) OVER ({TICKER}) AS ret FROM v_daily), b AS (SELECT *, coalesce((ret >= CASE WHEN close / (1 + ret) <= 200 THEN 0.35 WHEN close / (1 + ret) <= 5000 THEN 0.25 ELSE 0.2 END - 0.005)::INT, 0) AS is_limit, row_number() OVER ({TICKER}) AS rn FROM a),
+  c AS (SELECT *, coalesce(max(CASE WHEN is_limit = 0 THEN rn END) OVER ({TICKER} ROWS UNBOUNDED PRECEDING), 0) AS miss, coalesce(max(CASE WHEN is_limit = 1 THEN rn END) OVER ({TICKER} ROWS UNBOUNDED PRECEDING), 0) AS hit FROM b)
+  SELECT date::VARCHAR AS date, ticker, is_limit, (lag(is_limit) OVER ({TICKER}))::DOUBLE AS limit_t1, (sum(is_limit) {prior(5)})::DOUBLE AS limit_count_5, (sum(is_limit) {prior(20)})::DOUBLE AS limit_count_20, coalesce(lag(rn - hit) OVER ({TICKER}), 0)::INT AS no_limit_streak,
     (rn - 1 - max(CASE WHEN is_limit = 1 THEN rn END) OVER ({TICKER} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))::DOUBLE AS limit_days_since, coalesce(lag(rn - miss) OVER ({TICKER}), 0)::INT AS limit_streak,
     {r(f"last_value(CASE WHEN is_limit = 1 THEN ret END IGNORE NULLS) OVER ({TICKER} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS limit_last_ret", f"max(ret) {prior(5)} AS max_ret_5", f"max(ret) {prior(20)} AS max_ret_20")} FROM c""")
 def e15_limit_history(spark, sf):
-    d = W.limit_history(V.daily(spark, sf), F.lit(0.25))
-    d = d.withColumns({c: F.col(c).cast("int") for c in ("limit_count_5", "limit_count_20")} | {"limit_days_since": F.col("limit_days_since").cast("double")})
-    return shown(d, "date", "ticker", "is_limit", "limit_t1", "limit_count_5", "limit_count_20", "limit_days_since", "limit_streak", "limit_last_ret", "max_ret_5", "max_ret_20")
+    d = W.limit_history(V.daily(spark, sf))
+    d = d.withColumns({c: F.col(c).cast("double") for c in ("limit_t1", "limit_count_5", "limit_count_20", "limit_days_since")})
+    return shown(d, "date", "ticker", "is_limit", "limit_t1", "limit_count_5", "limit_count_20", "limit_days_since", "limit_streak", "no_limit_streak", "limit_last_ret", "max_ret_5", "max_ret_20")
 
 
 @query("v_daily", f"SELECT date::VARCHAR AS date, ticker, {r(f'quantile_cont(close * volume, 0.5) {upto(20)} AS median_turnover', n=3)} FROM v_daily")
@@ -149,13 +148,13 @@ def e20_overnight_profile(spark, sf):
 IDX = "PARTITION BY symbol ORDER BY date"
 
 
-@query("v_index", f"""SELECT date::VARCHAR AS date, symbol, {r(f"lag(close) OVER ({IDX}) / nullif(lag(close, 2) OVER ({IDX}), 0) - 1 AS prev_ret", f"lag(close) OVER ({IDX}) / nullif(lag(close, 6) OVER ({IDX}), 0) - 1 AS ret5", f"lag(close) OVER ({IDX}) / nullif(avg(close) {prior(20, IDX)}, 0) AS to_ma_20", f"lag(close) OVER ({IDX}) / nullif(avg(close) {prior(200, IDX)}, 0) AS to_ma_200")} FROM v_index""")
+@query("v_index", f"""SELECT date::VARCHAR AS date, symbol, {r(f"{stat('avg', 'close', 5, 3, IDX)} AS ma_5", f"lag(close) OVER ({IDX}) / nullif(lag(close, 2) OVER ({IDX}), 0) - 1 AS prev_ret", f"lag(close) OVER ({IDX}) / nullif(lag(close, 6) OVER ({IDX}), 0) - 1 AS ret5", f"lag(close) OVER ({IDX}) / nullif({stat('avg', 'close', 20, 10, IDX)}, 0) AS to_ma_20", f"lag(close) OVER ({IDX}) / nullif({stat('avg', 'close', 200, 100, IDX)}, 0) AS to_ma_200")} FROM v_index""")
 def e21_index_features(spark, sf):
-    return shown(W.index_features(V.index(spark, sf)), "date", "symbol", "prev_ret", "ret5", "to_ma_20", "to_ma_200")
+    return shown(W.index_features(V.index(spark, sf)), "date", "symbol", "ma_5", "prev_ret", "ret5", "to_ma_20", "to_ma_200")
 
 
 @query("v_panel", f"""WITH f AS (SELECT date, ticker, round(sum(total_net_buy), 4) AS net FROM v_panel GROUP BY ALL)
-  SELECT date::VARCHAR AS date, ticker, {r(f"list_reduce(list_prepend(0.0, list(net) {upto(110)}), lambda a, x: a * 0.7 + x) AS decay", f"sum(net) {upto(10)} AS inventory_10", n=3)} FROM f""")
+  SELECT date::VARCHAR AS date, ticker, {r(f"list_reduce(list_prepend(0.0, list(net) OVER ({TICKER} ROWS UNBOUNDED PRECEDING)), lambda a, x: a * 0.7 + x) AS decay", f"sum(net) {upto(10)} AS inventory_10", n=3)} FROM f""")
 def e22_ewm_sum(spark, sf):
     f = V.panel(spark, sf).groupBy("date", "ticker").agg(F.round(F.sum("total_net_buy"), 4).alias("net"))
     w = W.by(["ticker"])
@@ -180,15 +179,22 @@ def e24_e25_cumulative(spark, sf):
     return h.select("ticker", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), F.sum("volume").over(run).alias("cum_volume"), F.max("high").over(run).alias("high_so_far"), F.nth_value("close", 2).over(whole).alias("second_close"))
 
 
-@query("v_panel", f"""WITH f AS (SELECT date, ticker, round(coalesce(sum(total_net_buy) FILTER (broker IN ('B1', 'B2', 'B3')), 0), 4) AS net FROM v_panel GROUP BY ALL), n AS (SELECT *, row_number() OVER ({TICKER}) AS rn FROM f),
-  m AS (SELECT *, coalesce(max(CASE WHEN net <= 0 THEN rn END) OVER ({TICKER} ROWS UNBOUNDED PRECEDING), 0) AS miss FROM n)
-  SELECT date::VARCHAR AS date, ticker, (rn - miss)::INT AS buy_streak, {r(f"sum(net) {upto(3)} AS net_sum_3", f"sum(net) {upto(7)} AS net_sum_7", f"CASE WHEN count(net) {upto(20)} >= 5 THEN (net - avg(net) {upto(20)}) / nullif(stddev_samp(net) {upto(20)}, 0) END AS z20", n=4)} FROM m""")
+GROUP_PARTS = ("members / nullif(n, 0) AS g_participation", "buyers / nullif(members, 0) AS g_buyer_ratio", "abs(net) / nullif(total, 0) AS g_consensus", f"(net - {stat('avg', 'net', 20, 5)}) / nullif({stat('stddev_samp', 'net', 20, 5)}, 0) AS g_z_20", f"{stat('sum', 'net', 3, 1)} AS g_sum_3", f"{stat('sum', 'net', 7, 3)} AS g_sum_7",
+    f"{stat('avg', 'freq', 30, 10)} AS g_buy_freq_ma_30", f"(freq - {stat('avg', 'freq', 30, 10)}) / nullif({stat('stddev_samp', 'freq', 30, 10)}, 0) AS g_buy_freq_z_30", f"freq / nullif({stat('avg', 'freq', 30, 10)}, 0) AS g_buy_freq_ratio_30")
+OWN = "FILTER (broker IN ('B1', 'B2'))"
+
+
+@query("v_panel", f"""WITH f AS (SELECT date, ticker, count(*) AS n, nullif(count(*) {OWN}, 0) AS members, CASE WHEN count(*) {OWN} > 0 THEN count(*) FILTER (broker IN ('B1', 'B2') AND total_net_buy > 0) END AS buyers, round(sum(total_net_buy) {OWN}, 4) AS net, sum(abs(total_net_buy)) {OWN} AS total, sum(buy_freq) {OWN} AS freq FROM v_panel GROUP BY ALL),
+  s AS (SELECT *, coalesce(sum((net <= 0)::INT) OVER ({TICKER} ROWS UNBOUNDED PRECEDING), 0) AS run FROM f)
+  SELECT date::VARCHAR AS date, ticker, coalesce(sum(coalesce((net > 0)::INT, 0)) OVER (PARTITION BY ticker, run ORDER BY date ROWS UNBOUNDED PRECEDING), 0)::BIGINT AS g_streak, {r(*[f"coalesce({x.rpartition(' AS ')[0]}, 0) AS {x.rpartition(' AS ')[2]}" for x in GROUP_PARTS], n=3)}
+  FROM (SELECT *, {', '.join(GROUP_PARTS)} FROM s)""")
 def e8_group_rolling(spark, sf):
-    f = V.panel(spark, sf).groupBy("date", "ticker").agg(F.round(F.coalesce(F.sum(F.when(F.col("broker").isin("B1", "B2", "B3"), F.col("total_net_buy"))), F.lit(0.0)), 4).alias("net"))
-    f = W.with_streak(f, F.col("net") > 0, "buy_streak", ["ticker"])
-    f = W.rolling(f, ["net"], [3, 7], ["sum"], ["ticker"], shift=False, least=1)
-    f = W.rolling(f, ["net"], [20], ["mean", "std"], ["ticker"], shift=False, least=5)
-    return shown(f.withColumn("z20", X.safe_div(F.col("net") - F.col("net_mean_20"), "net_std_20")), "date", "ticker", "buy_streak", "net_sum_3", "net_sum_7", "z20", digits=4)
+    own, net = F.col("broker").isin("B1", "B2"), F.col("total_net_buy")
+    of = lambda f, x: f(F.when(own, x))
+    f = V.panel(spark, sf).groupBy("date", "ticker").agg(
+        F.count("*").alias("members"), of(F.sum, F.lit(1)).alias("g_members"), of(F.sum, X.flag(net > 0)).alias("g_buyers"), F.round(of(F.sum, net), 4).alias("g_sum"), of(F.sum, F.abs(net)).alias("g_abs"), of(F.sum, F.col("buy_freq")).alias("g_buy_freq"),
+    )
+    return shown(W.group_rolling(f, "g"), "date", "ticker", "g_streak", *[x.rpartition(" AS ")[2] for x in GROUP_PARTS], digits=3)
 
 
 @query("v_panel", f"""SELECT date::VARCHAR AS date, broker, ticker, {r("(rank() OVER (PARTITION BY date, ticker ORDER BY total_net_buy) + (count(*) OVER (PARTITION BY date, ticker, total_net_buy) - 1) / 2.0) / count(*) OVER (PARTITION BY date, ticker) AS p")} FROM v_panel""")
@@ -225,13 +231,19 @@ def f7_extremes(spark, sf):
     return ranks.extremes(V.daily(spark, sf), "close", ["date", "ticker"], 10).select(day().alias("date"), "ticker", "close", "side")
 
 
-WINSOR = "SELECT quantile_cont(close, 0.01) a, quantile_cont(close, 0.99) b, quantile_cont(volume, 0.01) c, quantile_cont(volume, 0.99) d FROM v_daily"
+WINSOR = "SELECT quantile_cont(close, 0.01) a, quantile_cont(close, 0.99) b, quantile_cont(volume, 0.01) c, quantile_cont(volume, 0.99) d FROM h"
+RANK = "CASE WHEN {0} IS NOT NULL THEN (rank() OVER (ORDER BY {0} NULLS LAST) + (count({0}) OVER (PARTITION BY {0}) - 1) / 2.0) / count({0}) OVER () END AS r{0}"
 
 
-@query("v_daily", f"""WITH q AS ({WINSOR}), w AS (SELECT date, ticker, least(greatest(close, a), b) AS x, least(greatest(volume, c), d) AS y FROM v_daily, q)
-  SELECT date::VARCHAR AS date, ticker, {r("((rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0) / count(*) OVER () + (rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0) / count(*) OVER ()) / 2 AS risk_norm")} FROM w""")
+@query("v_daily", f"""WITH h AS (SELECT date, ticker, CASE WHEN ticker NOT IN ('T3', 'T4') THEN close END AS close, CASE WHEN ticker NOT IN ('T4', 'T5') THEN volume END AS volume FROM v_daily), q AS ({WINSOR}),
+  w AS (SELECT date, ticker, CASE WHEN close IS NOT NULL THEN least(greatest(close, a), b) END AS x, CASE WHEN volume IS NOT NULL THEN least(greatest(volume, c), d) END AS y FROM h, q),
+  k AS (SELECT date, ticker, {RANK.format('x')}, {RANK.format('y')} FROM w), m AS (SELECT date, ticker, coalesce((rx + ry) / 2, rx, ry) AS risk FROM k)
+  SELECT date::VARCHAR AS date, ticker, {r("coalesce(risk, (SELECT quantile_cont(risk, 0.5) FROM m)) AS risk_norm")} FROM m""")
 def f8_risk_score(spark, sf):
-    return shown(ranks.risk_score(V.daily(spark, sf), ["close", "volume"]), "date", "ticker", "risk_norm")
+    """Some values are left out, to show what nulls do."""
+    kept = lambda c, *without: F.when(~F.col("ticker").isin(*without), F.col(c))
+    d = V.daily(spark, sf).withColumns({"close": kept("close", "T3", "T4"), "volume": kept("volume", "T4", "T5")})
+    return shown(ranks.risk_score(d, ["close", "volume"]), "date", "ticker", "risk_norm")
 
 
 @query()
@@ -261,8 +273,8 @@ def e7_rezscore(spark, sf):
     return shown(W.rezscore(V.daily(spark, sf), "close", 5, ["ticker"]), "date", "ticker", "close_rez_5", "close_revelocity_5", digits=5)
 
 
-@query("v_hourly", f"""WITH d AS (SELECT date, ticker, close / nullif(open, 0) - 1 AS open_ret, (high - low) / nullif(open, 0) AS open_range FROM (SELECT *, row_number() OVER (PARTITION BY ticker, date ORDER BY ts) AS rn FROM v_hourly WHERE hour = 9) WHERE rn = 1)
-  SELECT date::VARCHAR AS date, ticker, {r('open_ret', 'open_range', f'avg(open_ret) {upto(20)} AS open_ret_ma', f'stddev_samp(open_ret) {upto(20)} AS open_ret_std', f'avg((open_ret >= 0.02)::INT) {upto(20)} AS open_rise_rate', f'avg(open_range) {upto(20)} AS open_range_ma', f'lag(open_ret) OVER ({TICKER}) AS open_ret_prev', n=5)} FROM d""")
+@query("v_hourly", f"""WITH d AS (SELECT date, ticker, close / nullif(open, 0) - 1 AS open_ret, (high - low) / nullif(open, 0) AS open_range FROM (SELECT *, row_number() OVER (PARTITION BY ticker, date ORDER BY ts) AS rn FROM v_hourly WHERE hour = 9 AND open > 0) WHERE rn = 1)
+  SELECT date::VARCHAR AS date, ticker, {r('open_ret', 'open_range', *[f'CASE WHEN count(*) {upto(20)} >= 10 THEN {e} {upto(20)} END AS {n}' for e, n in (('avg(open_ret)', 'open_ret_ma'), ('stddev_samp(open_ret)', 'open_ret_std'), ('avg((open_ret >= 0.02)::INT)', 'open_rise_rate'), ('avg(open_range)', 'open_range_ma'))], f'lag(open_ret) OVER ({TICKER}) AS open_ret_prev', n=5)} FROM d""")
 def e19_opening_history(spark, sf):
     h = W.opening_history(V.hourly(spark, sf), "hour", 9, "ts")
     return shown(h, "date", "ticker", "open_ret", "open_range", "open_ret_ma", "open_ret_std", "open_rise_rate", "open_range_ma", "open_ret_prev", digits=5)
