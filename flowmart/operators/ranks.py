@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowmart.functions.exprs import clip, cut, flag
+from flowmart.functions.exprs import clip, cut, flag, safe_div
 
 
 def pct_rank(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
