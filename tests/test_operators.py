@@ -211,3 +211,35 @@ def test_column_families(spark):
     assert R.column_families(df, {"flow_": ["a", "flow_c", "none"]}).columns == ["flow_a", "b", "flow_c"]
     with pytest.raises(ValueError, match="taken"):
         R.column_families(df.withColumn("c", F.lit(1)), {"flow_": ["c"]})
+
+
+def test_frequency_surge_uses_earlier_rows_of_one_key(spark):
+    d = spark.createDataFrame([("A", i, i, 1) for i in range(1, 8)] + [("B", 1, 100, 0), ("B", 2, None, 5)], "ticker string, date int, buy_freq int, sell_freq int")
+    got = {(r.ticker, r.date): r for r in W.frequency_surge(d).collect()}
+    assert got["A", 2].buy_freq_ma_5 is None and got["A", 3].buy_freq_ma_5 == 1.5
+    assert got["A", 5].freq_surge is None and got["A", 6].freq_surge == 6 / 4  # the row before over the mean of 2 to 6
+    assert got["B", 1].freq_surge is None and got["B", 2].buy_freq_ma_5 is None
+
+
+def test_group_rolling_leaves_the_current_row_out(spark):
+    rows = [("A", i, x, 2, 1, 3.0) for i, x in enumerate([1.0, 2.0, None, 4.0, -1.0, 6.0])]
+    d = spark.createDataFrame(rows, "ticker string, date int, g_sum double, g_members int, g_buyers int, g_abs double").withColumns({"members": F.lit(4), "g_buy_freq": F.lit(1)})
+    got = W.group_rolling(d, "g").orderBy("date").collect()
+    assert [r.g_sum_3 for r in got] == [0, 1, 3, 3, 6, 3] and [r.g_streak for r in got] == [1, 2, 2, 3, 0, 1]
+    assert [r.g_sum_7 for r in got] == [0, 0, 0, 0, 7, 6] and got[0].g_participation == 0.5
+
+
+def test_risk_score_means_what_is_there(spark):
+    d = spark.createDataFrame([(i, float(i), None if i == 1 else float(i)) for i in range(1, 5)] + [(9, None, None)], "id int, a double, b double")
+    got = {r.id: r.risk_norm for r in ranks.risk_score(d, ["a", "b"]).collect()}
+    assert got[1] == 0.25 and got[4] == 1.0 and abs(got[9] - (got[2] + got[3]) / 2) < 1e-12
+    assert {r.risk_norm for r in ranks.risk_score(d, []).collect()} == {0.5}
+
+
+def test_foreign_flow_by_members_or_columns(spark):
+    d = spark.createDataFrame([(1, "A", "Foreign", 30.0, 10.0, 40.0), (1, "A", "X", 5.0, 55.0, 60.0), (1, "B", "X", 1.0, 1.0, 2.0)], "date int, ticker string, broker string, gross_buy double, gross_sell double, gross_turnover double")
+    (r,) = W.foreign_flow(d, ["FOREIGN"]).collect()
+    assert (r.ticker, r.foreign_net_buy, r.foreign_participation) == ("A", 20.0, 0.4)
+    assert W.foreign_flow(d, ["none"]).count() == 0
+    by_column = W.foreign_flow(d.withColumns({"foreign_buy": F.lit(3.0), "foreign_sell": F.lit(1.0)}), ["none"])
+    assert {r.ticker: r.foreign_net_buy for r in by_column.collect()} == {"A": 4.0, "B": 2.0}
