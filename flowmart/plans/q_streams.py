@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +15,10 @@ EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, valu
 
 
 def folder(spark: SparkSession, label: str) -> str:
-    """A new folder that driver and executors share."""
+    """A new folder that driver and executors share: in spark.checkpoint.dir, else the checkpoint folder that was set, else
+    the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-flowmart-"))
-        named = spark.sparkContext.getCheckpointDir()
+    named = named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
     return f"{named.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
