@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -58,26 +58,28 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def map_texts(docs: DataFrame, fn: Callable[[list[bytes | None]], list], added: str, carry: list[str], text: str = "text", block_bytes: int = 2_000_000) -> DataFrame:
     """Columns `carry` of docs and the columns `added` (DDL), which fn makes from the whole texts as UTF-8, a block of
-    rows at a time. A block has about block_bytes of text, or one longer text."""
-    rows = docs.select(*dict.fromkeys([*carry, text]))
+    rows at a time. A block has about block_bytes of text, or one longer text. Only the texts go to Python and only
+    what fn makes comes back; the columns carried wait in the JVM, which spills them."""
     new = StructType.fromDDL(added)
-    schema = StructType([rows.schema[c] for c in carry] + new.fields)
-    arrow = to_arrow_schema(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            column = b.column(b.schema.get_field_index(text))
-            texts = column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
-            ends = np.cumsum(np.array([0 if n is None else n for n in pc.binary_length(texts).to_pylist()], np.int64))
-            at = 0
-            while at < b.num_rows:
-                stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + block_bytes, "right")))
-                made = fn(texts.slice(at, stop - at).to_pylist())
-                own = [b.column(b.schema.get_field_index(c)).slice(at, stop - at) for c in carry]
-                yield pa.RecordBatch.from_arrays(own + [x if isinstance(x, pa.Array) else pa.array(x, type=arrow.field(len(carry) + i).type) for i, x in enumerate(made)], names=arrow.names)
-                at = stop
-
-    return rows.mapInArrow(run, schema)
+    fields = list(to_arrow_schema(new))
+
+    def run(column: pa.Array) -> pa.Array:
+        texts = column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
+        ends = np.cumsum(np.array([0 if n is None else n for n in pc.binary_length(texts).to_pylist()], np.int64))
+        parts, at = [], 0
+        while at < len(texts):
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + block_bytes, "right")))
+            made = fn(texts.slice(at, stop - at).to_pylist())
+            parts.append(pa.StructArray.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, type=f.type) for x, f in zip(made, fields, strict=True)], fields=fields))
+            at = stop
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.struct(fields))
+
+    name = "_made"
+    while name in carry:
+        name += "_"
+    # Not deterministic for the optimiser, which would else call fn once more for each filter on its results.
+    told = F.arrow_udf(run, new).asNondeterministic()
+    return docs.select(*carry, told(F.col(text)).alias(name)).select(*carry, f"{name}.*")
 
 
 def hashed_sample(docs: DataFrame, label: str, most: int, seed: int = 0) -> list[Row]:
