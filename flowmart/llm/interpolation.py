@@ -23,8 +23,8 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +41,7 @@ BLOCK, RANGE, FAN = 200_000, 1_000_000, 4_096
 GROUP_BYTES = 8 << 20
 #: Buckets of predecessors by the binary logarithm of their count (0: never seen), and steps of both estimates.
 BUCKETS, STEPS = 48, 64
+SQUEEZE, UNSQUEEZE = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 BLOCK_COLUMNS = "block long, n_tokens long, n_kept long, n_held long, parts binary, sizes binary, words binary, tokens binary"
 
 
@@ -51,13 +52,14 @@ def tokens(text: bytes | None) -> list[bytes]:
 
 
 def packed(x: np.ndarray) -> bytes:
-    """The lowest bytes of all numbers, then the next ones, and so on: small or sorted numbers compress well so."""
-    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+    """The lowest bytes of all numbers, then the next ones, and so on: small or sorted numbers compress well so. They
+    are compressed here, so that Spark moves, sorts and holds them so."""
+    return SQUEEZE.compress(x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes())
 
 
 def unpacked(data: bytes | pa.Buffer, kind: type) -> np.ndarray:
     size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+    return np.ascontiguousarray(np.frombuffer(UNSQUEEZE.decompress(data), np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 class Numbers(dict):
@@ -190,7 +192,7 @@ def sums_of(got: pa.Table, kind: type = np.int32) -> tuple[np.ndarray, np.ndarra
 
 def answered(got: pa.Table, place: np.ndarray, kept: np.ndarray, total: np.ndarray, distinct: int) -> pa.Table:
     """The sums at `place` cut into the rows of `got`; the first one also tells `distinct`."""
-    ends = np.cumsum([x // 8 for x in pc.binary_length(got["keys"]).to_pylist()]).tolist()
+    ends = np.cumsum([zstandard.frame_content_size(x.as_buffer()) // 8 for x in got["keys"]]).tolist()
     cuts = list(zip([0, *ends], ends, got["block"].to_pylist(), strict=False))
     sums = [packed(total[place[a:b]]) for a, b, _ in cuts], [packed(kept[place[a:b]]) if block % 2 else None for a, b, block in cuts]
     return pa.table([got["block"], got["range"], *(pa.array(x, pa.binary()) for x in sums), pa.array([distinct] + [0] * (len(ends) - 1), pa.int64())], names=["block", "range", "total", "kept", "distinct"])
