@@ -1,39 +1,37 @@
-"""Average directional index. Its smoothings are recursions over a whole series, so each ticker's series is one group
-of a pandas function; a series is as long as its history of days, not as the table."""
+"""Average directional index: two rounds of Wilder means, each by blocks of time."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
-
-
-def smoothed(x: np.ndarray, n: int) -> np.ndarray:
-    """Wilder's mean: the first known value, then (n - 1) / n of the last and 1 / n of the new; known from n values on."""
-    s = pd.Series(x).ewm(alpha=1 / n, adjust=False, min_periods=n).mean()
-    return s.to_numpy()
-
-
-def adx_of(pdf: pd.DataFrame, n: int) -> pd.DataFrame:
-    pdf = pdf.sort_values("date")
-    high, low, prev = pdf["high"].to_numpy(float), pdf["low"].to_numpy(float), pdf["close"].shift(1).to_numpy(float)
-    with np.errstate(all="ignore"):
-        true_range = np.fmax(high - low, np.fmax(np.abs(high - prev), np.abs(low - prev)))
-        up, down = np.diff(high, prepend=np.nan), -np.diff(low, prepend=np.nan)
-        plus, minus = np.where((up > down) & (up > 0), up, 0.0), np.where((down > up) & (down > 0), down, 0.0)
-        atr = smoothed(true_range, n)
-        atr[atr == 0] = np.nan
-        di_plus, di_minus = 100 * smoothed(plus, n) / atr, 100 * smoothed(minus, n) / atr
-        total = di_plus + di_minus
-        dx = 100 * np.abs(di_plus - di_minus) / np.where(total == 0, np.nan, total)
-    return pd.DataFrame({"date": pdf["date"], "ticker": pdf["ticker"], "adx": smoothed(dx, n), "di_plus": di_plus, "di_minus": di_minus, "di_diff": di_plus - di_minus})
-
-
-def wilder_adx(daily: DataFrame, n: int = 14) -> DataFrame:
-    """(date, ticker, adx, di_plus, di_minus, di_diff) from daily bars; null until n values are known."""
-    schema = "date date, ticker string, adx double, di_plus double, di_minus double, di_diff double"
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        return adx_of(pdf, n).astype(object).where(lambda x: x.notna(), None)
-
-    return daily.select("date", "ticker", "high", "low", "close").groupBy("ticker").applyInPandas(run, schema)
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from flowmart.operators.scans import wilder_means
+
+
+def wilder_adx(daily: DataFrame, n: int = 14, width: int = 128) -> DataFrame:
+    """(date, ticker, adx, di_plus, di_minus, di_diff) from daily bars (date, ticker, high, low, close), unique by date
+    and ticker; null until n values are known. `width` is the length in days of the blocks that a series is cut into.
+
+    The previous bar of a block's first one is carried in from the last block that has rows.
+    """
+    keys = ["ticker"]
+    rows = daily.select("date", "ticker", "high", "low", "close", F.floor(F.unix_date("date") / width).alias("_b"))
+    ends = rows.groupBy(*keys, "_b").agg(F.max_by(F.struct("high", "low", "close"), "date").alias("_end"))
+    ends = ends.select(*keys, "_b", F.lag("_end").over(Window.partitionBy(*keys).orderBy("_b")).alias("_in"))
+    own = F.lag(F.struct("high", "low", "close")).over(Window.partitionBy(*keys, "_b").orderBy("date"))
+    rows = rows.withColumn("_own", own).join(ends, [*keys, "_b"]).withColumn("_was", F.coalesce("_own", "_in"))
+    up, down = F.col("high") - F.col("_was.high"), F.col("_was.low") - F.col("low")
+    moves = rows.select(
+        "date",
+        "ticker",
+        F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - F.col("_was.close")), F.abs(F.col("low") - F.col("_was.close"))).alias("range"),
+        F.when((up > down) & (up > 0), up).otherwise(0.0).alias("plus"),
+        F.when((down > up) & (down > 0), down).otherwise(0.0).alias("minus"),
+    )
+    m = wilder_means(moves, keys, "date", ["range", "plus", "minus"], n, width)
+    share = lambda c: 100 * F.col(c) / F.nullif("range", F.lit(0.0))
+    m = m.select("date", "ticker", share("plus").alias("di_plus"), share("minus").alias("di_minus"))
+    total = F.col("di_plus") + F.col("di_minus")
+    m = m.withColumn("adx", 100 * F.abs(F.col("di_plus") - F.col("di_minus")) / F.nullif(total, F.lit(0.0)))
+    m = wilder_means(m, keys, "date", ["adx"], n, width)
+    return m.select("date", "ticker", "adx", "di_plus", "di_minus", (F.col("di_plus") - F.col("di_minus")).alias("di_diff"))

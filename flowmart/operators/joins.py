@@ -64,18 +64,40 @@ def band_join(df: DataFrame, bands: DataFrame, value: str, low: str = "lo", high
     return df.join(F.broadcast(bands), (F.col(value) >= F.col(low)) & (F.col(value) < F.col(high)), "left")
 
 
-def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], on: str, values: Sequence[str], strict: bool = False, max_age_days: int | None = None) -> DataFrame:
+def time_block(on: Column, kind: str, width: int) -> Column:
+    """The number of the time block of `width` days (of a number: of `width` units); later blocks have larger numbers."""
+    if kind == "date":
+        return F.floor(F.unix_date(on) / width)
+    if kind.startswith("timestamp"):
+        return F.floor(F.unix_micros(on.cast("timestamp")) / (width * 86_400_000_000))
+    return F.floor(on / width)
+
+
+def asof_join(left: DataFrame, right: DataFrame, by: Sequence[str], on: str, values: Sequence[str], strict: bool = False, max_age_days: int | None = None, width: int = 64) -> DataFrame:
     """left with `values` of the latest row of right at or before (strict: before) its time, of the same key.
 
-    Both sides are put in one ordered window for each key, so no range join multiplies rows. right should be unique
-    by key and time. Also adds {on}_found, the time of that row.
+    Rows go by key and time block, so that one key with all rows is spread over its blocks. The last right row of each
+    block is carried over the small table of (key, block) into every later block up to the next one with right rows.
+    Within a block one ordered window holds what was carried in, the right rows and the left rows; no range join
+    multiplies rows. `width` is the length of a block in days (of a numeric time: in its units).
+
+    right should be unique by key and time; of rows that aren't, one is taken. Right rows without time match nothing,
+    left rows without time find nothing; null keys match one another. Also adds {on}_found, the time of that row.
     """
+    kind = dict(left.dtypes)[on]
     held = F.struct(F.col(on).alias("_at"), *[F.col(v) for v in values])
-    a = left.withColumn("_held", F.lit(None).cast(right.select(held.alias("h")).schema["h"].dataType)).withColumn("_side", F.lit(0 if strict else 1))
-    b = right.select(*by, on, held.alias("_held"), F.lit(1 if strict else 0).alias("_side"))
-    w = Window.partitionBy(*by).orderBy(on, "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    both = a.unionByName(b, allowMissingColumns=True).withColumn("_last", F.last("_held", ignorenulls=True).over(w))
-    out = both.filter(F.col("_side") == (0 if strict else 1))
+    block = time_block(F.col(on), kind, width).alias("_block")
+    a = left.select("*", block, F.lit(None).cast(right.select(held.alias("h")).schema["h"].dataType).alias("_held"), F.lit(0 if strict else 1).alias("_side"))
+    b = right.filter(F.col(on).isNotNull()).select(*by, on, block, held.alias("_held"), F.lit(1 if strict else 0).alias("_side"))
+    last = b.groupBy(*by, "_block").agg(F.max_by("_held", on).alias("_last"))
+    spans = left.filter(F.col(on).isNotNull()).select(*by, block).distinct().withColumn("_last", F.lit(None).cast(last.schema["_last"].dataType)).withColumn("_asks", F.lit(1))
+    before = Window.partitionBy(*by).orderBy("_block").rangeBetween(Window.unboundedPreceding, -1)
+    carried = spans.unionByName(last.withColumn("_asks", F.lit(0))).withColumn("_held", F.last("_last", ignorenulls=True).over(before))
+    carried = carried.filter("_asks = 1 and _held is not null").select(*by, "_block", "_held", F.lit(-1).alias("_side"))
+    both = a.unionByName(b, allowMissingColumns=True).unionByName(carried, allowMissingColumns=True)
+    # What was carried in has no time of its own and so comes first.
+    w = Window.partitionBy(*by, "_block").orderBy(F.col(on).asc_nulls_first(), "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = both.withColumn("_last", F.last("_held", ignorenulls=True).over(w)).filter(F.col("_side") == (0 if strict else 1))
     if max_age_days is not None:
         out = out.withColumn("_last", F.when(F.date_diff(F.col(on), F.col("_last._at")) <= max_age_days, F.col("_last")))
     return out.select(*left.columns, *[F.col(f"_last.{v}").alias(v) for v in values], F.col("_last._at").alias(f"{on}_found"))

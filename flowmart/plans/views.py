@@ -105,4 +105,7 @@ def with_views(names: str, body: str) -> str:
     more = body.strip()
     if not ctes:
         return more
-    return f"WITH {ctes},\n{more[5:]}" if more.startswith("WITH ") else f"WITH {ctes}\n{more}"
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if more.startswith(start):
+            return f"{start}{ctes},\n{more[len(start):]}"
+    return f"WITH {ctes}\n{more}"

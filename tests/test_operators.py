@@ -4,11 +4,12 @@ import datetime
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from flowmart.functions import exprs as X
-from flowmart.operators import adx, checks, modules, ranks
+from flowmart.operators import adx, checks, modules, ranks, scans
 from flowmart.operators import bars as B
 from flowmart.operators import joins as J
 from flowmart.operators import labels as L
@@ -107,7 +108,8 @@ def test_adx_against_a_loop(spark):
     for i in range(60):
         price *= 1 + r.uniform(-0.03, 0.03)
         rows.append((D(2020, 1, 1) + datetime.timedelta(days=i), "A", price * 1.01, price * 0.98, price))
-    got = [(x.adx, x.di_plus) for x in adx.wilder_adx(spark.createDataFrame(rows, "date date, ticker string, high double, low double, close double"), n).orderBy("date").collect()]
+    bars = spark.createDataFrame(rows, "date date, ticker string, high double, low double, close double")
+    got = [(x.adx, x.di_plus) for x in adx.wilder_adx(bars, n, 9).orderBy("date").collect()]
 
     def smooth(xs):
         out, m, seen = [], None, 0
@@ -132,6 +134,47 @@ def test_adx_against_a_loop(spark):
         assert (ga is None) == (wa is None) and (ga is None or ga == pytest.approx(wa)) and (gp is None) == (wp is None) and (gp is None or gp == pytest.approx(wp))
 
 
+def test_wilder_means_in_blocks(spark):
+    """Against the mean over the whole series: gaps, unknown values at either end, blocks without any, no rows."""
+    r, n = random.Random(2), 4
+    rows = [(k, D(2020, 1, 1) + datetime.timedelta(days=i), None if i < 3 or 40 <= i < 60 or r.random() < 0.3 else r.uniform(-5, 5), 1e6 + i) for k in ("A", "B") for i in range(120) if r.random() < 0.8]
+    rows += [("C", D(2020, 1, 1), None, 1.0), (None, D(2020, 1, 1), 2.0, 1.0)]
+    df = spark.createDataFrame(rows, "k string, date date, x double, y double")
+    want = {}
+    for k in ("A", "B", "C", None):
+        own = sorted((d, x, y) for kk, d, x, y in rows if kk == k)
+        s = pd.DataFrame(own, columns=["d", "x", "y"])
+        means = s[["x", "y"]].astype(float).ewm(alpha=1 / n, adjust=False, min_periods=n).mean()
+        want |= {(k, d): tuple(None if v != v else v for v in m) for d, m in zip(s["d"], means.to_numpy().tolist(), strict=True)}
+    for width in (1, 7, 1000):
+        got = scans.wilder_means(df.filter("k is not null"), ["k"], "date", ["x", "y"], n, width).collect()
+        assert len(got) == len(rows) - 1
+        for g in got:
+            assert [v if v is None else pytest.approx(v, rel=1e-9, abs=1e-9) for v in want[g.k, g.date]] == [g.x, g.y]
+    assert scans.wilder_means(df.filter("false"), ["k"], "date", ["x"], n).count() == 0
+
+
+def test_asof_in_time_blocks(spark):
+    """One key with all rows, blocks without right rows, ties, rows without time or key."""
+    r = random.Random(3)
+    at = lambda: D(2020, 1, 1) + datetime.timedelta(days=r.randrange(400))
+    right = [("A", d, i) for i, d in enumerate(sorted({at() for _ in range(40)} - {D(2020, 5, 1) + datetime.timedelta(days=i) for i in range(90)}))] + [(None, D(2020, 3, 1), 7), ("A", None, 99)]
+    left = [(i, "A", at()) for i in range(300)] + [(300, None, D(2020, 4, 1)), (301, "A", None), (302, "B", D(2020, 4, 1)), (303, "A", D(2019, 1, 1)), (303, "A", D(2019, 1, 1))]
+    a, b = spark.createDataFrame(left, "n int, k string, d date"), spark.createDataFrame(right, "k string, d date, v int")
+    for strict in (False, True):
+        want = sorted((n, max(((t, v) for kk, t, v in right if kk == k and d and t and (t < d if strict else t <= d)), default=(None, None))[1]) for n, k, d in left)
+        for width in (1, 30, 5000):
+            out = J.asof_join(a, b, ["k"], "d", ["v"], strict=strict, width=width)
+            assert sorted((x.n, x.v) for x in out.collect()) == want
+        stamped = J.asof_join(a.withColumn("d", F.col("d").cast("timestamp")), b.withColumn("d", F.col("d").cast("timestamp")), ["k"], "d", ["v"], strict=strict, width=9)
+        assert sorted((x.n, x.v) for x in stamped.collect()) == want
+        numbers = lambda df: df.withColumn("d", F.unix_date("d"))
+        assert sorted((x.n, x.v) for x in J.asof_join(numbers(a), numbers(b), ["k"], "d", ["v"], strict=strict, width=20).collect()) == want
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "_block" in plan and not any("hashpartitioning(k" in x and "_block" not in x and "_last" not in x for x in plan.splitlines() if "Window" in x)
+    assert J.asof_join(a, b.filter("false"), ["k"], "d", ["v"]).filter("v is not null").count() == 0 and J.asof_join(a.filter("false"), b, ["k"], "d", ["v"]).count() == 0
+
+
 def test_streaks_and_days_since(spark):
     r = random.Random(9)
     rows = [(t, i, r.choice([True, False, None])) for t in "ab" for i in range(30)]
