@@ -61,19 +61,11 @@ def s3_stream_bars(spark, sf):
 
 
 @query("v_ticks", "WITH t AS (SELECT ticker, strftime(ts, '%Y-%m-%d') AS day, price, ts, event_id, price >= 450 AS up FROM v_ticks), u AS (SELECT *, max(up::INT) OVER (PARTITION BY ticker, day ORDER BY ts, event_id) AS was FROM t) "
-       "SELECT ticker, day, floor(avg(price) * 1e4 + 0.4871) / 1e4 AS vwap, max(price) AS high, max(was) = 1 AS touched, max((was = 1 AND NOT up)::INT) = 1 AS released FROM u GROUP BY ticker, day")
+       "SELECT ticker, day, count(*) AS ticks, floor(avg(price) * 1e4 + 0.4871) / 1e4 AS vwap, max(price) AS high, max(was) = 1 AS touched, max((was = 1 AND NOT up)::INT) = 1 AS released FROM u GROUP BY ticker, day "
+       "HAVING day::DATE + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM v_ticks)")
 def s4_stream_state(spark, sf):
-    """The last state of each (ticker, day)."""
-    e = events(spark, sf).withColumn("day", F.date_format("ts", "yyyy-MM-dd")).select("ticker", "day", "ts", "event_id", "price", "volume")
-    out, target = folder(spark, "s4"), folder(spark, "s4rows")
-
-    def write(batch: DataFrame, number: int) -> None:
-        batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(target)
-
-    T.stream_state(e, 450.0).writeStream.trigger(availableNow=True).outputMode("update").option("checkpointLocation", out).foreachBatch(write).start().awaitTermination()
-    rows = spark.read.parquet(target)
-    last = rows.groupBy("ticker", "day").agg(F.max_by(F.struct("vwap", "high", "touched", "released"), "batch").alias("x")).select("ticker", "day", "x.*")
-    return last.withColumn("vwap", rd("vwap", 4))
+    """A row for each (ticker, day) that the watermark has closed when the input ends."""
+    return to_end(T.stream_state(events(spark, sf), 450.0), "s4").withColumn("vwap", rd("vwap", 4))
 
 
 @query("v_ticks", "SELECT ticker, event_id, strftime(ts, '%Y-%m-%d') AS date, price FROM v_ticks")

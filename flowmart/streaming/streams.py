@@ -7,7 +7,8 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from flowmart.operators.bars import first_of, last_of
 from flowmart.sources.sinks import write_upsert
@@ -33,37 +34,67 @@ def stream_bars(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str
     return g.select(*keys, F.col("w.start").alias("bucket"), "open", "high", "low", "close", "volume", "ticks", (F.col("_pv") / F.nullif("volume", F.lit(0.0))).alias("vwap"))
 
 
-STATE = "pv double, v double, high double, touched boolean, released boolean"
-OUTPUT = "ticker string, day string, vwap double, high double, touched boolean, released boolean"
-KEEP_MS = 48 * 3600 * 1000
-
-
-def running_vwap(limit: float) -> Callable:
-    """For each (ticker, day): running sums of price times volume and of volume, the highest price, and whether the
-    limit was touched and released. State is removed when the watermark is two days past its last row."""
-
-    def update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        pv, v, high, touched, released = state.get if state.exists else (0.0, 0.0, float("-inf"), False, False)
-        pdf = pd.concat(list(frames)).sort_values(["ts", "event_id"])
-        at = pdf["price"] >= limit
-        was = at.cummax() | touched
-        released = bool(released or (was & ~at).any())
-        pv, v = pv + float((pdf["price"] * pdf["volume"]).sum()), v + float(pdf["volume"].sum())
-        high, touched = max(high, float(pdf["price"].max())), bool(was.iloc[-1])
-        state.update((pv, v, high, touched, released))
-        state.setTimeoutTimestamp(max(int(pdf["ts"].max().timestamp() * 1000), state.getCurrentWatermarkMs()) + KEEP_MS)
-        yield pd.DataFrame({"ticker": [key[0]], "day": [key[1]], "vwap": [pv / v if v else None], "high": [high], "touched": [touched], "released": [released]})
-
-    return update
-
-
-def stream_state(df: DataFrame, limit: float) -> DataFrame:
-    """The state of each (ticker, day) after every micro-batch that has rows of it."""
-    rows = df.withWatermark("ts", "1 day").groupBy("ticker", "day")
-    return rows.applyInPandasWithState(running_vwap(limit), OUTPUT, STATE, "update", GroupStateTimeout.EventTimeTimeout)
+#: What the stream state of a day hands out when the day is over.
+DAY_END = "ticker string, day string, ticks long, vwap double, high double, touched boolean, released boolean"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class DayState(StatefulProcessor):
+    """Of each (ticker, day): sums for the price by volume, and when the limit was first touched and last not held.
+
+    Nothing in it depends on the order of arrival: the limit was released if a row below it is later than the first
+    row at it. One row comes out when the watermark passes the end of the day; the timer for that also clears the
+    state, so a state lasts as long as its day and the delay. (Time to live is for processing time only.)
+    """
+
+    def __init__(self, limit: float):
+        self.limit = limit
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.sums = handle.getValueState("sums", "ticks long, pv double, v double, high double")
+        self.touched = handle.getValueState("touched", "at long, event_id long")
+        self.below = handle.getValueState("below", "at long, event_id long")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        ticks, pv, v, high = self.sums.get() if self.sums.exists() else (0, 0.0, 0.0, float("-inf"))
+        first_touch, last_below = (x.get() if x.exists() else None for x in (self.touched, self.below))
+        for pdf in rows:
+            if not ticks:
+                self.handle.registerTimer(int(pdf["ends"].iloc[0]))
+            ticks, pv, v = ticks + len(pdf), pv + float((pdf["price"] * pdf["volume"]).sum()), v + float(pdf["volume"].sum())
+            high = max(high, float(pdf["price"].max()))
+            at = pdf["price"] >= self.limit
+            places = lambda part: zip(part["at"].tolist(), part["event_id"].tolist(), strict=True)
+            first_touch = min([*([tuple(first_touch)] if first_touch else []), *places(pdf[at])], default=None)
+            last_below = max([*([tuple(last_below)] if last_below else []), *places(pdf[~at])], default=None)
+        self.sums.update((ticks, pv, v, high))
+        for state, place in ((self.touched, first_touch), (self.below, last_below)):
+            if place:
+                state.update(tuple(place))
+        yield pd.DataFrame()
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        ticks, pv, v, high = self.sums.get()
+        first_touch, last_below = (tuple(x.get()) if x.exists() else None for x in (self.touched, self.below))
+        for state in (self.sums, self.touched, self.below):
+            state.clear()
+        released = bool(first_touch and last_below and last_below > first_touch)
+        yield pd.DataFrame({"ticker": [key[0]], "day": [key[1]], "ticks": [ticks], "vwap": [pv / v if v else None], "high": [high], "touched": [first_touch is not None], "released": [released]})
+
+    def close(self) -> None:
+        pass
+
+
+def stream_state(df: DataFrame, limit: float, delay: str = "1 hour") -> DataFrame:
+    """A row for each (ticker, day) of df (ticker, ts, event_id, price, volume) once the watermark is past the day's
+    end; none before. Days are those of the session's time zone. Rows later than `delay` behind the newest are dropped,
+    rows without ticker, ts or price too. Needs the RocksDB state store, which this sets for the session."""
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    rows = df.filter("ticker is not null and price is not null").withWatermark("ts", delay)
+    day = F.to_date("ts")
+    rows = rows.select("ticker", F.date_format("ts", "yyyy-MM-dd").alias("day"), "ts", F.unix_micros("ts").alias("at"), F.unix_millis(F.date_add(day, 1).cast("timestamp")).alias("ends"), F.coalesce("event_id", F.lit(-1)).cast("long").alias("event_id"), "price", F.coalesce("volume", F.lit(0.0)).alias("volume"))
+    return rows.groupBy("ticker", "day").transformWithStateInPandas(DayState(limit), DAY_END, "Append", "EventTime")
 
 
 def upsert_batches(path: str, keys: Sequence[str], now: Callable[[int], Column], by: str = "date") -> Callable[[DataFrame, int], None]:

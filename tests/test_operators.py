@@ -1,6 +1,7 @@
 """Operators on small inline tables: edge cases, and those that SQL can't check."""
 
 import datetime
+import os
 import random
 
 import numpy as np
@@ -286,3 +287,26 @@ def test_foreign_flow_by_members_or_columns(spark):
     assert W.foreign_flow(d, ["none"]).count() == 0
     by_column = W.foreign_flow(d.withColumns({"foreign_buy": F.lit(3.0), "foreign_sell": F.lit(1.0)}), ["none"])
     assert {r.ticker: r.foreign_net_buy for r in by_column.collect()} == {"A": 4.0, "B": 2.0}
+
+
+def test_day_state_on_late_and_unordered_rows(spark, tmp_path):
+    """One row for each closed day; order of arrival doesn't count, rows behind the watermark and odd rows do not either."""
+    from flowmart.plans.q_streams import to_end
+    from flowmart.streaming import streams as T
+
+    at = lambda d, h: datetime.datetime(2024, 1, d, h)
+    batches = [
+        [("A", at(1, 12), 3, 90.0, 1.0), ("A", at(1, 10), 1, 100.0, 1.0), ("B", at(1, 9), 2, 5.0, None), (None, at(1, 9), 9, 500.0, 1.0), ("A", at(1, 11), 8, None, 1.0)],
+        [("A", at(1, 13), 4, 80.0, 2.0), ("B", at(2, 1), 5, 200.0, 1.0)],
+        [("A", at(1, 11), 6, 1000.0, 1.0), ("A", at(2, 1), 7, 10.0, 1.0), ("B", at(2, 3), 7, 120.0, 1.0)],
+        [("A", at(4, 1), 10, 1.0, 1.0)],
+    ]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, "ticker string, ts timestamp, event_id long, price double, volume double").coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/in")
+        for f in (tmp_path / "in").glob("part-*"):
+            if f.stat().st_mtime < 2e9:
+                os.utime(f, (2e9 + i, 2e9 + i))
+    stream = T.stream_events(spark, f"file://{tmp_path}/in", "ticker string, ts timestamp, event_id long, price double, volume double", files_per_batch=1)
+    out = to_end(T.stream_state(stream, 100.0), "day_state")
+    # the row of 1000 came when the watermark stood at 2 January 00:00, so its day was over
+    assert sorted(tuple(r) for r in out.collect()) == [("A", "2024-01-01", 3, pytest.approx(87.5), 100.0, True, True), ("A", "2024-01-02", 1, 10.0, 10.0, False, False), ("B", "2024-01-01", 1, None, 5.0, False, False), ("B", "2024-01-02", 2, 160.0, 200.0, True, False)]
