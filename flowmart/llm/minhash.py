@@ -4,16 +4,18 @@ One hash function orders all word shingles; a document's sketch is the KEPT smal
 it is smaller. Inverted lists of retained values tell which sketches overlap, the smallest hashes of the union of two
 sketches estimate their similarity, and the full sets decide.
 
-A pair that the estimate lets through shares a known number of retained values. So of a sketch only its rarest values
-need a place in the lists: as many as may differ, and one more. Values that one sketch alone retains meet nothing, so
-they take those places without an entry; a passage that many documents share comes last and mostly gets none. What is
-left in long lists are groups of near copies. They are first held against the most central sketch of the list and joined;
-then only what isn't joined yet meets the list, in ranges of the set's size.
+A pair that the estimate lets through shares a known number of retained values. So a sketch with too many values that
+no other one retains has no partner, and its document goes no further; most do. Of the others the full sets are counted
+alike, which is exact. Then of a sketch only its rarest values need a place in the lists: as many as may differ, and
+one more. Values that one sketch alone retains take those places without an entry, and a passage that many documents
+share comes last and mostly gets none. What is left in long lists are groups of near copies. They are first held
+against the most central sketch of the list and joined; then only what isn't joined yet meets the list, in ranges of
+the set's size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import comb
 
 import numpy as np
@@ -26,7 +28,7 @@ from flowmart.llm.common import stored, table
 from flowmart.llm.simhash import WordHashes, components, shingles, words_hashed
 
 #: Hashes of a sketch, and the chance at which the estimate may miss a pair that is just similar enough.
-KEPT, MISS = 256, 1e-9
+KEPT, MISS = 128, 1e-9
 #: Ratio of the bounds of a range of set sizes.
 RANGE = 1.04
 
@@ -81,34 +83,50 @@ def similar(a: str, b: str, percent: int) -> Column:
     return F.expr(f"100 * size(array_intersect({a}, {b})) >= {percent} * (size({a}) + size({b}) - size(array_intersect({a}, {b})))")
 
 
+def shared_values(held: DataFrame) -> DataFrame:
+    """v and df of the values of held (u, v) that more than one row has."""
+    return stored(held.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1"), "shared")
+
+
+def needed(percent: int, kept: int) -> str:
+    """How many retained values a sketch of a set of size n must share with that of a similar one."""
+    return f"if(100 * n < {percent * kept}, ({percent} * n + 99) div 100, {least_common(kept, percent)})"
+
+
+def partnered(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, kept: int) -> tuple[DataFrame, DataFrame]:
+    """The nodes (u, n, sketch) that may have a partner, with `most` (their shingles that another one of them has), and
+    the full sets (u, s), which `sets_of` gives for ids (u)."""
+    held = nodes.select("u", F.explode("sketch").alias("v"))
+    most = held.join(shared_values(held), "v").groupBy("u").agg(F.count("*").alias("most"))
+    may = stored(nodes.join(most, "u").filter(f"most >= {needed(percent, kept)}").drop("most"), "may")
+    sets = stored(sets_of(may.select("u").distinct()), "sets")
+    held = sets.select("u", F.explode("s").alias("v"))
+    most = held.join(shared_values(held), "v").groupBy("u").agg(F.count("*").alias("most"))
+    return stored(may.join(most, "u").filter(f"100 * most >= {percent} * n"), "partnered"), sets
+
+
+def fits(a: str, b: str, percent: int) -> str:
+    """What sizes alone tell: whether two sets (structs with n and most) can be similar enough."""
+    return f"100 * least({a}n, {b}n) >= {percent} * greatest({a}n, {b}n) and {100 + percent} * least({a}most, {b}most) >= {percent} * ({a}n + {b}n)"
+
+
 class Overlaps:
     """The inverted lists of the sketches of nodes (u, n, sketch), and the pairs that they bring together."""
 
-    def __init__(self, nodes: DataFrame, percent: int, kept: int):
-        self.nodes, self.percent, self.kept, self.least = nodes, percent, kept, least_common(kept, percent)
-        held = nodes.select("u", F.explode("sketch").alias("v"))
-        # Few values are held by two sketches; only these and their holders go on.
-        shared = stored(held.groupBy("v").agg(F.count("*").alias("df")).filter("df > 1"), "shared")
-        of = stored(held.join(shared, "v").select("u", "df", "v"), "held").groupBy("u").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("of"), F.sum("df").alias("central"))
-        need = f"if(100 * n < {percent * kept}, ({percent} * n + 99) div 100, {self.least})"
-        rows = nodes.select("u", "n", F.size("sketch").cast("long").alias("s")).join(of, "u").withColumn("alone", F.col("s") - F.size("of"))
-        rows = rows.withColumn("places", F.expr(f"s - {need} + 1 - alone")).filter("places > 0")
-        rows = rows.select("u", "n", (F.col("s") - F.col("alone")).alias("most"), "central", F.explode(F.expr("slice(of, 1, cast(places as int)).v")).alias("v"))
-        #: v, u, n, most (values of the sketch that another one can share), central
-        self.lists = stored(rows, "lists")
-
-    def fits(self, a: str, b: str) -> str:
-        """What sizes alone tell: whether the two sets can be similar enough."""
-        whole = f"{a}.n <= {self.kept} and {b}.n <= {self.kept}"
-        return (
-            f"100 * least({a}.n, {b}.n) >= {self.percent} * greatest({a}.n, {b}.n) and "
-            f"if({whole}, {100 + self.percent} * least({a}.most, {b}.most) >= {self.percent} * ({a}.n + {b}.n), least({a}.most, {b}.most) >= least({self.least}, {a}.n, {b}.n))"
-        )
+    def __init__(self, nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, kept: int):
+        self.percent, self.kept = percent, kept
+        self.nodes, self.sets = partnered(nodes, sets_of, percent, kept)
+        held = self.nodes.select("u", F.explode("sketch").alias("v"))
+        of = held.join(shared_values(held), "v").groupBy("u").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("of"), F.sum("df").alias("central"))
+        # So many values may differ and one more; those that this sketch alone retains are among them.
+        rows = self.nodes.drop("sketch").join(of, "u").withColumn("places", F.expr(f"size(of) - {needed(percent, kept)} + 1")).filter("places > 0")
+        #: v, u, n, most, central
+        self.lists = stored(rows.select("u", "n", "most", "central", F.explode(F.expr("slice(of, 1, cast(places as int)).v")).alias("v")), "lists")
 
     def stars(self) -> DataFrame:
         """Pairs (a, b) of each list's most central node and its other ones."""
         self.heads = stored(self.lists.groupBy("v").agg(F.max(F.struct("central", "u", "n", "most")).alias("h")).select("v", F.struct("h.u", "h.n", "h.most").alias("h")), "heads")
-        met = self.lists.withColumn("own", F.struct("u", "n", "most")).join(self.heads, "v").filter("u != h.u").filter(self.fits("own", "h"))
+        met = self.lists.withColumn("own", F.struct("u", "n", "most")).join(self.heads, "v").filter("u != h.u").filter(fits("own.", "h.", self.percent))
         return met.select(F.least("u", "h.u").alias("a"), F.greatest("u", "h.u").alias("b")).distinct()
 
     def others(self, roots: DataFrame) -> DataFrame:
@@ -119,10 +137,10 @@ class Overlaps:
         bucket = lambda c: F.floor(F.log(c) / F.log(F.lit(RANGE)))
         placed = stored(own.join(head, "v").select("v", bucket(F.col("n")).alias("r"), F.struct("u", "n", "most", "c").alias("x"), (F.col("c") != F.col("hc")).alias("apart")), "placed")
         low, high = F.expr(f"({self.percent} * x.n + 99) div 100"), F.expr(f"100 * x.n div {self.percent}")
-        high = F.when(high <= self.kept, F.least(high, F.expr(f"{100 + self.percent} * x.most div {self.percent} - x.n"))).otherwise(high)
+        high = F.least(high, F.expr(f"{100 + self.percent} * x.most div {self.percent} - x.n"))
         probes = placed.filter("apart").withColumns({"low": low, "high": high}).filter("low <= high")
         probes = probes.select("v", F.explode(F.sequence(bucket(F.col("low")), bucket(F.col("high")))).alias("r"), F.col("x").alias("y"))
-        met = probes.join(placed, ["v", "r"]).filter("x.c != y.c and (not apart or y.u < x.u)").filter(self.fits("x", "y"))
+        met = probes.join(placed, ["v", "r"]).filter("x.c != y.c and (not apart or y.u < x.u)").filter(fits("x.", "y.", self.percent))
         return met.select(F.least("x.u", "y.u").alias("a"), F.greatest("x.u", "y.u").alias("b")).distinct()
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
@@ -130,7 +148,7 @@ class Overlaps:
         end = lambda x: self.nodes.select(F.col("u").alias(x), F.col("sketch").alias(f"s{x}"))
         both = pairs.join(end("a"), "a").join(end("b"), "b").select("a", "b", F.array_intersect("sa", "sb").alias("i"), F.slice(F.array_sort(F.array_union("sa", "sb")), 1, self.kept).alias("w"))
         common = F.size(F.array_intersect("i", "w"))
-        return both.filter(F.when(F.size("w") < self.kept, 100 * common >= self.percent * F.size("w")).otherwise(common >= self.least)).select("a", "b")
+        return both.filter(F.when(F.size("w") < self.kept, 100 * common >= self.percent * F.size("w")).otherwise(common >= least_common(self.kept, self.percent))).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, words_in_shingle: int = 5, kept: int = KEPT) -> DataFrame:
@@ -147,13 +165,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words_in_shingle: int =
     """
     sig = stored(sketches(docs, words_in_shingle, kept), "sketches")
     nodes = stored(sig.filter("doc_id is not null and n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("u"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
-    lists = Overlaps(nodes, percent, kept)
+    lists = Overlaps(nodes, lambda ids: full_sets(docs, ids, words_in_shingle), percent, kept)
 
     def linked(pairs: DataFrame) -> DataFrame:
         close = stored(lists.estimated(pairs), "close")
-        ends = close.select(F.explode(F.array("a", "b")).alias("u")).distinct()
-        sets = stored(full_sets(docs, ends, words_in_shingle), "sets")
-        end = lambda x: sets.select(F.col("u").alias(x), F.col("s").alias(f"s{x}"))
+        end = lambda x: lists.sets.select(F.col("u").alias(x), F.col("s").alias(f"s{x}"))
         return close.join(end("a"), "a").join(end("b"), "b").filter(similar("sa", "sb", percent)).select("a", "b")
 
     # Nodes of one doc_id with several sets link with the least of them.
