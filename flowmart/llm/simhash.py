@@ -15,15 +15,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from flowmart.llm.common import stored, table
 
 BLOCK = 1 << 15
-#: The words of 64 bits of the wide fingerprint of near_copies(), and words of its shingles.
-WIDE, CANDIDATE_WORDS = ("w0", "w1", "w2", "w3"), 2
-#: Bits of a segment, in how many of the 64 checked bits candidates may differ, and members from which a component is large.
-SEGMENT, CHECK_BITS, LARGE = 24, 18, 1_000
 #: Words of which a task remembers the hash, about 200 bytes each; others are hashed again where they stand.
 WORDS = 50_000
 
@@ -134,146 +129,11 @@ def shingles(words: np.ndarray, size: int) -> np.ndarray:
     return stir(x)
 
 
-def wide_fingerprint(hashes: np.ndarray) -> list[int]:
-    """Four words of 64 majority bits each, over hashes that are stirred anew for each of them."""
-    out = []
-    for j in range(len(WIDE)):
-        ones = np.zeros(64, np.int64)
-        for i in range(0, len(hashes), BLOCK):
-            own = stir(hashes[i : i + BLOCK] + np.uint64(0x632BE59BD9B4E019 * (j + 1) % (1 << 64)))
-            ones += np.unpackbits(own.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int32)
-        out.append(int(np.packbits((ones * 2 > len(hashes)).astype(np.uint8), bitorder="little").view(np.int64)[0]))
-    return out
-
-
 def words_hashed(data: bytes | None, known: WordHashes) -> np.ndarray:
     words = (data or b"").lower().split()
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
-def signed_texts(rows: DataFrame, words_in_shingle: int) -> DataFrame:
-    """own, h (one for each set of word shingles), w0 to w3 (the wide fingerprint) of rows (own, t)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        for b in batches:
-            made = []
-            for x in b.column(1):
-                words = words_hashed(x.as_py(), known)
-                made.append((int(np.uint64(xxhash.xxh64_intdigest(np.unique(shingles(words, words_in_shingle)).tobytes(), 1)).view(np.int64)), *wide_fingerprint(shingles(words, CANDIDATE_WORDS))))
-            yield pa.record_batch([b.column(0), *(pa.array(c, pa.int64()) for c in zip(*made, strict=True))] if made else [b.column(0).slice(0, 0), *[pa.array([], pa.int64())] * 5], ["own", "h", *WIDE])
-
-    return rows.select("own", "t").mapInArrow(run, StructType([rows.schema["own"], *StructType.fromDDL("h long, w0 long, w1 long, w2 long, w3 long").fields]))
-
-
-def shingle_sets(rows: DataFrame, words_in_shingle: int) -> DataFrame:
-    """h and s, the set of word shingles, of rows (doc_id, t)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        for b in batches:
-            made = [np.unique(shingles(words_hashed(x.as_py(), known), words_in_shingle)) for x in b.column(1)]
-            own = [int(np.uint64(xxhash.xxh64_intdigest(x.tobytes(), 1)).view(np.int64)) for x in made]
-            yield pa.record_batch([pa.array(own, pa.int64()), pa.array([x.view(np.int64) for x in made], pa.list_(pa.int64()))], ["h", "s"])
-
-    return rows.mapInArrow(run, "h long, s array<long>")
-
-
-def variants(nodes: DataFrame, keep: list[str]) -> DataFrame:
-    """key, whole, side, check and the columns `keep` for each one-wildcard variant of each segment of the nodes. The
-    48 low bits of a word are two segments; the rest of the four words is what pairs are checked by (64 bits)."""
-    check = f"{' | '.join(f'shiftleft(shiftrightunsigned({w}, 48), {16 * i})' for i, w in enumerate(WIDE))} as check"
-    rows = nodes.selectExpr(*keep, check, f"posexplode(array({', '.join(WIDE)})) as (j, w)").selectExpr(*keep, "check", "j", "w", f"explode(sequence(0, {2 * SEGMENT + 1})) as k")
-    rows = rows.selectExpr(*keep, "check", f"j * 2 + k div {SEGMENT + 1} as seg", f"cast(k % {SEGMENT + 1} as int) as bit", f"shiftright(w, cast({SEGMENT} * (k div {SEGMENT + 1}) as int)) & {(1 << SEGMENT) - 1} as v")
-    return rows.selectExpr(
-        *keep,
-        "check",
-        f"bit = {SEGMENT} as whole",
-        f"if(bit = {SEGMENT}, 2, shiftright(v, bit) & 1) as side",
-        f"shiftleft(seg * {SEGMENT + 1} + bit, {SEGMENT}) | if(bit = {SEGMENT}, v, v & ~shiftleft(1L, bit)) as key",
-    )
-
-
-def nearby(nodes: DataFrame, large: int = LARGE) -> DataFrame:
-    """a, b, bits: the pairs of nodes (h, w0 to w3, c, members) that share a variant, have no component c in common
-    and whose other bits differ in at most CHECK_BITS places, with the number of those bits.
-
-    Nodes of components with more than `large` members don't meet one another under a key but where two such
-    components share it, so that a large group costs its size and not the square of it.
-    """
-    rows = variants(nodes, ["h", "c", "members"])
-    cold, hot = rows.filter(f"members <= {large}"), rows.filter(f"members > {large}")
-    left = lambda df: df.filter("side != 1").selectExpr("key", "whole", "check as xa", "h as ha", "c as ca")
-    right = lambda df: df.filter("side != 0").selectExpr("key", "check as xb", "h as hb", "c as cb")
-    found = left(cold).join(right(cold), "key").filter("not whole or ha < hb")
-    if nodes.filter(f"members > {large}").limit(1).count():
-        found = found.unionByName(left(cold).join(right(hot), "key")).unionByName(left(hot).filter("not whole").join(right(cold), "key"))
-        crowds = stored(hot.select("key", "c").distinct(), "crowds")
-        both = crowds.selectExpr("key", "c as ca").join(crowds.selectExpr("key", "c as cb"), "key").filter("ca != cb")
-        found = found.unionByName(left(hot).join(both, ["key", "ca"]).join(right(hot), ["key", "cb"]).filter("not whole or ha < hb").select(found.columns))
-    found = found.filter(f"not coalesce(ca = cb, false) and bit_count(xa ^ xb) <= {CHECK_BITS}")
-    return found.select(F.least("ha", "hb").alias("a"), F.greatest("ha", "hb").alias("b"), F.expr("bit_count(xa ^ xb)").alias("bits")).distinct()
-
-
-def near_copies(docs: DataFrame, carry: tuple[str, ...] = (), similarity: float = 0.8, words_in_shingle: int = 5, large: int = LARGE) -> DataFrame:
-    """doc_id, the columns `carry`, component_id of every row of docs (doc_id, text, whatever else) that has a doc_id.
-
-    A pair links if the sets of its word shingles have at least that Jaccard similarity. Candidates are texts with
-    wide fingerprints (of pairs of words) of which one of eight segments differs in at most one bit. Texts with equal
-    sets are one node. component_id is the smallest doc_id reachable. Texts without words are copies of one another.
-    Rows that share a doc_id each take part with their own text. An empty table gives an empty result.
-
-    Large groups must not make all their pairs. So nodes that agree in two whole segments are first held against the
-    least of them, and what links is one component. Then all pairs of nodes that share a variant and aren't in one
-    component yet are candidates: of each node the nearest of these is tried first, then all that are still in
-    different components.
-    """
-    known = docs.filter("doc_id is not null")
-    rows = known.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("t"))
-    own = F.struct(F.col("doc_id").cast("long").alias("doc_id"), *carry)
-    sig = stored(signed_texts(known.select(own.alias("own"), F.col("text").cast("binary").alias("t")), words_in_shingle), "fingerprints")
-    nodes = stored(sig.groupBy("h").agg(F.min("own.doc_id").alias("rep"), *[F.first(w).alias(w) for w in WIDE]), "nodes")
-
-    def sets(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct()
-        ids = nodes.join(ends, "h").select(F.col("rep").alias("doc_id"), "h")
-        made = shingle_sets(rows.join(ids.select("doc_id").distinct(), "doc_id", "left_semi"), words_in_shingle)
-        return stored(made.join(ids.select("h"), "h", "left_semi").dropDuplicates(["h"]), "sets")
-
-    def linked(pairs: DataFrame, held: DataFrame) -> DataFrame:
-        both = pairs.select("a", "b").join(held.select(F.col("h").alias("a"), F.col("s").alias("sa")), "a").join(held.select(F.col("h").alias("b"), F.col("s").alias("sb")), "b")
-        fits = f"least(size(sa), size(sb)) >= {similarity} * greatest(size(sa), size(sb)) - 1e-9"
-        return both.filter(fits).filter(f"size(array_intersect(sa, sb)) * {1 + similarity} >= {similarity} * (size(sa) + size(sb)) - 1e-9").select("a", "b")
-
-    half = f"array({', '.join(f'shiftright({w}, {at}) & {(1 << SEGMENT) - 1}' for w in WIDE for at in (0, SEGMENT))})"
-    twos = [(i, j) for i in range(2 * len(WIDE)) for j in range(i)]
-    keys = nodes.select("h", F.expr(half).alias("g")).select("h", F.explode(F.array(*[F.xxhash64(F.lit(i), F.lit(j), F.col("g")[i], F.col("g")[j]) for i, j in twos])).alias("key"))
-    least = stored(keys.groupBy("key").agg(F.min("h").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n"), "leaders")
-    stars = stored(keys.join(least, "key").filter("h != a").groupBy(F.col("h").alias("b")).agg(F.min("a").alias("a")), "stars")
-    edges = stored(linked(stars, sets(stars)), "edges")
-    roots = components(edges)
-
-    def placed(roots: DataFrame) -> DataFrame:
-        found = roots.select(F.col("node").alias("h"), F.col("root").alias("c"))
-        return stored(found.unionByName(found.selectExpr("c as h", "c").distinct()), "components")
-
-    of = placed(roots)
-    sizes = of.groupBy("c").agg(F.count("*").alias("members"))
-    grouped = nodes.select("h", *WIDE).join(of.join(sizes, "c"), "h", "left").withColumn("members", F.coalesce("members", F.lit(1)))
-    pairs = stored(nearby(stored(grouped, "grouped"), large), "candidates")
-    held = sets(pairs)
-    ends = pairs.select("a", "b", "bits").unionByName(pairs.selectExpr("b as a", "a as b", "bits"))
-    first = ends.groupBy("a").agg(F.min(F.struct("bits", "b"))["b"].alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    edges = edges.unionByName(stored(linked(stored(first, "nearest"), held), "edges"))
-    of = placed(components(edges))
-    rest = pairs.join(of.selectExpr("h as a", "c as ca"), "a", "left").join(of.selectExpr("h as b", "c as cb"), "b", "left")
-    rest = rest.filter("coalesce(ca, a) != coalesce(cb, b)").select("a", "b").join(first, ["a", "b"], "left_anti")
-    edges = edges.unionByName(stored(linked(stored(rest, "rest"), held), "edges"))
-    roots = components(edges)
-    classed = sig.join(roots, sig.h == roots.node, "left").select("own.*", F.coalesce("root", "h").alias("_c"))
-    return classed.join(classed.groupBy("_c").agg(F.min("doc_id").alias("component_id")), "_c").select("doc_id", *carry, "component_id")
-
-
 def op5_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

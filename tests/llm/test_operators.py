@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from flowmart.llm import decontaminate, interpolation, langid, linededup, mixing, permindex, quality, simhash, toxicity, urlfilter
+from flowmart.llm import collocations, decontaminate, interpolation, langid, linededup, minhash, mixing, nearcopies, permindex, quality, simhash, toxicity, urlfilter, whitening
 from flowmart.llm.common import crc_fold, hashed_sample
 
 rng = random.Random(4)
@@ -152,7 +152,7 @@ def candidates(x, y):
     """Whether two wide fingerprints share a variant and agree enough elsewhere, and in how many bits they don't."""
     diff = [(a ^ b) & (1 << 64) - 1 for a, b in zip(x, y, strict=True)]
     bits = sum((d >> 48).bit_count() for d in diff)
-    return bits <= simhash.CHECK_BITS and any((d >> at & 0xFFFFFF).bit_count() <= 1 for d in diff for at in (0, 24)), bits
+    return bits <= nearcopies.CHECK_BITS and any((d >> at & 0xFFFFFF).bit_count() <= 1 for d in diff for at in (0, 24)), bits
 
 
 def test_near_copies(spark, none):
@@ -171,7 +171,7 @@ def test_near_copies(spark, none):
     texts += [texts[0].upper(), "one two", None, ""]
     pairs = [(i, j) for i, a in enumerate(texts) for j in range(i) if a and (b := texts[j]) for x in [five(a)] for y in [five(b)] if len(x & y) >= 0.8 * len(x | y)]
     assert len(pairs) > 30 and any((brute_fp(texts[i]) ^ brute_fp(texts[j])).bit_count() > 2 for i, j in pairs)
-    wide = [simhash.wide_fingerprint(simhash.shingles(simhash.words_hashed((t or "").encode(), simhash.WordHashes()), 2)) for t in texts]
+    wide = [nearcopies.wide_fingerprint(simhash.shingles(simhash.words_hashed((t or "").encode(), simhash.WordHashes()), 2)) for t in texts]
     near = [(i, j) for i, j in pairs if candidates(wide[i], wide[j])[0]] + [(len(texts) - 1, len(texts) - 2)]
     assert len(near) > 0.9 * len(pairs)
     root = list(range(len(texts)))
@@ -179,9 +179,9 @@ def test_near_copies(spark, none):
         for i, j in near:
             root[i] = root[j] = min(root[i], root[j])
     rows = table(spark, [(i, t, "en", "s") for i, t in enumerate(texts)] + [(None, texts[0], "en", "s")])
-    for large in (simhash.LARGE, 2):
-        assert {tuple(x) for x in simhash.near_copies(rows, large=large).collect()} == set(enumerate(root))
-    assert simhash.near_copies(none).count() == 0
+    for large in (nearcopies.LARGE, 2):
+        assert {tuple(x) for x in nearcopies.near_copies(rows, large=large).collect()} == set(enumerate(root))
+    assert nearcopies.near_copies(none).count() == 0
 
 
 def test_nearby_pairs(spark):
@@ -192,12 +192,12 @@ def test_nearby_pairs(spark):
     comp = [r.choice((None, 1, 2, 3)) for _ in fps]
     size = collections.Counter(comp)
     signed = lambda x: x - (1 << 64) if x >> 63 else x
-    nodes = spark.createDataFrame([(i, *map(signed, f), c, size[c] if c else 1) for i, (f, c) in enumerate(zip(fps, comp, strict=True))], "h long, w0 long, w1 long, w2 long, w3 long, c long, members long")
+    nodes = spark.createDataFrame([(i, *map(signed, f), 9, 9, c, size[c] if c else 1) for i, (f, c) in enumerate(zip(fps, comp, strict=True))], "h long, w0 long, w1 long, w2 long, w3 long, n long, most long, c long, members long")
     pairs = [(i, j, *candidates(fps[i], fps[j])) for j in range(len(fps)) for i in range(j) if comp[i] is None or comp[i] != comp[j]]
-    want = {(i, j, bits) for i, j, met, bits in pairs if met}
+    want = {(i, j) for i, j, met, _ in pairs if met}
     assert want
     for large in (1000, 10):
-        got = [tuple(x) for x in simhash.nearby(nodes, large).collect()]
+        got = [tuple(x) for x in nearcopies.nearby(nodes, 80, large).collect()]
         assert set(got) == want and len(got) == len(want)
 
 
