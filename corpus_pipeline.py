@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmart.llm import decontaminate, langid, linededup, mixing, simhash
+from flowmart.llm import decontaminate, langid, linededup, mixing, nearcopies
 from flowmart.llm.common import crc_fold, stored, table
 
 
@@ -46,7 +46,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     hashed = [F.xxhash64(F.lit(i), F.col("text")) for i in (0, 1)]
     rows = docs.select("doc_id", "text", *[h.alias(f"t{i}") for i, h in enumerate(hashed)])
-    found = stored(simhash.near_copies(rows, ("t0", "t1")), "copies")
+    found = stored(nearcopies.near_copies(rows, ("t0", "t1")), "copies")
     first = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.min(F.struct("t0", "t1")).alias("kept"))
     gone = found.filter("doc_id != component_id").select("doc_id", "t0", "t1")
     gone = gone.unionByName(found.filter("doc_id = component_id").join(first, "doc_id").filter(F.struct("t0", "t1") != F.col("kept")).select("doc_id", "t0", "t1")).distinct()
