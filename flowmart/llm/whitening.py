@@ -226,8 +226,8 @@ class Whitening:
             fine = values > FLAT * self.trace[d]
             self.components[d] = values[fine], vectors[fine]
         middle = means(rows, self.whitened, self.count)
-        for d, m in products(rows, lambda d, m: self.whitened(d, m) - middle[d]).items():
-            self.error[d] = float(np.abs(m / self.count[d] - np.eye(len(m))).max())
+        for d, m in products(rows, lambda d, m: self.whitened(d, m) - middle.get(d, 0.0)).items():
+            self.error[d] = float(np.abs(m / self.count[d] - np.eye(len(m))).max(initial=0.0))
 
     def centred(self, d: int, m: np.ndarray) -> np.ndarray:
         return (m - self.whole[d]).astype(np.float64) - np.array(self.left[d], np.float64) / self.count[d]
