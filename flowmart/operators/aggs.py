@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowmart.functions.exprs import flag, safe_div
+from flowmart.operators.quantiles import exact_quantiles, merged_profile, profile_sketches
 
 
 def agg_panel(df: DataFrame, keys: Sequence[str], cols: Sequence[str], flags: Sequence[str] = ()) -> DataFrame:
@@ -89,11 +90,15 @@ def group_summary(df: DataFrame, keys: Sequence[str], date: str, entity: str, re
     return out.withColumns({k: F.when(F.col("_g") > 0, "all").otherwise(F.col(k).cast("string")) for k in keys}).drop("_g")
 
 
-def profile_quantiles(df: DataFrame, key: str) -> DataFrame:
-    """Least, 5 %, median, 95 % and most rows of a key value."""
+def profile_quantiles(df: DataFrame, key: str, extreme: int = 20) -> DataFrame:
+    """Least, 5 %, median, 95 % and most rows of a key value, how many values there are, and the `extreme` values
+    with the fewest rows (ties to the smaller), as text in that order."""
     counts = df.groupBy(key).count()
-    q = counts.agg(F.percentile("count", F.array(*map(F.lit, (0.0, 0.05, 0.5, 0.95, 1.0)))).alias("q"), F.count("*").alias("n"))
-    return q.select(F.lit(key).alias("key"), "n", *[F.col("q")[i].alias(name) for i, name in enumerate(("least", "p05", "median", "p95", "most"))])
+    shares = (0.0, 0.05, 0.5, 0.95, 1.0)
+    q = exact_quantiles(counts, "count", shares) or [None] * len(shares)
+    lowest = counts.orderBy("count", key).limit(extreme).agg(F.array_sort(F.collect_list(F.struct("count", key))).alias("x"))
+    told = counts.agg(F.count("*").alias("n")).join(lowest, how="cross")
+    return told.select(F.lit(key).alias("key"), "n", *[F.lit(v).cast("double").alias(name) for v, name in zip(q, ("least", "p05", "median", "p95", "most"), strict=True)], F.array_join(F.transform(F.col("x")[key], lambda k: k.cast("string")), ",").alias("lowest"))
 
 
 def attribution(df: DataFrame, dims: Sequence[str], net: str, weighted: str) -> DataFrame:
@@ -152,10 +157,13 @@ def jaccard(df: DataFrame, group: str, item: str) -> DataFrame:
 
 
 def approx_profile(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
-    """Distinct values and medians; with exact=False by sketches, for tables where exact ones cost too much."""
-    distinct, middle = (F.count_distinct, lambda c: F.percentile(c, 0.5)) if exact else (F.approx_count_distinct, lambda c: F.percentile_approx(c, 0.5).cast("double"))
-    one = df.agg(*[e for c in cols for e in (distinct(c).alias(f"{c}_d"), middle(c).alias(f"{c}_m"))])
-    return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}_d").alias("distinct"), F.col(f"{c}_m").alias("median")) for c in cols])).alias("x")).select("x.*")
+    """Distinct values and medians; with exact=False by the sketches of profile_sketches(), merged over one day that
+    holds all rows, for tables where exact ones cost too much."""
+    if not exact:
+        return merged_profile(profile_sketches(df, F.lit(0), cols), [0.5]).select("column", "distinct", F.col("quantiles")[0].alias("median"))
+    one = df.agg(*[F.count_distinct(c).alias(c) for c in cols])
+    middle = {c: (exact_quantiles(df, c, [0.5]) or [None])[0] for c in cols}
+    return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("distinct"), F.lit(middle[c]).cast("double").alias("median")) for c in cols])).alias("x")).select("x.*")
 
 
 def conditional_lift(df: DataFrame, key: str, won: str, least: int, z: float = 1.96) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowmart.functions.exprs import flag
@@ -78,6 +78,30 @@ def lookahead_audit(build: Callable[[DataFrame], DataFrame], source: DataFrame,
     return compare_tables(whole, build(source.filter(F.col(date_col) <= cutoff)), keys)
 
 
+def lag_audit(delivered: DataFrame, rebuilt: DataFrame, entity: str, date_col: str, features: Sequence[str], lags: int = 3, rtol: float = 1e-6, atol: float = 1e-9, share: float = 0.99) -> DataFrame:
+    """With which lag the delivered features were built: (feature, compared, m0 to m{lags}, built_lag, same_day).
+
+    rebuilt has the same-day values, a row for each (entity, date); a delivered value is held against the rebuilt one of
+    its own day and of the 1 to `lags` rows before. Compared are the rows that have all of these values; built_lag is
+    the lag with the most matches if that is at least `share` of them and no other lag has as many, else null. same_day
+    says that it is 0: the feature knows its own day. Delivered rows that rebuilt lacks don't count. A feature without
+    rows to compare has null.
+    """
+    w = Window.partitionBy(entity).orderBy(date_col)
+    past = rebuilt.select(entity, date_col, *[F.struct(*[F.lag(f, k).over(w).cast("double").alias(f"l{k}") for k in range(lags + 1)]).alias(f"_{f}") for f in features])
+    both = delivered.select(entity, date_col, *[F.col(f).cast("double").alias(f) for f in features]).join(past, [entity, date_col])
+    each = both.select(F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("v"), F.col(f"_{f}").alias("p")) for f in features])).alias("x")).select("x.*")
+    all_there = F.col("v").isNotNull()
+    for k in range(lags + 1):
+        all_there = all_there & F.col(f"p.l{k}").isNotNull()
+    same = lambda k: F.abs(F.col("v") - F.col(f"p.l{k}")) <= atol + rtol * F.abs(F.col(f"p.l{k}"))
+    counts = each.groupBy("feature").agg(F.sum(flag(all_there)).cast("long").alias("compared"), *[F.sum(flag(all_there & same(k))).cast("long").alias(f"m{k}") for k in range(lags + 1)])
+    found = F.array(*[F.col(f"m{k}") for k in range(lags + 1)])
+    best = F.array_max(found)
+    clear = (F.col("compared") > 0) & (best >= share * F.col("compared")) & (F.size(F.filter(found, lambda m: m == best)) == 1)
+    return counts.withColumn("built_lag", F.when(clear, F.array_position(found, best) - 1)).withColumn("same_day", F.col("built_lag") == 0)
+
+
 def freshness(df: DataFrame, day: str, member: str, need, least_rows: int, least_members: int) -> DataFrame:
     """Latest day, its rows and members, and a state: NO_DATA, STALE, AHEAD, PARTIAL or OK; one pass over day counts."""
     days = df.groupBy(day).agg(F.count("*").alias("rows"), F.count_distinct(member).alias("members"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowmart.functions.exprs import clip, cut, flag, safe_div
+from flowmart.operators.quantiles import exact_quantiles
 
 
 def pct_rank(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
@@ -51,8 +52,7 @@ def extremes(df: DataFrame, value: str, tie: Sequence[str], n: int) -> DataFrame
 
 def quantile_edges(df: DataFrame, value: str, q: int) -> list[float]:
     """The edges of q quantile bins, equal ones once."""
-    found = df.agg(F.percentile(value, F.array(*[F.lit(i / q) for i in range(q + 1)]))).first()[0] or []
-    return sorted(set(found))
+    return sorted(set(exact_quantiles(df, value, [i / q for i in range(q + 1)])))
 
 
 def qcut(df: DataFrame, value: str, q: int, name: str) -> DataFrame:
@@ -63,8 +63,9 @@ def qcut(df: DataFrame, value: str, q: int, name: str) -> DataFrame:
 
 def winsorize(df: DataFrame, value: str, low: float = 0.01, high: float = 0.99, least: int = 10) -> DataFrame:
     """Clips at two quantiles if there are at least so many values."""
-    q = df.agg(F.percentile(value, F.array(F.lit(low), F.lit(high))).alias("q"), F.count(value).alias("n")).first()
-    return df.withColumn(value, clip(value, *q.q)) if q.n >= least else df
+    if df.filter(F.col(value).isNotNull()).limit(least).count() < least:
+        return df
+    return df.withColumn(value, clip(value, *exact_quantiles(df, value, [low, high])))
 
 
 def global_pct_rank(df: DataFrame, value: str, name: str, buckets: int = 256) -> DataFrame:
@@ -92,5 +93,5 @@ def risk_score(df: DataFrame, cols: Sequence[str], name: str = "risk_norm") -> D
     known = [F.col(f"_rank_{c}") for c in cols]
     total, n = sum((F.coalesce(x, F.lit(0.0)) for x in known), F.lit(0.0)), sum((x.isNotNull().cast("int") for x in known), F.lit(0))
     out = out.withColumn(name, clip(safe_div(total, n), 0.0, 1.0)).drop(*[f"_rank_{c}" for c in cols])
-    middle = out.agg(F.percentile(name, 0.5)).first()[0] if cols else None
-    return out.withColumn(name, F.coalesce(name, F.lit(0.5 if middle is None else middle)))
+    middle = exact_quantiles(out, name, [0.5]) if cols else []
+    return out.withColumn(name, F.coalesce(name, F.lit(middle[0] if middle else 0.5)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,14 @@ def query(views: str = "", sql: str | None = None) -> Callable:
     return register
 
 
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new folder that driver and executors share: in spark.checkpoint.dir, else in the checkpoint folder that was set."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return f"{named.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def rd(c: str | Column, n: int = 6) -> Column:
     """In steps of 10^-n, so that sums in another order give the same value. Values change step a little above the
     middle between two, where no quotient of short decimals lies."""

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from flowmart.functions import exprs as X
 from flowmart.operators import aggs
 from flowmart.operators import windows as W
+from flowmart.operators import quantiles
 from flowmart.plans import views as V
-from flowmart.plans.catalog import day, query, r, rd, shown
+from flowmart.plans.catalog import day, query, r, shared_folder, shown
 from flowmart.plans.q_windows import stat
 
 KEYS = ["date", "ticker"]
@@ -81,7 +82,7 @@ def c10_group_summary(spark, sf):
     return shown(g, *g.columns, days=())
 
 
-@query("v_panel", "\nUNION ALL\n".join(f"SELECT '{k}' AS key, count(*) AS n, min(c)::DOUBLE AS least, {r('quantile_cont(c, 0.05) AS p05', 'quantile_cont(c, 0.5) AS median', 'quantile_cont(c, 0.95) AS p95')}, max(c)::DOUBLE AS most FROM (SELECT count(*) AS c FROM v_panel GROUP BY {k})" for k in ("date", "ticker")))
+@query("v_panel", "\nUNION ALL\n".join(f"SELECT '{k}' AS key, count(*) AS n, min(c)::DOUBLE AS least, {r('quantile_cont(c, 0.05) AS p05', 'quantile_cont(c, 0.5) AS median', 'quantile_cont(c, 0.95) AS p95')}, max(c)::DOUBLE AS most, (SELECT string_agg(k, ',' ORDER BY c, k) FROM (SELECT {k}::VARCHAR AS k, count(*) AS c FROM v_panel GROUP BY {k} ORDER BY c, k LIMIT 20)) AS lowest FROM (SELECT count(*) AS c FROM v_panel GROUP BY {k})" for k in ("date", "ticker")))
 def c11_profile_quantiles(spark, sf):
     p = V.panel(spark, sf)
     out = aggs.profile_quantiles(p, "date").unionByName(aggs.profile_quantiles(p, "ticker"))
@@ -126,4 +127,14 @@ def c16_profile(spark, sf):
     return shown(aggs.approx_profile(V.table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"]), "column", "distinct", "median", digits=4)
 
 
-_ = (day, rd)
+@query("", " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count({c}) AS n, 0 AS nulls, min({c}) AS low, max({c}) AS high, true AS distinct_near, true AS median_near FROM lineitem" for c in ("l_quantity", "l_extendedprice")))
+def c16_merged_sketches(spark, sf):
+    """Sketches of each shipping day, stored, then merged; whether their estimates keep to their error bounds."""
+    rows, columns = V.table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"]
+    path = shared_folder(spark, "sketches")
+    quantiles.profile_sketches(rows, F.to_date("l_shipdate"), columns).write.parquet(path)
+    told = quantiles.merged_profile(spark.read.parquet(path), [0.5]).join(aggs.approx_profile(rows, columns).withColumnsRenamed({"distinct": "exact", "median": "middle"}), "column")
+    sides = told.join(rows.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])).alias("x")).select("x.*"), "column")
+    ranks = sides.groupBy("column").agg(F.avg((F.col("v") < F.col("quantiles")[0]).cast("double")).alias("under"), F.avg((F.col("v") <= F.col("quantiles")[0]).cast("double")).alias("upto"))
+    near = (F.col("under") <= 0.54) & (F.col("upto") >= 0.46)
+    return told.join(ranks, "column").select("column", "n", "nulls", "low", "high", (F.abs(F.col("distinct") - F.col("exact")) <= 0.08 * F.col("exact")).alias("distinct_near"), near.alias("median_near"))

@@ -2,30 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmart.plans import views as V
-from flowmart.plans.catalog import query, rd, shown
+from flowmart.plans.catalog import query, r, rd, shared_folder
 from flowmart.streaming import streams as T
 
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
-def folder(spark: SparkSession, label: str) -> str:
-    """A new folder that driver and executors share: in spark.checkpoint.dir, else the checkpoint folder that was set, else
-    the warehouse."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    named = named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
-    return f"{named.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
 def to_end(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
     """What a stream has written when all its input is read."""
     spark = stream.sparkSession
-    out = folder(spark, label)
+    out = shared_folder(spark, label)
     writer = stream.writeStream.trigger(availableNow=True).outputMode(mode).option("checkpointLocation", f"{out}/_state")
     writer.format("parquet").option("path", f"{out}/rows").start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{out}/rows")
@@ -71,10 +60,24 @@ def s4_stream_state(spark, sf):
 @query("v_ticks", "SELECT ticker, event_id, strftime(ts, '%Y-%m-%d') AS date, price FROM v_ticks")
 def s5_stream_upsert(spark, sf):
     e = events(spark, sf).select("ticker", "event_id", F.date_format("ts", "yyyy-MM-dd").alias("date"), "price")
-    out, target = folder(spark, "s5"), folder(spark, "s5rows")
+    out, target = shared_folder(spark, "s5"), shared_folder(spark, "s5rows")
     sink = T.upsert_batches(target, ["date", "ticker", "event_id"], lambda number: F.lit(number).cast("timestamp"))
     e.writeStream.trigger(availableNow=True).option("checkpointLocation", out).foreachBatch(sink).start().awaitTermination()
     return spark.read.parquet(target).select("ticker", "event_id", F.col("date").cast("string").alias("date"), "price")
 
 
-_ = (V, shown)
+SLIDING = f"""SELECT ticker, strftime(s, '%Y-%m-%d %H:%M:%S') AS bucket, arg_min(price, (ts, event_id)) AS open, max(price) AS high, min(price) AS low, arg_max(price, (ts, event_id)) AS close, sum(volume) AS volume, count(*) AS ticks, {r('sum(price * volume) / sum(volume) AS vwap', n=4)}
+  FROM (SELECT *, unnest([time_bucket(INTERVAL 30 MINUTE, ts), time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE]) AS s FROM v_ticks) GROUP BY ticker, s HAVING s + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM v_ticks)"""
+
+
+@query("v_ticks", SLIDING)
+def s6_stream_chain(spark, sf):
+    """Every event twice, once each after dedup, in sliding bars, upserted with a ledger of batches: one stream."""
+    e = events(spark, sf)
+    once = T.stream_dedup(e.unionByName(e), ["event_id"], "ts", "10 minutes")
+    bars = T.stream_bars(once, ["ticker"], "ts", ["ts", "event_id"], "price", "volume", "1 hour", None, "30 minutes")
+    out, target = shared_folder(spark, "s6"), shared_folder(spark, "s6rows")
+    sink = T.ledger_batches(target, ["ticker", "bucket"], "s6", lambda number: F.lit(number).cast("timestamp"))
+    bars.withColumn("date", F.to_date("bucket")).writeStream.trigger(availableNow=True).option("checkpointLocation", out).foreachBatch(sink).start().awaitTermination()
+    done = spark.read.parquet(target)
+    return done.select("ticker", F.date_format("bucket", "yyyy-MM-dd HH:mm:ss").alias("bucket"), "open", "high", "low", "close", "volume", "ticks", rd("vwap", 4).alias("vwap"))

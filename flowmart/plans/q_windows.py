@@ -265,6 +265,28 @@ def n5_lookahead_audit(spark, sf):
     return checks.lookahead_audit(build, V.daily(spark, sf), ["date", "ticker"], F.lit(cut))
 
 
+LAGS = """WITH b AS (SELECT ticker, date, (close - open) / open AS move, high - low AS spread, volume FROM v_daily), l AS (
+    SELECT *, {}, lag(move, 1) OVER t AS d_move, spread AS d_spread, lag(volume, 2) OVER t AS d_volume FROM b WINDOW t AS (PARTITION BY ticker ORDER BY date)), e AS ({}), c AS (
+    SELECT feature, count(*) FILTER (v + l0 + l1 + l2 + l3 IS NOT NULL) AS compared, {} FROM e GROUP BY feature), m AS (SELECT *, greatest(m0, m1, m2, m3) AS best FROM c), p AS (
+    SELECT *, CASE WHEN compared > 0 AND best >= 0.99 * compared AND (m0 = best)::INT + (m1 = best)::INT + (m2 = best)::INT + (m3 = best)::INT = 1 THEN list_position([m0, m1, m2, m3], best) - 1 END AS built_lag FROM m)
+  SELECT feature, compared, m0, m1, m2, m3, built_lag::BIGINT AS built_lag, built_lag = 0 AS same_day FROM p""".format(
+    ", ".join(f"lag({f}, {k}) OVER t AS {f}{k}" for f in ("move", "spread", "volume") for k in range(4)),
+    " UNION ALL ".join(f"SELECT '{f}' AS feature, d_{f} AS v, {f}0 AS l0, {f}1 AS l1, {f}2 AS l2, {f}3 AS l3 FROM l" for f in ("move", "spread", "volume")),
+    ", ".join(f"count(*) FILTER (v + l0 + l1 + l2 + l3 IS NOT NULL AND abs(v - l{k}) <= 1e-9 + 1e-6 * abs(l{k})) AS m{k}" for k in range(4)),
+)
+
+
+@query("v_daily", LAGS)
+def n5_lag_audit(spark, sf):
+    """Three delivered features, lagged by 1, by nothing (a leak) and by 2, told by their values."""
+    from flowmart.operators.checks import lag_audit
+
+    d = V.daily(spark, sf)
+    rebuilt = d.select("ticker", "date", ((F.col("close") - F.col("open")) / F.col("open")).alias("move"), (F.col("high") - F.col("low")).alias("spread"), "volume")
+    w = W.by(["ticker"], "date")
+    return lag_audit(rebuilt.withColumns({"move": F.lag("move").over(w), "volume": F.lag("volume", 2).over(w)}), rebuilt, "ticker", "date", ["move", "spread", "volume"])
+
+
 @query("v_pred", f"SELECT count(*) AS entities, {r('avg((n >= 300)::INT) AS ready_share')} FROM (SELECT ticker, count(DISTINCT date) AS n FROM v_pred GROUP BY ticker)")
 def n6_readiness(spark, sf):
     return shown(checks.readiness(V.predictions(spark, sf), "ticker", 300), "entities", "ready_share")

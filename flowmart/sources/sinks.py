@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,13 +26,18 @@ def replaced(existing: DataFrame, new: DataFrame, by: str = "date") -> DataFrame
     return concat([existing.join(new.select(by).distinct(), by, "left_anti"), new])
 
 
+def one_each(new: DataFrame, keys: Sequence[str], recency: str | None = None) -> DataFrame:
+    """One row of each key: the latest by recency, then the last as JSON, so that a repetition takes the same."""
+    return dedup_keep(new, keys, [*([recency] if recency else []), F.to_json(F.struct(*new.columns))])
+
+
 def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str], now: Column, recency: str | None = None) -> DataFrame:
     """existing (with _inserted_at, _updated_at) with the rows of new put over those of the same key.
 
-    Of several rows of a key in new the latest by recency wins. The insert time of a known key is kept; the update time
+    Of several rows of a key in new the latest by recency wins, of equal ones (and without recency) the last as JSON. The insert time of a known key is kept; the update time
     of every row written is now. Columns that only new has are added.
     """
-    fresh = dedup_keep(new, keys, [recency]) if recency else new.dropDuplicates(list(keys))
+    fresh = one_each(new, keys, recency)
     known = existing.select(*keys, F.col("_inserted_at").alias("_since"))
     fresh = fresh.join(known, list(keys), "left").withColumns({"_inserted_at": F.coalesce("_since", now), "_updated_at": now}).drop("_since")
     return concat([existing.join(fresh.select(*keys), list(keys), "left_anti"), fresh])
@@ -45,15 +51,75 @@ def write_upsert(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[
     except Exception as e:  # no table yet
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        first = dedup_keep(new, keys, [recency]) if recency else new.dropDuplicates(list(keys))
+        first = one_each(new, keys, recency)
         return replace_dates(first.withColumns({"_inserted_at": now, "_updated_at": now}), path, by)
     touched = existing.join(new.select(by).distinct(), by, "left_semi")
     merged = upsert(touched, new, keys, now, recency)
-    staged = f"{path.rstrip('/')}__staged"
-    merged.write.mode("overwrite").parquet(staged)  # a table can't be read and overwritten in one plan
+    staged = f"{path.rstrip('/')}__staged/{uuid.uuid4().hex}"
+    merged.write.parquet(staged)  # a table can't be read and overwritten in one plan
     return replace_dates(spark.read.parquet(staged), path, by)
 
 
+LEDGER = "name string, number long, state string, stage string, dates array<string>, at timestamp"
+
+
+def ledger(spark: SparkSession, path: str) -> DataFrame:
+    """What batches a table has taken: (name, number, state, stage, dates, at), state being staged or done."""
+    try:
+        return spark.read.schema(LEDGER).parquet(f"{path.rstrip('/')}__ledger")
+    except Exception as e:  # no batch yet
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], LEDGER)
+
+
+def ledger_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: Sequence[str], now: Column, name: str, number: int, by: str = "date", recency: str | None = None, before_swap: Callable[[], None] | None = None) -> str:
+    """upsert() of batch `number` of the stream `name` into a table partitioned by `by`, with a ledger beside it.
+
+    A batch that the ledger has as done is left out ("known"). Else its touched partitions are merged into a staging
+    folder of its own, the ledger says so, the partitions are swapped, and the ledger says done. After a crash between
+    any two of these the batch is simply done again. Rows bear the number of the batch they came with (_batch), and of
+    one stream an older batch doesn't put its values over those of a newer one, whenever it comes. If another batch of
+    the same partitions was done since the staging, it is staged anew on what is there then. `before_swap` is called
+    between staging and swap. The ledger is a few rows a batch; lists of the dates of one batch are read by the driver.
+    """
+    base = path.rstrip("/")
+
+    def done() -> dict[tuple[str, int], set[str]]:
+        return {(r.name, r.number): set(r.dates or ()) for r in ledger(spark, path).filter("state = 'done'").collect()}
+
+    def note(state: str, stage: str, dates: list[str]) -> None:
+        row = spark.createDataFrame([(name, number, state, stage, dates)], "name string, number long, state string, stage string, dates array<string>")
+        row.withColumn("at", F.current_timestamp()).write.mode("append").parquet(f"{base}__ledger")
+
+    seen = done()
+    if (name, number) in seen:
+        return "known"
+    new = one_each(batch, keys, recency).withColumns({"_stream": F.lit(name), "_batch": F.lit(number).cast("long")})
+    dates = [r[0] for r in new.select(F.col(by).cast("string")).distinct().collect()]
+    while dates:
+        try:
+            existing = spark.read.option("mergeSchema", True).parquet(path).withColumn(by, F.col(by).cast(new.schema[by].dataType))
+            newer = existing.filter((F.col("_stream") == name) & (F.col("_batch") > number)).select(*keys)
+            merged = upsert(existing.join(new.select(by).distinct(), by, "left_semi"), new.join(newer, list(keys), "left_anti"), keys, now)
+        except Exception as e:  # no table yet
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            merged = new.withColumns({"_inserted_at": now, "_updated_at": now})
+        stage = f"{base}__staged/{name}-{number}-{uuid.uuid4().hex}"
+        merged.write.parquet(stage)
+        note("staged", stage, dates)
+        if before_swap:
+            before_swap()
+        now_done = done()
+        if not any(set(dates) & there for who, there in now_done.items() if who not in seen):
+            replace_dates(spark.read.parquet(stage), path, by)
+            break
+        seen = now_done
+    note("done", "", dates)
+    return "done"
+
+
 def widen(existing: DataFrame, new: DataFrame) -> DataFrame:
     """existing with the columns that only new has, as nulls."""
     return concat([existing, new.limit(0)])

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from flowmart.operators.bars import first_of, last_of
-from flowmart.sources.sinks import write_upsert
+from flowmart.sources.sinks import ledger_upsert, write_upsert
 
 
 def stream_events(spark: SparkSession, path: str, schema: str, fmt: str = "parquet", files_per_batch: int | None = None) -> DataFrame:
@@ -25,10 +25,11 @@ def stream_dedup(df: DataFrame, keys: Sequence[str], ts: str, delay: str) -> Dat
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def stream_bars(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str], price: str, volume: str, width: str, delay: str, slide: str | None = None) -> DataFrame:
-    """Tumbling (or sliding) bars; a bar comes out when the watermark has passed its end."""
+def stream_bars(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[str], price: str, volume: str, width: str, delay: str | None, slide: str | None = None) -> DataFrame:
+    """Tumbling (or sliding) bars; a bar comes out when the watermark has passed its end. Without delay the watermark is
+    the one that df has, such as that of stream_dedup()."""
     span = F.window(ts, width, slide) if slide else F.window(ts, width)
-    g = df.withWatermark(ts, delay).groupBy(*keys, span.alias("w")).agg(
+    g = (df.withWatermark(ts, delay) if delay else df).groupBy(*keys, span.alias("w")).agg(
         first_of(price, *order).alias("open"), F.max(price).alias("high"), F.min(price).alias("low"), last_of(price, *order).alias("close"), F.sum(volume).alias("volume"), F.count("*").alias("ticks"), F.sum(F.col(price) * F.col(volume)).alias("_pv")
     )
     return g.select(*keys, F.col("w.start").alias("bucket"), "open", "high", "low", "close", "volume", "ticks", (F.col("_pv") / F.nullif("volume", F.lit(0.0))).alias("vwap"))
@@ -104,3 +105,12 @@ def upsert_batches(path: str, keys: Sequence[str], now: Callable[[int], Column],
         write_upsert(batch.sparkSession, path, batch, keys, now(number), by)
 
     return write
+
+
+def ledger_batches(path: str, keys: Sequence[str], name: str, now: Callable[[int], Column], by: str = "date", recency: str | None = None) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: ledger_upsert() of each micro-batch, under the name of the stream."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        ledger_upsert(batch.sparkSession, path, batch, keys, now(number), name, number, by, recency)
+
+    return write

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowmart.functions import exprs as X
-from flowmart.operators import adx, checks, modules, ranks, scans
+from flowmart.operators import adx, checks, modules, quantiles, ranks, scans
 from flowmart.operators import bars as B
 from flowmart.operators import joins as J
 from flowmart.operators import labels as L
@@ -310,3 +310,72 @@ def test_day_state_on_late_and_unordered_rows(spark, tmp_path):
     out = to_end(T.stream_state(stream, 100.0), "day_state")
     # the row of 1000 came when the watermark stood at 2 January 00:00, so its day was over
     assert sorted(tuple(r) for r in out.collect()) == [("A", "2024-01-01", 3, pytest.approx(87.5), 100.0, True, True), ("A", "2024-01-02", 1, 10.0, 10.0, False, False), ("B", "2024-01-01", 1, None, 5.0, False, False), ("B", "2024-01-02", 2, 160.0, 200.0, True, False)]
+
+
+def test_exact_quantiles_by_counted_buckets(spark):
+    """Very common values, negative ones, nulls and NaN, several rounds, one value, none."""
+    r = random.Random(4)
+    values = [r.choice([0.0, 0.0, -3.5, r.gauss(0, 1e3), r.random() * 1e-9, float(r.randrange(20))]) for _ in range(3_000)]
+    df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "v double").repartition(3)
+    shares = [0.0, 0.01, 0.25, 0.5, 0.501, 0.9, 1.0]
+    for buckets, small in ((4, 20), (16, 300), (256, 10_000)):
+        assert quantiles.exact_quantiles(df, "v", shares, buckets, small) == pytest.approx(np.quantile(values, shares).tolist())
+    assert quantiles.exact_quantiles(df.filter("v = 0"), "v", [0.5], 4, 2) == [0.0] and quantiles.exact_quantiles(df.filter("v is null"), "v", [0.5]) == []
+
+
+def test_sketches_merge(spark):
+    rows = [(i % 7, float(i % 1000), None if i % 3 else 1.0) for i in range(20_000)] + [(9, None, None), (9, float("nan"), None)]
+    s = quantiles.profile_sketches(spark.createDataFrame(rows, "d int, x double, y double"), "d", ["x", "y"])
+    assert s.count() == 16
+    for days in ([0, 1, 2, 3, 4, 5, 6, 9], [2, 5], [9]):
+        got = {r.column: r for r in quantiles.merged_profile(s.filter(F.col("day").isin(days)), [0.1, 0.5]).collect()}
+        x = [v for d, v, _ in rows if d in days and v is not None and v == v]
+        assert (got["x"].n, got["x"].nulls) == (len(x), sum(d in days for d, _, _ in rows) - len(x))
+        if x:
+            assert abs(got["x"].distinct - len(set(x))) <= 0.08 * len(set(x)) and all(abs(sum(v <= q for v in x) / len(x) - p) < 0.04 for p, q in zip((0.1, 0.5), got["x"].quantiles, strict=True))
+        else:
+            assert (got["x"].distinct, got["x"].quantiles) == (0, None)
+
+
+def test_ledger_of_batches(spark, tmp_path):
+    """A replay, an older batch that comes late, a crash between staging and swap, two writers at once."""
+    path, at = f"file://{tmp_path}/t", lambda n: F.lit(n).cast("timestamp")
+    batch = lambda *rows: spark.createDataFrame(rows, "date string, k int, v int")
+    now = lambda: sorted((r.date, r.k, r.v) for r in spark.read.parquet(path).withColumn("date", F.col("date").cast("string")).collect())
+    put = lambda n, rows, name="a", **how: S.ledger_upsert(spark, path, batch(*rows), ["date", "k"], at(n), name, n, **how)
+    d = "2024-01-01"
+    assert put(1, [(d, 1, 10), (d, 2, 20), (d, 2, 21)]) == "done" and now() == [(d, 1, 10), (d, 2, 21)]
+    assert put(3, [(d, 1, 30), ("2024-01-02", 5, 50)]) == "done" and put(3, [(d, 1, 99)]) == "known"
+    assert put(2, [(d, 1, 11), (d, 2, 22), (d, 3, 33)]) == "done" and now() == [(d, 1, 30), (d, 2, 22), (d, 3, 33), ("2024-01-02", 5, 50)]
+
+    def crash():
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        put(4, [(d, 3, 44)], before_swap=crash)
+    assert (d, 3, 33) in now() and S.ledger(spark, path).filter("number = 4").count() == 1
+    assert put(4, [(d, 3, 44)]) == "done" and (d, 3, 44) in now()
+
+    others = iter([lambda: put(1, [(d, 7, 70)], "b")])
+    assert put(5, [(d, 8, 80)], before_swap=lambda: next(others, lambda: None)()) == "done"
+    assert {(d, 7, 70), (d, 8, 80)} <= set(now())
+    assert S.ledger(spark, path).filter("state = 'done'").count() == 6 and put(6, []) == "done" and len(now()) == 6
+
+
+def test_stream_chain_drops_repeats_and_late_rows(spark, tmp_path):
+    from flowmart.plans.q_streams import to_end
+    from flowmart.streaming import streams as T
+
+    at = lambda h, m: datetime.datetime(2024, 1, 1, h, m)
+    batches = [[(1, "A", at(9, 5), 10.0, 1.0), (1, "A", at(9, 5), 10.0, 1.0), (2, "A", at(9, 40), 20.0, 3.0)], [(2, "A", at(9, 40), 20.0, 3.0), (3, "A", at(11, 0), 5.0, 1.0)], [(4, "A", at(9, 10), 99.0, 1.0), (5, "A", at(10, 55), 7.0, 1.0)], [(6, "A", at(15, 0), 1.0, 1.0)]]
+    schema = "event_id long, ticker string, ts timestamp, price double, volume double"
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/in")
+        for f in (tmp_path / "in").glob("part-*"):
+            if f.stat().st_mtime < 2e9:
+                os.utime(f, (2e9 + i, 2e9 + i))
+    once = T.stream_dedup(T.stream_events(spark, f"file://{tmp_path}/in", schema, files_per_batch=1), ["event_id"], "ts", "10 minutes")
+    bars = T.stream_bars(once, ["ticker"], "ts", ["ts", "event_id"], "price", "volume", "1 hour", None, "30 minutes")
+    got = sorted((r.bucket.hour, r.bucket.minute, r.open, r.close, r.ticks, r.vwap) for r in to_end(bars, "chain").collect())
+    # event 4 came when the watermark stood at 10:50; event 5 was still in time
+    assert got == [(8, 30, 10.0, 10.0, 1, 10.0), (9, 0, 10.0, 20.0, 2, 17.5), (9, 30, 20.0, 20.0, 1, 20.0), (10, 0, 7.0, 7.0, 1, 7.0), (10, 30, 7.0, 5.0, 2, 6.0), (11, 0, 5.0, 5.0, 1, 5.0)]
