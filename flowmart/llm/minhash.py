@@ -135,12 +135,12 @@ class Overlaps:
         own = self.lists.join(of, "u", "left").withColumn("c", F.coalesce("c", "u"))
         head = self.heads.select("v", F.col("h.u").alias("u")).join(of, "u", "left").select("v", F.coalesce("c", "u").alias("hc"))
         bucket = lambda c: F.floor(F.log(c) / F.log(F.lit(RANGE)))
-        placed = stored(own.join(head, "v").select("v", bucket(F.col("n")).alias("r"), F.struct("u", "n", "most", "c").alias("x"), (F.col("c") != F.col("hc")).alias("apart")), "placed")
-        low, high = F.expr(f"({self.percent} * x.n + 99) div 100"), F.expr(f"100 * x.n div {self.percent}")
-        high = F.least(high, F.expr(f"{100 + self.percent} * x.most div {self.percent} - x.n"))
-        probes = placed.filter("apart").withColumns({"low": low, "high": high}).filter("low <= high")
+        low, high = F.expr(f"({self.percent} * n + 99) div 100"), F.least(F.expr(f"100 * n div {self.percent}"), F.expr(f"{100 + self.percent} * most div {self.percent} - n"))
+        own = own.withColumns({"low": low, "high": high}).filter("low <= high")  # what sizes a partner may have
+        placed = stored(own.join(head, "v").select("v", "low", "high", bucket(F.col("n")).alias("r"), F.struct("u", "n", "most", "c").alias("x"), (F.col("c") != F.col("hc")).alias("apart")), "placed")
+        probes = placed.filter("apart")
         probes = probes.select("v", F.explode(F.sequence(bucket(F.col("low")), bucket(F.col("high")))).alias("r"), F.col("x").alias("y"))
-        met = probes.join(placed, ["v", "r"]).filter("x.c != y.c and (not apart or y.u < x.u)").filter(fits("x.", "y.", self.percent))
+        met = probes.join(placed.drop("low", "high"), ["v", "r"]).filter("x.c != y.c and (not apart or y.u < x.u)").filter(fits("x.", "y.", self.percent))
         return met.select(F.least("x.u", "y.u").alias("a"), F.greatest("x.u", "y.u").alias("b")).distinct()
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
@@ -178,7 +178,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words_in_shingle: int =
     same = several.join(several.groupBy("doc_id").agg(F.min("u").alias("b")), "doc_id").selectExpr("u as a", "b").filter("a != b")
     stars = stored(lists.stars(), "stars")
     edges = stored(linked(stars).unionByName(same), "edges")
-    rest = stored(lists.others(components(edges)).join(stars, ["a", "b"], "left_anti"), "others")
+    # The pairs are written before those that were tried go, as Spark would else move that below the test of sizes.
+    rest = stored(lists.others(components(edges)), "others").join(stars, ["a", "b"], "left_anti")
     roots = components(edges.unionByName(stored(linked(rest), "edges")))
     classes = nodes.join(roots, nodes.u == roots.node, "left").select("h1", "h2", F.coalesce("root", "u").alias("root"))
     out = sig.drop("sketch").join(classes, ["h1", "h2"], "left")
