@@ -150,7 +150,8 @@ def near_copies(docs: DataFrame, carry: tuple[str, ...] = (), percent: int = 80,
     found = components(edges).select(F.col("node").alias("h"), F.col("root").alias("c"))
     of = stored(found.unionByName(found.selectExpr("c as h", "c").distinct()), "components")
     grouped = live.join(of.join(of.groupBy("c").agg(F.count("*").alias("members")), "c"), "h", "left").withColumn("members", F.coalesce("members", F.lit(1)))
-    rest = stored(nearby(stored(grouped, "grouped"), percent, large).join(stars, ["a", "b"], "left_anti"), "candidates")
+    # The pairs are written before those that were tried go, as Spark would else move that below the tests.
+    rest = stored(nearby(stored(grouped, "grouped"), percent, large), "candidates").join(stars, ["a", "b"], "left_anti")
     roots = components(edges.unionByName(stored(linked(rest), "edges")))
     classed = sig.join(roots, sig.h == roots.node, "left").select("own.*", F.coalesce("root", "h").alias("_c"))
     return classed.join(classed.groupBy("_c").agg(F.min("doc_id").alias("component_id")), "_c").select("doc_id", *carry, "component_id")
