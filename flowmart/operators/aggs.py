@@ -156,6 +156,16 @@ def jaccard(df: DataFrame, group: str, item: str) -> DataFrame:
     return common.join(na, "a").join(nb, "b").select("a", "b", "common", (F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("jaccard"))
 
 
+def mean_rank(df: DataFrame, group: str, item: str, gain: str) -> DataFrame:
+    """item, groups (that have it), mean_rank (by falling gain within a group, ties to the smaller item) and everywhere:
+    whether all groups have it. An item that a group has twice counts there by its largest gain."""
+    each = df.groupBy(group, item).agg(F.max(gain).alias("_gain"))
+    ranked = each.withColumn("_rank", F.row_number().over(Window.partitionBy(group).orderBy(F.desc("_gain"), item)))
+    many = ranked.select(group).distinct().agg(F.count("*").alias("_many"))
+    g = ranked.groupBy(item).agg(F.count("*").alias("groups"), F.avg("_rank").alias("mean_rank"))
+    return g.join(many, how="cross").select(item, "groups", "mean_rank", (F.col("groups") == F.col("_many")).alias("everywhere"))
+
+
 def approx_profile(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """Distinct values and medians; with exact=False by the sketches of profile_sketches(), merged over one day that
     holds all rows, for tables where exact ones cost too much."""

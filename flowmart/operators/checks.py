@@ -111,6 +111,16 @@ def freshness(df: DataFrame, day: str, member: str, need, least_rows: int, least
     return one.select(d.alias("latest"), F.col("x.rows").alias("rows"), F.col("x.members").alias("members"), "days", state.alias("state"))
 
 
+def latest_hour(df: DataFrame, ts: str, entity: str, need: int, least_entities: int = 1) -> DataFrame:
+    """The latest day, its latest hour that at least so many entities have, how many, and whether it is `need` or later;
+    no row for an empty table."""
+    hours = df.filter(F.col(ts).isNotNull()).groupBy(F.to_date(ts).alias("latest"), F.hour(ts).alias("hour")).agg(F.count_distinct(entity).alias("entities"))
+    last = hours.agg(F.max("latest").alias("latest"))
+    fine = F.when(F.col("entities") >= least_entities, F.struct("hour", "entities"))
+    g = hours.join(F.broadcast(last), "latest").groupBy("latest").agg(F.max(fine).alias("x"))
+    return g.select("latest", F.col("x.hour").alias("hour"), F.col("x.entities").alias("entities"), F.coalesce(F.col("x.hour") >= need, F.lit(False)).alias("ready"))
+
+
 def readiness(df: DataFrame, entity: str, rows: int, day: str = "date") -> DataFrame:
     """Share of entities with at least so many days."""
     g = df.groupBy(entity).agg(F.count_distinct(day).alias("n"))

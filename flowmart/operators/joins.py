@@ -152,6 +152,12 @@ def scd_merge(existing: DataFrame, current: DataFrame, key: str, now: Column) ->
     )
 
 
+def scd_counts(merged: DataFrame) -> DataFrame:
+    """How many members of scd_merge() are new, deactivated, reactivated and the same, and how many are active, in one row."""
+    moves = ("new", "deactivated", "reactivated", "same")
+    return merged.agg(*[F.count_if(F.col("transition") == m).alias(m) for m in moves], F.count_if("is_active").alias("active"), F.count("*").alias("members"))
+
+
 def key_sets(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Each distinct key and where it stands: both, left or right."""
     left, right = a.select(*keys).distinct().withColumn("_l", F.lit(1)), b.select(*keys).distinct().withColumn("_r", F.lit(1))

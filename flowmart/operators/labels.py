@@ -25,11 +25,15 @@ def label_intraday(bars: DataFrame, keys: Sequence[str], hour: str, ts: str, cut
 
 
 def label_next_open(daily: DataFrame, keys: Sequence[str], take: float, stop: float, order: str = "date") -> DataFrame:
-    """Return from a day's close to the next open, hit and stop; null on the last day."""
+    """Return from a day's close to the next open, hit and stop, null on the last day; the day's range over its close,
+    and where in the range it closed (null if there was none)."""
     w = Window.partitionBy(*keys).orderBy(order)
     out = daily.withColumn("next_open", F.lead("open").over(w)).withColumn("next_ret", safe_div(F.col("next_open") - F.col("close"), "close"))
     known = F.col("next_ret").isNotNull()
-    return out.withColumns({"label_hit": F.when(known, flag(F.col("next_ret") >= take)), "label_stop": F.when(known, flag(F.col("next_ret") <= stop))})
+    return out.withColumns({
+        "label_hit": F.when(known, flag(F.col("next_ret") >= take)), "label_stop": F.when(known, flag(F.col("next_ret") <= stop)),
+        "range_share": safe_div(F.col("high") - F.col("low"), "close"), "close_place": safe_div(F.col("close") - F.col("low"), F.col("high") - F.col("low")),
+    })
 
 
 def label_overnight(bars: DataFrame, ts: str, hour: str, entry_hour: int, exit_hour: int, take: float = 0.004, stop: float = -0.02, jump: float = 0.15, gap_days: int = 3, absurd: float = 0.5) -> DataFrame:
@@ -156,3 +160,14 @@ def exits_on_next_session(picks: DataFrame, prices: DataFrame, cost: float, date
     gross = safe_div(F.col("exit_price") - F.col("entry_price"), "entry_price")
     status = F.when(F.col("exit_date").isNull(), "pending").when(gross.isNull(), "missing").otherwise("closed")
     return out.select(date_col, "ticker", "exit_date", status.alias("status"), gross.alias("gross"), (gross - cost).alias("net"))
+
+
+def settled_by_day(settled: DataFrame, days: DataFrame, date_col: str = "date") -> DataFrame:
+    """What exits_on_next_session() settled, a row for each of `days` and each day with picks: status, picks, closed and
+    the mean gross and net of those. A day is closed if any pick is, else pending if any is; without picks missing."""
+    g = settled.groupBy(date_col).agg(
+        F.count("*").alias("picks"), F.sum(flag(F.col("status") == "closed")).cast("long").alias("closed"), F.sum(flag(F.col("status") == "pending")).alias("_open"), F.avg(F.when(F.col("status") == "closed", F.col("gross"))).alias("gross"), F.avg(F.when(F.col("status") == "closed", F.col("net"))).alias("net")
+    )
+    every = days.select(date_col).unionByName(settled.select(date_col)).dropna().distinct()
+    status = F.when(F.col("closed") > 0, "closed").when(F.col("_open") > 0, "pending").otherwise("missing")
+    return every.join(g, date_col, "left").select(date_col, status.alias("status"), F.coalesce("picks", F.lit(0)).alias("picks"), F.coalesce("closed", F.lit(0)).alias("closed"), "gross", "net")

@@ -97,6 +97,19 @@ def baseline(df: DataFrame, value: str, windows: Sequence[int], keys: Sequence[s
     return df.withColumns({f"{value}_base_{n}": guarded("mean", F.col(value), prior(w, n), max(1, int(n * least_share))) for n in windows})
 
 
+def half_window_baseline(df: DataFrame, value: str, windows: Sequence[int], keys: Sequence[str], order: str = "date", velocity: tuple[int, int] = (5, 20)) -> DataFrame:
+    """Mean, sample deviation and z of the value over the rows before, from half a window's values on, and the velocity:
+    the shorter mean over the longer one. A deviation or longer mean of 0 gives null."""
+    w, x = by(keys, order), F.col(value)
+    df = df.withColumns({f"{value}_{name}_{n}": guarded(stat, x, prior(w, n), max(1, n // 2)) for n in windows for name, stat in (("ma", "mean"), ("std", "std"))})
+    zero = F.lit(0.0)
+    made = {f"{value}_z_{n}": (x - F.col(f"{value}_ma_{n}")) / F.nullif(f"{value}_std_{n}", zero) for n in windows}
+    short, long = velocity
+    if {short, long} <= set(windows):
+        made[f"{value}_velocity_{long}"] = F.col(f"{value}_ma_{short}") / F.nullif(f"{value}_ma_{long}", zero)
+    return df.withColumns(made)
+
+
 def daily_price_features(df: DataFrame, windows: Sequence[int], keys: Sequence[str] = ("ticker",), order: str = "date") -> DataFrame:
     """From daily bars: previous close, returns, gap, range, turnover, and means and z of what lies before."""
     w = by(keys, order)

@@ -27,10 +27,12 @@ def query(views: str = "", sql: str | None = None) -> Callable:
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new folder that driver and executors share: in spark.checkpoint.dir, else in the checkpoint folder that was set."""
+    """A new folder that driver and executors share: in spark.checkpoint.dir, else in the checkpoint folder that was set;
+    where all is one machine, else in the warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
+    if not named and not spark.sparkContext.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    named = named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
     return f"{named.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

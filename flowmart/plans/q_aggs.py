@@ -122,6 +122,13 @@ def c15_jaccard(spark, sf):
     return shown(aggs.jaccard(s, "g", "i"), "a", "b", "common", "jaccard")
 
 
+@query("", f"""WITH s AS (SELECT o_custkey % 20 AS g, o_orderpriority || (o_orderkey % 50) AS i, max(o_totalprice) AS gain FROM orders GROUP BY ALL), k AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY gain DESC, i) AS rank FROM s)
+  SELECT i, count(*) AS groups, {r('avg(rank) AS mean_rank')}, count(*) = (SELECT count(DISTINCT g) FROM k) AS everywhere FROM k GROUP BY i""")
+def c15_mean_rank(spark, sf):
+    s = V.table(spark, sf, "orders").select((F.col("o_custkey") % 20).alias("g"), F.concat("o_orderpriority", F.col("o_orderkey") % 50).alias("i"), "o_totalprice")
+    return shown(aggs.mean_rank(s, "g", "i", "o_totalprice"), "i", "groups", "mean_rank", "everywhere")
+
+
 @query("", " UNION ALL ".join(f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS \"distinct\", {r(f'quantile_cont({c}, 0.5) AS median', n=4)} FROM lineitem" for c in ("l_quantity", "l_extendedprice")))
 def c16_profile(spark, sf):
     return shown(aggs.approx_profile(V.table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"]), "column", "distinct", "median", digits=4)

@@ -116,10 +116,10 @@ def i1_label_intraday(spark, sf):
     return shown(L.label_intraday(V.hourly(spark, sf), KEYS, "hour", "ts", 10), *KEYS, "feature_date", "high_ret", "low_ret", "close_ret", "label_hit", "label_stop", days=("date", "feature_date"))
 
 
-@query("v_daily", f"""WITH n AS (SELECT *, (lead(open) OVER ({TICKER}) - close) / nullif(close, 0) AS x FROM v_daily) SELECT date::VARCHAR AS date, ticker, {r('x AS next_ret')}, CASE WHEN x IS NOT NULL THEN (x >= 0.02)::INT::DOUBLE END AS label_hit, CASE WHEN x IS NOT NULL THEN (x <= -0.02)::INT::DOUBLE END AS label_stop FROM n""")
+@query("v_daily", f"""WITH n AS (SELECT *, (lead(open) OVER ({TICKER}) - close) / nullif(close, 0) AS x FROM v_daily) SELECT date::VARCHAR AS date, ticker, {r('x AS next_ret', '(high - low) / nullif(close, 0) AS range_share', '(close - low) / nullif(high - low, 0) AS close_place')}, CASE WHEN x IS NOT NULL THEN (x >= 0.02)::INT::DOUBLE END AS label_hit, CASE WHEN x IS NOT NULL THEN (x <= -0.02)::INT::DOUBLE END AS label_stop FROM n""")
 def i2_label_next_open(spark, sf):
     out = L.label_next_open(V.daily(spark, sf), ["ticker"], 0.02, -0.02)
-    return shown(out.withColumns({c: F.col(c).cast("double") for c in ("label_hit", "label_stop")}), *KEYS, "next_ret", "label_hit", "label_stop")
+    return shown(out.withColumns({c: F.col(c).cast("double") for c in ("label_hit", "label_stop")}), *KEYS, "next_ret", "label_hit", "label_stop", "range_share", "close_place")
 
 
 @query("v_hourly", f"""WITH d AS (SELECT date, ticker, arg_max(close, ts) FILTER (hour = 15) AS entry_price, arg_min(open, ts) FILTER (hour = 10) AS o FROM v_hourly GROUP BY ALL), x AS (SELECT ticker, date AS exit_date, o AS exit_price, lag(date) OVER (PARTITION BY ticker ORDER BY date) AS prev_exit FROM d WHERE o IS NOT NULL),

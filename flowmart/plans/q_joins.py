@@ -82,10 +82,12 @@ def d9_fill_missing(spark, sf):
     return shown(J.fill_missing(primary, fallback, ["date", "ticker"], wanted), "date", "ticker", "close", "src", digits=3)
 
 
-@query("", "SELECT o_orderkey, 'old' AS src FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey, 'new' FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0")
+@query("", "SELECT o_orderkey, CASE WHEN year(o_orderdate) <= 1998 THEN 'old' ELSE 'new' END AS src FROM orders")
 def d10_insert_new(spark, sf):
-    o = V.table(spark, sf, "orders").select("o_orderkey")
-    return J.insert_new(o.filter("o_orderkey % 2 = 0").withColumn("src", F.lit("new")), o.filter("o_orderkey % 3 = 0").withColumn("src", F.lit("old")), ["o_orderkey"])
+    """Orders up to 1998 are there, those from 1997 on come; two years are in both."""
+    o, year = V.table(spark, sf, "orders"), F.year("o_orderdate")
+    part = lambda c, src: o.filter(c).select("o_orderkey", F.lit(src).alias("src"))
+    return J.insert_new(part(year >= 1997, "new"), part(year <= 1998, "old"), ["o_orderkey"])
 
 
 @query("v_panel", "SELECT d.date::VARCHAR AS date, b.broker FROM (SELECT DISTINCT date FROM v_panel) d, (SELECT DISTINCT broker FROM v_panel) b WHERE (d.date, b.broker) NOT IN (SELECT (date, broker) FROM v_panel WHERE ticker <> 'T1')")
@@ -105,6 +107,15 @@ def d13_scd_merge(spark, sf):
     return out.select("broker", "is_active", day("first_seen").alias("first_seen"), day("last_seen").alias("last_seen"), "transition")
 
 
+@query("v_members", "WITH m AS (SELECT category, broker IN ('B3', 'B4') AS gone FROM v_members WHERE NOT (category = 'ASIA' AND broker IN ('B3', 'B4'))) SELECT count(*) FILTER (category = 'ASIA') AS new, count(*) FILTER (gone AND category NOT IN ('ASIA', 'EUROPE')) AS deactivated, "
+       "count(*) FILTER (NOT gone AND category = 'EUROPE') AS reactivated, count(*) FILTER (category <> 'ASIA' AND gone = (category = 'EUROPE')) AS same, count(*) FILTER (NOT gone) AS active, count(*) AS members FROM m")
+def d13_scd_counts(spark, sf):
+    m = V.members(spark, sf)
+    at = lambda s: F.lit(s).cast("timestamp")
+    existing = m.filter("category != 'ASIA'").select("broker", (F.col("category") != "EUROPE").alias("is_active"), at("2020-01-01").alias("first_seen"), at("2023-01-01").alias("last_seen"), at("2022-01-01").alias("last_change"))
+    return J.scd_counts(J.scd_merge(existing, m.filter("broker not in ('B3', 'B4')"), "broker", at("2024-02-01")))
+
+
 @query("", "SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1")
 def k1_dedup_keep(spark, sf):
     return J.dedup_keep(V.table(spark, sf, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey", "o_totalprice")
@@ -170,6 +181,11 @@ def n6_freshness(spark, sf):
     return checks.freshness(V.panel(spark, sf), "date", "broker", F.lit("2030-01-01").cast("date"), 3000, 10).withColumn("latest", day("latest"))
 
 
+@query("v_ticks", "WITH h AS (SELECT ts::DATE AS d, hour(ts)::INT AS hour, count(DISTINCT ticker) AS entities FROM v_ticks GROUP BY ALL) SELECT d::VARCHAR AS latest, hour, entities, hour >= 14 AS ready FROM h WHERE d = (SELECT max(d) FROM h) AND entities >= 3 ORDER BY hour DESC LIMIT 1")
+def n6_latest_hour(spark, sf):
+    return checks.latest_hour(V.ticks(spark, sf), "ts", "ticker", 14, 3).withColumn("latest", day("latest"))
+
+
 @query("v_panel", f"SELECT date::VARCHAR AS date, brkm_broker, ticker, {r('gross_buy AS flow_gross_buy', 'gross_sell AS flow_gross_sell', 'avg_buy_price AS pc_avg_buy_price', n=3)}, buy_freq AS act_buy_freq FROM (SELECT *, broker AS brkm_broker FROM v_panel)")
 def b8_column_families(spark, sf):
     p = R.column_families(V.panel(spark, sf), {"flow_": ["gross_buy", "gross_sell", "no_such"], "pc_": ["avg_buy_price"], "act_": ["buy_freq"], "brkm_": ["broker"]})

@@ -93,6 +93,20 @@ def j14_settle_picks(spark, sf):
     return shown(out, "date", "ticker", "exit_date", "status", "gross", "net", days=("date", "exit_date"))
 
 
+@query("v_pred", f"""WITH d AS (SELECT date, lead(date) OVER (ORDER BY date) AS nx FROM (SELECT DISTINCT date FROM v_pred)), p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY pred_proba DESC, ticker) AS rn FROM v_pred) WHERE rn <= 3 AND month(date) <> 5),
+  s AS (SELECT p.date, nx, x.entry_price IS NOT NULL AS closed, (x.entry_price - p.entry_price) / p.entry_price AS gross FROM p JOIN d USING (date) LEFT JOIN v_pred x ON x.date = d.nx AND x.ticker = p.ticker),
+  g AS (SELECT date, count(*) AS picks, sum(closed::INT)::BIGINT AS closed, avg(gross) FILTER (closed) AS gross, bool_or(nx IS NULL) AS open FROM s GROUP BY date)
+  SELECT date::VARCHAR AS date, CASE WHEN closed > 0 THEN 'closed' WHEN open THEN 'pending' ELSE 'missing' END AS status, coalesce(picks, 0) AS picks, coalesce(closed, 0) AS closed, {r('gross', 'gross - 0.004 AS net')} FROM d LEFT JOIN g USING (date)""")
+def j14_settled_by_day(spark, sf):
+    """No picks were logged in May."""
+    from flowmart.operators.ranks import top_k
+
+    pred = V.predictions(spark, sf)
+    picks = top_k(pred.filter(F.month("date") != 5), ["date"], [F.desc("pred_proba"), "ticker"], 3).select("date", "ticker", "entry_price")
+    out = L.exits_on_next_session(picks, pred.select("date", "ticker", F.col("entry_price").alias("exit_price")), 0.004)
+    return shown(L.settled_by_day(out, pred.select("date")), "date", "status", "picks", "closed", "gross", "net")
+
+
 @query("v_pred v_daily", f"""SELECT p.date::VARCHAR AS date, p.ticker, {r('d.high / nullif(p.entry_price, 0) - 1 AS spike', 'd.close / nullif(p.entry_price, 0) - 1 AS close_ret', 'd.close / nullif(d.high, 0) - 1 AS fall_from_high')}, {r("CASE WHEN d.low / d.open - 1 <= -0.2 THEN -0.2 WHEN d.high / d.open - 1 >= 0.3 THEN 0.3 ELSE d.close / d.open - 1 END AS fill")} FROM v_pred p JOIN v_daily d USING (date, ticker)""")
 def j8_j15_trade_anatomy(spark, sf):
     d = V.daily(spark, sf)

@@ -74,6 +74,19 @@ def e4_e5_baselines(spark, sf):
     return shown(half.join(b, ["date", "broker"]), "date", "broker", "ticker", "total_net_buy_base_20", "broker_day_base_20", "half_base_20", digits=3)
 
 
+HALF = ", ".join(f"{stat('avg', 'total_net_buy', n, n // 2, PAIR)} AS ma{n}, {stat('stddev_samp', 'total_net_buy', n, n // 2, PAIR)} AS std{n}" for n in (5, 20, 60))
+
+
+@query("v_panel", f"""WITH h AS (SELECT *, {HALF} FROM v_panel) SELECT date::VARCHAR AS date, broker, ticker, {r(*[f'{c}{n} AS total_net_buy_{c}_{n}' for n in (5, 20, 60) for c in ('ma', 'std')], n=2)}, {r(*[f'(total_net_buy - ma{n}) / nullif(std{n}, 0) AS total_net_buy_z_{n}' for n in (5, 20, 60)], n=4)},
+  (ma5 / nullif(ma20, 0) > 1)::INT::DOUBLE AS faster FROM h""")
+def e5_half_window_baseline(spark, sf):
+    """The velocity is shown as whether it is above 1, as its divisor may be near 0."""
+    out = W.half_window_baseline(V.panel(spark, sf), "total_net_buy", [5, 20, 60], ["broker", "ticker"])
+    names = [f"total_net_buy_{c}_{n}" for n in (5, 20, 60) for c in ("ma", "std", "z")]
+    rounded = {c: rd(c, 4 if "_z_" in c else 2) for c in names}
+    return out.withColumns(rounded).select(day().alias("date"), "broker", "ticker", *names, (F.col("total_net_buy_velocity_20") > 1).cast("int").cast("double").alias("faster"))
+
+
 @query("v_daily", f"""WITH a AS (SELECT *, lag(close) OVER ({TICKER}) AS pc, (high - low) / nullif(open, 0) AS range_pct FROM v_daily)
   SELECT date::VARCHAR AS date, ticker, {r("(close - open) / nullif(open, 0) AS ret_oc", "(close - pc) / nullif(pc, 0) AS ret_cc", "(open - pc) / nullif(pc, 0) AS gap", "range_pct", f"{z_sql('close', 5, TICKER)} AS close_z_5", f"volume / nullif({stat('avg', 'volume', 5)}, 0) AS volume_velocity_5", f"{z_sql('range_pct', 5, TICKER)} AS range_z_5", n=5)} FROM a""")
 def e6_daily_price_features(spark, sf):
