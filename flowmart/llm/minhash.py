@@ -6,11 +6,13 @@ sketches estimate their similarity, and the full sets decide.
 
 A pair that the estimate lets through shares a known number of retained values. So a sketch with too many values that
 no other one retains has no partner, and its document goes no further; most do. Of the others the full sets are counted
-alike, which is exact. Then of a sketch only its rarest values need a place in the lists: as many as may differ, and
-one more. Values that one sketch alone retains take those places without an entry, and a passage that many documents
-share comes last and mostly gets none. What is left in long lists are groups of near copies. They are first held
-against the most central sketch of the list and joined; then only what isn't joined yet meets the list, in ranges of
-the set's size.
+alike, which is exact, and they get a finer sketch. Of that only the rarest values need a place in the lists: as many
+as may differ, and one more. Values that one sketch alone retains take those places without an entry, and a passage
+that many documents share comes last and mostly gets none. All that a sketch has of values that aren't busy comes
+before its busy ones. So a pair that meets in a busy list and in no other has nothing but busy values in common, and
+the number of these bounds its similarity: most copies with many edits drop out. What is left in long lists are groups
+of near copies. They are first held against the most central sketch of the list and joined; then only what isn't
+joined yet meets the list, in ranges of the set's size.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from flowmart.llm.simhash import WordHashes, components, shingles, words_hashed
 
 #: Hashes of a sketch, and the chance at which the estimate may miss a pair that is just similar enough.
 KEPT, MISS = 128, 1e-9
+#: Hashes of the finer sketches that the lists are made of, and entries from which a list is busy.
+FINE, BUSY = 1_024, 32
 #: Ratio of the bounds of a range of set sizes.
 RANGE = 1.04
 
@@ -113,20 +117,26 @@ def fits(a: str, b: str, percent: int) -> str:
 class Overlaps:
     """The inverted lists of the sketches of nodes (u, n, sketch), and the pairs that they bring together."""
 
-    def __init__(self, nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, kept: int):
-        self.percent, self.kept = percent, kept
-        self.nodes, self.sets = partnered(nodes, sets_of, percent, kept)
+    def __init__(self, nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, kept: int, fine: int = FINE, busy: int = BUSY):
+        self.percent, self.fine = percent, fine
+        known, self.sets = partnered(nodes, sets_of, percent, kept)
+        self.nodes = stored(known.select("u", "most").join(self.sets, "u").select("u", "most", F.size("s").cast("long").alias("n"), F.slice("s", 1, fine).alias("sketch")), "nodes")
         held = self.nodes.select("u", F.explode("sketch").alias("v"))
-        of = held.join(shared_values(held), "v").groupBy("u").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("of"), F.sum("df").alias("central"))
+        of = held.join(shared_values(held), "v").groupBy("u").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("of"), F.sum("df").alias("central"), F.count_if(F.col("df") > busy).alias("hot"))
         # So many values may differ and one more; those that this sketch alone retains are among them.
-        rows = self.nodes.drop("sketch").join(of, "u").withColumn("places", F.expr(f"size(of) - {needed(percent, kept)} + 1")).filter("places > 0")
-        #: v, u, n, most, central
-        self.lists = stored(rows.select("u", "n", "most", "central", F.explode(F.expr("slice(of, 1, cast(places as int)).v")).alias("v")), "lists")
+        rows = self.nodes.drop("sketch").join(of, "u").withColumn("places", F.expr(f"size(of) - {needed(percent, fine)} + 1")).filter("places > 0")
+        rows = rows.select("u", "n", "most", "hot", "central", F.explode(F.expr("slice(of, 1, cast(places as int))")).alias("x")).withColumn("busy", F.col("x.df") > busy)
+        #: v, busy, u, n, most (values that another one of the list can share), central
+        self.lists = stored(rows.select(F.col("x.v").alias("v"), "busy", "u", "n", F.when(F.col("busy"), F.col("hot")).otherwise(F.col("most")).alias("most"), "central"), "lists")
+
+    def fit(self, a: str, b: str) -> str:
+        """fits() in one list; in a busy one larger sets are held against one another by what their sketches share."""
+        return f"if(busy and greatest({a}n, {b}n) > {self.fine}, least({a}most, {b}most) >= {least_common(self.fine, self.percent)} and 100 * least({a}n, {b}n) >= {self.percent} * greatest({a}n, {b}n), {fits(a, b, self.percent)})"
 
     def stars(self) -> DataFrame:
         """Pairs (a, b) of each list's most central node and its other ones."""
         self.heads = stored(self.lists.groupBy("v").agg(F.max(F.struct("central", "u", "n", "most")).alias("h")).select("v", F.struct("h.u", "h.n", "h.most").alias("h")), "heads")
-        met = self.lists.withColumn("own", F.struct("u", "n", "most")).join(self.heads, "v").filter("u != h.u").filter(fits("own.", "h.", self.percent))
+        met = self.lists.withColumn("own", F.struct("u", "n", "most")).join(self.heads, "v").filter("u != h.u").filter(self.fit("own.", "h."))
         return met.select(F.least("u", "h.u").alias("a"), F.greatest("u", "h.u").alias("b")).distinct()
 
     def others(self, roots: DataFrame) -> DataFrame:
@@ -135,29 +145,31 @@ class Overlaps:
         own = self.lists.join(of, "u", "left").withColumn("c", F.coalesce("c", "u"))
         head = self.heads.select("v", F.col("h.u").alias("u")).join(of, "u", "left").select("v", F.coalesce("c", "u").alias("hc"))
         bucket = lambda c: F.floor(F.log(c) / F.log(F.lit(RANGE)))
-        low, high = F.expr(f"({self.percent} * n + 99) div 100"), F.least(F.expr(f"100 * n div {self.percent}"), F.expr(f"{100 + self.percent} * most div {self.percent} - n"))
+        low, high = F.expr(f"({self.percent} * n + 99) div 100"), F.expr(f"100 * n div {self.percent}")
+        high = F.when(F.col("busy") & (high > self.fine), high).otherwise(F.least(high, F.expr(f"{100 + self.percent} * most div {self.percent} - n")))
         own = own.withColumns({"low": low, "high": high}).filter("low <= high")  # what sizes a partner may have
-        placed = stored(own.join(head, "v").select("v", "low", "high", bucket(F.col("n")).alias("r"), F.struct("u", "n", "most", "c").alias("x"), (F.col("c") != F.col("hc")).alias("apart")), "placed")
+        placed = stored(own.join(head, "v").select("v", "busy", "low", "high", bucket(F.col("n")).alias("r"), F.struct("u", "n", "most", "c").alias("x"), (F.col("c") != F.col("hc")).alias("apart")), "placed")
         probes = placed.filter("apart")
         probes = probes.select("v", F.explode(F.sequence(bucket(F.col("low")), bucket(F.col("high")))).alias("r"), F.col("x").alias("y"))
-        met = probes.join(placed.drop("low", "high"), ["v", "r"]).filter("x.c != y.c and (not apart or y.u < x.u)").filter(fits("x.", "y.", self.percent))
+        met = probes.join(placed.drop("low", "high"), ["v", "r"]).filter("x.c != y.c and (not apart or y.u < x.u)").filter(self.fit("x.", "y."))
         return met.select(F.least("x.u", "y.u").alias("a"), F.greatest("x.u", "y.u").alias("b")).distinct()
 
     def estimated(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose union sketch has enough hashes in common."""
         end = lambda x: self.nodes.select(F.col("u").alias(x), F.col("sketch").alias(f"s{x}"))
-        both = pairs.join(end("a"), "a").join(end("b"), "b").select("a", "b", F.array_intersect("sa", "sb").alias("i"), F.slice(F.array_sort(F.array_union("sa", "sb")), 1, self.kept).alias("w"))
+        both = pairs.join(end("a"), "a").join(end("b"), "b").select("a", "b", F.array_intersect("sa", "sb").alias("i"), F.slice(F.array_sort(F.array_union("sa", "sb")), 1, self.fine).alias("w"))
         common = F.size(F.array_intersect("i", "w"))
-        return both.filter(F.when(F.size("w") < self.kept, 100 * common >= self.percent * F.size("w")).otherwise(common >= least_common(self.kept, self.percent))).select("a", "b")
+        return both.filter(F.when(F.size("w") < self.fine, 100 * common >= self.percent * F.size("w")).otherwise(common >= least_common(self.fine, self.percent))).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, words_in_shingle: int = 5, kept: int = KEPT) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 85, words_in_shingle: int = 5, kept: int = KEPT, fine: int = FINE, busy: int = BUSY) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row of docs (doc_id, text, whatever else).
 
     A document's set has its distinct word shingles; A-Z are lower-cased. With fewer words it has the whole sequence,
     without words nothing. Documents link if `percent` times the size of their union is at most 100 times that of
     their intersection. component_id is the smallest doc_id reachable; kept marks the documents that bear it. Sets of
-    fewer than 0.85 * `kept` shingles lose no link; of the others a link goes amiss with a chance of MISS at most.
+    fewer than 0.85 * `kept` shingles lose no link; of the others a link goes amiss with a chance of MISS at most, twice
+    that from 0.85 * `fine` on.
 
     A document without words is linked with nothing. Rows that share a doc_id are one document: what links with one
     of them links with all. A row without doc_id comes back with the component of the documents that have its very
@@ -165,7 +177,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, words_in_shingle: int =
     """
     sig = stored(sketches(docs, words_in_shingle, kept), "sketches")
     nodes = stored(sig.filter("doc_id is not null and n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("u"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes")
-    lists = Overlaps(nodes, lambda ids: full_sets(docs, ids, words_in_shingle), percent, kept)
+    lists = Overlaps(nodes, lambda ids: full_sets(docs, ids, words_in_shingle), percent, kept, fine, busy)
 
     def linked(pairs: DataFrame) -> DataFrame:
         close = stored(lists.estimated(pairs), "close")

@@ -38,8 +38,8 @@ def edited(r, words, n):
     return " ".join(out)
 
 
-@pytest.mark.parametrize("kept", [128, 16])
-def test_minhash_against_all_pairs(spark, kept):
+@pytest.mark.parametrize(("kept", "fine", "busy"), [(128, 1024, 32), (16, 64, 3)])
+def test_minhash_against_all_pairs(spark, kept, fine, busy):
     """Families of copies with more and fewer edits, a passage that half of all share, repeats, odd rows."""
     r = random.Random(11)
     passage = " ".join(f"p{i}" for i in range(50))
@@ -52,7 +52,7 @@ def test_minhash_against_all_pairs(spark, kept):
     rows = list(enumerate(texts)) + [(3, texts[40]), (5, texts[5])]
     want = brute_groups(rows)
     df = spark.createDataFrame([(i, t, 1, "k", 2) for i, t in rows] + [(None, texts[20], 1, "k", 2), (None, "nobody else", 1, "k", 2), (None, None, 1, "k", 2)], "doc_id long, text string, n int, sketch string, u int")
-    out = minhash.near_duplicates(df, kept=kept).collect()
+    out = minhash.near_duplicates(df, kept=kept, fine=fine, busy=busy).collect()
     assert collections.Counter((x.doc_id, x.n_shingles, x.component_id, x.kept) for x in out if x.doc_id is not None) == collections.Counter((i, len(five(t)), want[i], want[i] == i) for i, t in rows)
     assert sorted((x.n_shingles, x.component_id, x.kept) for x in out if x.doc_id is None and x.component_id is not None) == [(len(five(texts[20])), want[20], False)]
     assert sorted(x.kept for x in out if x.doc_id is None) == [False, True, True]
