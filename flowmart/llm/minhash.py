@@ -114,8 +114,14 @@ def fits(a: str, b: str, percent: int) -> str:
     return f"100 * least({a}n, {b}n) >= {percent} * greatest({a}n, {b}n) and {100 + percent} * least({a}most, {b}most) >= {percent} * ({a}n + {b}n)"
 
 
+def fits_busy(a: str, b: str, percent: int, fine: int = FINE) -> str:
+    """fits() for sets that have only busy values in common: most counts these, in the sketches of sets beyond `fine`."""
+    return f"if(greatest({a}n, {b}n) > {fine}, least({a}most, {b}most) >= {least_common(fine, percent)} and 100 * least({a}n, {b}n) >= {percent} * greatest({a}n, {b}n), {fits(a, b, percent)})"
+
+
 class Overlaps:
-    """The inverted lists of the sketches of nodes (u, n, sketch), and the pairs that they bring together."""
+    """The inverted lists of the sketches of nodes (u, n, sketch), and the pairs that they bring together. marks has the
+    nodes that may have a partner: u, n, hot (busy values of the finer sketch), central."""
 
     def __init__(self, nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, kept: int, fine: int = FINE, busy: int = BUSY):
         self.percent, self.fine = percent, fine
@@ -123,6 +129,7 @@ class Overlaps:
         self.nodes = stored(known.select("u", "most").join(self.sets, "u").select("u", "most", F.size("s").cast("long").alias("n"), F.slice("s", 1, fine).alias("sketch")), "nodes")
         held = self.nodes.select("u", F.explode("sketch").alias("v"))
         of = held.join(shared_values(held), "v").groupBy("u").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("of"), F.sum("df").alias("central"), F.count_if(F.col("df") > busy).alias("hot"))
+        self.marks = stored(self.nodes.select("u", "n").join(of, "u").select("u", "n", "hot", "central"), "marks")
         # So many values may differ and one more; those that this sketch alone retains are among them.
         rows = self.nodes.drop("sketch").join(of, "u").withColumn("places", F.expr(f"size(of) - {needed(percent, fine)} + 1")).filter("places > 0")
         rows = rows.select("u", "n", "most", "hot", "central", F.explode(F.expr("slice(of, 1, cast(places as int))")).alias("x")).withColumn("busy", F.col("x.df") > busy)
@@ -131,7 +138,7 @@ class Overlaps:
 
     def fit(self, a: str, b: str) -> str:
         """fits() in one list; in a busy one larger sets are held against one another by what their sketches share."""
-        return f"if(busy and greatest({a}n, {b}n) > {self.fine}, least({a}most, {b}most) >= {least_common(self.fine, self.percent)} and 100 * least({a}n, {b}n) >= {self.percent} * greatest({a}n, {b}n), {fits(a, b, self.percent)})"
+        return f"if(busy, {fits_busy(a, b, self.percent, self.fine)}, {fits(a, b, self.percent)})"
 
     def stars(self) -> DataFrame:
         """Pairs (a, b) of each list's most central node and its other ones."""

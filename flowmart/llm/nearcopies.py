@@ -1,9 +1,11 @@
 """Near copies by wide SimHash fingerprints and one-wildcard variants of their segments, decided by exact similarity.
 
 Documents whose sets of word shingles can have no partner are told first, by counting retained values of bottom-k
-sketches and then whole sets (minhash.partnered). The others get a fingerprint of four words of 64 bits over pairs of words,
+sketches and then whole sets (minhash.Overlaps). The others get a fingerprint of four words of 64 bits over pairs of words,
 cut into eight segments of 24 bits; each is indexed as it is and once for each of its bits with that bit blanked out.
-Equal keys meet in one equality join; the other 64 bits, the sizes and at last the full sets decide.
+Equal keys meet in one equality join; the other 64 bits, the sizes and at last the full sets decide. Of copies with
+many edits in a large group most have too few common values in common to be similar: such a pair links only by a value
+that is rare, so it is looked for in the short lists of these, and must pass the same test of fingerprints.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from flowmart.llm.common import stored
-from flowmart.llm.minhash import KEPT, fits, partnered, shared_values, similar
+from flowmart.llm.minhash import KEPT, Overlaps, fits_busy, similar
 from flowmart.llm.simhash import BLOCK, WordHashes, components, shingles, stir, words_hashed
 
 #: The words of 64 bits of the wide fingerprint, and words of its shingles.
@@ -104,7 +106,7 @@ def nearby(nodes: DataFrame, percent: int, large: int = LARGE) -> DataFrame:
         crowds = stored(hot.select("key", "c").distinct(), "crowds")
         both = crowds.selectExpr("key", "c as ca").join(crowds.selectExpr("key", "c as cb"), "key").filter("ca != cb")
         found = found.unionByName(left(hot).join(both, ["key", "ca"]).join(right(hot), ["key", "cb"]).filter("not whole or ha < hb").select(found.columns))
-    sizes = f"100 * least(na, nb) >= {percent} * greatest(na, nb) and {100 + percent} * least(ma, mb) >= {percent} * (na + nb)"
+    sizes = fits_busy("x.", "y.", percent).replace("x.n", "na").replace("y.n", "nb").replace("x.most", "ma").replace("y.most", "mb")
     found = found.filter(f"not coalesce(ca = cb, false) and bit_count(xa ^ xb) <= {CHECK_BITS} and {sizes}")
     return found.select(F.least("ha", "hb").alias("a"), F.greatest("ha", "hb").alias("b")).distinct()
 
@@ -132,26 +134,33 @@ def near_copies(docs: DataFrame, carry: tuple[str, ...] = (), percent: int = 80,
         made = shingle_sets(rows.join(ends.select("doc_id").distinct(), "doc_id", "left_semi"), words_in_shingle)
         return made.join(ends.select("h"), "h", "left_semi").dropDuplicates(["h"]).withColumnRenamed("h", "u")
 
-    kin, sets = partnered(nodes.filter("n > 0").select(F.col("h").alias("u"), "n", "sketch"), sets_of, percent, KEPT)
-    held = kin.select("u", F.explode("sketch").alias("v"))
-    central = held.join(shared_values(held), "v").groupBy("u").agg(F.sum("df").alias("central"))
-    live = stored(nodes.select("h", *WIDE).join(kin.drop("sketch").join(central, "u").withColumnRenamed("u", "h"), "h"), "live")
+    lists = Overlaps(nodes.filter("n > 0").select(F.col("h").alias("u"), "n", "sketch"), sets_of, percent, KEPT)
+    live = stored(nodes.select("h", *WIDE).join(lists.marks.withColumnsRenamed({"u": "h", "hot": "most"}), "h"), "live")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose fingerprints share a variant and differ in at most CHECK_BITS of the other bits."""
+        end = lambda x: live.select(F.col("h").alias(x), F.struct(*WIDE).alias(f"w{x}"))
+        near = " or ".join(f"bit_count(shiftrightunsigned(wa.{w} ^ wb.{w}, {at}) & {(1 << SEGMENT) - 1}) <= 1" for w in WIDE for at in (0, SEGMENT))
+        apart = " + ".join(f"bit_count(shiftrightunsigned(wa.{w} ^ wb.{w}, 48))" for w in WIDE)
+        return pairs.join(end("a"), "a").join(end("b"), "b").filter(f"({near}) and {apart} <= {CHECK_BITS}").select("a", "b")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        end = lambda x: sets.select(F.col("u").alias(x), F.col("s").alias(f"s{x}"))
+        end = lambda x: lists.sets.select(F.col("u").alias(x), F.col("s").alias(f"s{x}"))
         return pairs.join(end("a"), "a").join(end("b"), "b").filter(similar("sa", "sb", percent)).select("a", "b")
 
     keys = stored(variants(live, ["h", "n", "most", "central"]).select("key", "central", F.struct("h", "n", "most", "check").alias("x")), "variants")
     heads = stored(keys.groupBy("key").agg(F.max(F.struct("central", "x")).alias("m"), F.count("*").alias("many")).filter("many > 1").select("key", F.col("m.x").alias("y")), "heads")
-    met = keys.join(heads, "key").filter(f"x.h != y.h and bit_count(x.check ^ y.check) <= {CHECK_BITS}").filter(fits("x.", "y.", percent))
-    stars = stored(met.select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")).distinct(), "stars")
+    met = keys.join(heads, "key").filter(f"x.h != y.h and bit_count(x.check ^ y.check) <= {CHECK_BITS}").filter(fits_busy("x.", "y.", percent))
+    met = met.select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b"))
+    stars = stored(met.unionByName(alike(stored(lists.stars(), "stars"))).distinct(), "stars")
     edges = stored(linked(stars), "edges")
 
-    found = components(edges).select(F.col("node").alias("h"), F.col("root").alias("c"))
+    roots = components(edges)
+    found = roots.select(F.col("node").alias("h"), F.col("root").alias("c"))
     of = stored(found.unionByName(found.selectExpr("c as h", "c").distinct()), "components")
     grouped = live.join(of.join(of.groupBy("c").agg(F.count("*").alias("members")), "c"), "h", "left").withColumn("members", F.coalesce("members", F.lit(1)))
     # The pairs are written before those that were tried go, as Spark would else move that below the tests.
-    rest = stored(nearby(stored(grouped, "grouped"), percent, large), "candidates").join(stars, ["a", "b"], "left_anti")
+    rest = stored(nearby(stored(grouped, "grouped"), percent, large).unionByName(alike(stored(lists.others(roots), "others"))).distinct(), "candidates").join(stars, ["a", "b"], "left_anti")
     roots = components(edges.unionByName(stored(linked(rest), "edges")))
     classed = sig.join(roots, sig.h == roots.node, "left").select("own.*", F.coalesce("root", "h").alias("_c"))
     return classed.join(classed.groupBy("_c").agg(F.min("doc_id").alias("component_id")), "_c").select("doc_id", *carry, "component_id")
