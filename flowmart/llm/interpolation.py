@@ -94,10 +94,10 @@ class Block:
         return [number, self.size, *n, parts.tobytes(), sizes.tobytes(), words.tobytes(), packed(np.concatenate(self.texts))]
 
 
-def blocks_of(docs: DataFrame, own: list[str]) -> DataFrame:
-    """BLOCK_COLUMNS and docs, an array of the columns `own`, of docs (part, text): a row for each block. Blocks of
+def blocks_of(docs: DataFrame, own: list[str], part: Column) -> DataFrame:
+    """BLOCK_COLUMNS and docs, an array of the columns `own`, of docs: a row for each block. Blocks of
     odd number hold the documents held back, those of even number all others."""
-    rows = docs.select(F.struct(*own).alias("own"), "part", F.col("text").cast("binary").alias("text"))
+    rows = docs.select(F.struct(*own).alias("own"), part.cast("int").alias("part"), F.col("text").cast("binary").alias("text"))
     schema = StructType([*StructType.fromDDL(BLOCK_COLUMNS).fields, StructField("docs", ArrayType(rows.schema["own"].dataType))])
     arrow, most = to_arrow_schema(schema), BLOCK
 
@@ -297,9 +297,9 @@ class Model(NamedTuple):
     weights: np.ndarray
 
 
-def fit(docs: DataFrame, own: list[str]) -> Model:
-    """The model of docs (part, text), which also holds the blocks of all docs with their columns `own`."""
-    blocks = stored(blocks_of(docs, own), "blocks", **{"parquet.block.size": GROUP_BYTES})
+def fit(docs: DataFrame, own: list[str], part: Column) -> Model:
+    """The model of docs, which also holds the blocks of all docs with their columns `own`."""
+    blocks = stored(blocks_of(docs, own, part), "blocks", **{"parquet.block.size": GROUP_BYTES})
     n_all, n_kept, n_held, n_blocks = (x or 0 for x in blocks.agg(F.sum("n_tokens"), F.sum("n_kept"), F.sum("n_held"), F.count("*")).first())
     counts = sent(blocks, max(0, math.ceil(math.log2(max(n_all, 1) / RANGE))))
     counts = stored(summed(counts, max(1, -(-n_blocks // FAN))), "counts", **{"parquet.block.size": GROUP_BYTES})
@@ -325,8 +325,8 @@ def log_score(docs: DataFrame, part: Column) -> DataFrame:
     gives an empty result.
     """
     added = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
-    own = [c for c in docs.columns if c not in (*added, "text", "part")]
-    model = fit(docs.withColumn("part", part.cast("int")), own)
+    own = [c for c in docs.columns if c not in (*added, "text")]
+    model = fit(docs, own, part)
     n, distinct, weights = model.n, model.distinct, model.weights
     new = StructType.fromDDL("n_tokens long, n_known long, train_tokens long, base_score double, score double").fields
     schema = StructType([docs.schema[c] for c in own] + new)

@@ -81,10 +81,13 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
 
     A null or empty text is one empty line, and comes back as the empty text. Rows with the same doc_id are one
     document for the counts and lose the same keys. Rows without doc_id are together one document below all others.
-    Columns named n_lines or n_dropped in docs are replaced. An empty table gives an empty result.
+    Columns named n_lines or n_dropped in docs are replaced; all others may have any names. An empty table gives an
+    empty result.
     """
     spark = docs.sparkSession
-    own = docs.drop("n_lines", "n_dropped", "_id", "_drop", "_lines").withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+    columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    rest = F.struct(*[c for c in columns if c != "text"]).alias("own")
+    own = docs.select(rest, "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"))
     keys = F.array_distinct(F.transform(F.filter(F.transform(lines_of(F.col("text")), line_key), lambda k: F.char_length(k) >= min_chars), hashes))
     lines = stored(own.select(F.col("_id").alias("doc_id"), F.explode(keys).alias("k")).select("k.h1", "k.h2", "doc_id"), "lines")
 
@@ -110,7 +113,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches
 
     kept = F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(F.filter("_lines", stays))
     out = joined.withColumn("_kept", kept).withColumns({"n_lines": F.size("_lines").cast("long"), "n_dropped": (F.size("_lines") - F.size("_kept")).cast("long")})
-    return out.withColumn("text", F.array_join("_kept", "\n")).select(*[c for c in docs.columns if c not in ("n_lines", "n_dropped", "_id", "_drop", "_lines")], "n_lines", "n_dropped")
+    made = {"text": F.array_join("_kept", "\n")}
+    return out.select(*[made.get(c, F.col("own")[c]).alias(c) for c in columns], "n_lines", "n_dropped")
 
 
 def op9_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -223,6 +223,19 @@ def test_lines(docs, none):
     assert linededup.dedup_lines(none).count() == 0
 
 
+def test_columns_of_any_name_stay(docs):
+    clash = docs.withColumns({c: F.concat(F.lit("x"), F.col("doc_id").cast("string")) for c in ("_id", "_lines", "_drop", "_kept", "own", "part")})
+    part = F.when(F.col("doc_id") % 3 == 0, interpolation.HELD).otherwise(interpolation.KEPT)
+    plain = lambda df: collections.Counter((r.doc_id, r.n_dropped, r.text) for r in df.collect())
+    out = linededup.dedup_lines(clash)
+    assert out.columns == [*clash.columns, "n_lines", "n_dropped"] and plain(out) == plain(linededup.dedup_lines(docs))
+    scored = interpolation.log_score(clash, part)
+    assert len(scored.columns) == len({*scored.columns, *clash.columns}) - 1
+    for r in [*out.collect(), *scored.collect()]:
+        want = None if r.doc_id is None else f"x{r.doc_id}"
+        assert [r._id, r._lines, r._drop, r._kept, r.own, r.part] == [want] * 6
+
+
 def test_line_runs_hold_each_key_once(spark):
     store = linededup.LineRuns(spark, fanout=2)
     fresh = [store.add(spark.createDataFrame([(h, h, 10 * n) for h in hs], "h1 long, h2 long, doc_id long")).count() for n, hs in enumerate([(1, 2), (2, 3), (1, 4), (5,), (5, 6)])]
@@ -512,7 +525,7 @@ def test_interpolation_brute(spark, docs, monkeypatch, fan):
     monkeypatch.setattr(interpolation, "BLOCK", 50)
     monkeypatch.setattr(interpolation, "RANGE", 20)
     monkeypatch.setattr(interpolation, "FAN", fan)
-    model = interpolation.fit(docs.withColumn("part", part), ["doc_id"])
+    model = interpolation.fit(docs, ["doc_id"], part)
     assert (model.n, model.distinct) == (n, v) and model.blocks.count() > 3
 
     def estimate(a, b):
