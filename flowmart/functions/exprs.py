@@ -88,6 +88,11 @@ def cut(c, edges: Sequence[float], labels: Sequence[str]) -> Column:
     return out
 
 
+def ln(c) -> Column:
+    """Natural logarithm: minus infinity of 0, null below it."""
+    return F.when(col(c) == 0, F.lit(float("-inf"))).otherwise(F.log(col(c)))
+
+
 def sigmoid(c, most: float = 30.0) -> Column:
     return 1 / (1 + F.exp(-clip(c, -most, most)))
 

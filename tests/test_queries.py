@@ -49,6 +49,20 @@ def test_runs(spark, name):
     assert catalog.QUERIES[name](spark, SF).count() > 0
 
 
+def test_scalar_functions_of_odd_values(spark, tmp_path):
+    """ln(0) is minus infinity and a missing value's sigmoid 0, as in SQL; both were null. Larger tables hold zeros, the smallest doesn't."""
+    name, path = "o_scalar_functions", f"{tmp_path}/events.parquet"
+    values = "(1, 0.0), (2, 1.0), (3, 1e-300), (4, 560.21), (5, 'inf'::DOUBLE), (6, NULL), (7, -0.0), (8, 'nan'::DOUBLE)"
+    with duckdb.connect() as c:
+        c.execute(f"COPY (SELECT i::BIGINT AS event_id, TIMESTAMP '2024-01-06 23:59:59' + to_hours(i) AS ts, v::DOUBLE AS value FROM (VALUES {values}) t(i, v)) TO '{path}' (FORMAT parquet)")
+        c.execute(f"CREATE VIEW events AS SELECT * FROM '{path}'")
+        want = c.execute(catalog.SQL[name])
+        names, want = [d[0] for d in want.description], want.fetchall()
+    out = catalog.QUERIES[name](spark, str(tmp_path))
+    assert rows(out.columns, [tuple(r) for r in out.collect()]) == rows(names, want)
+    assert {r.event_id: r.ln for r in out.collect()}[1] == float("-inf")
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
