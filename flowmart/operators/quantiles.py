@@ -81,3 +81,20 @@ def merged_profile(sketches: DataFrame, shares: Sequence[float] = (0.05, 0.5, 0.
     g = sketches.groupBy("column").agg(F.sum("n").alias("n"), F.sum("nulls").alias("nulls"), F.min("low").alias("low"), F.max("high").alias("high"), F.kll_merge_agg_double("kll").alias("_kll"), F.hll_union_agg("hll").alias("_hll"))
     known = lambda c: F.when(F.col("n") > 0, c)
     return g.select("column", "n", "nulls", "low", "high", F.coalesce(known(F.hll_sketch_estimate("_hll")), F.lit(0)).alias("distinct"), known(F.kll_sketch_get_quantile_double("_kll", F.array(*map(F.lit, shares)))).alias("quantiles"))
+
+
+def shares_below(df: DataFrame, points: DataFrame) -> DataFrame:
+    """column, under, upto: which shares of the column's values in df are below its point, and at most it.
+
+    points (column, point) has one row for each column. They become one row that every task holds beside its rows: one
+    pass, and no row of df is shuffled. Null and NaN aren't values; both shares are null if there are none, or no point.
+    """
+    columns = sorted(r["column"] for r in points.select("column").distinct().collect())
+    if not columns:
+        return points.select("column", F.lit(None).cast("double").alias("under"), F.lit(None).cast("double").alias("upto"))
+    at = points.agg(*[F.max(F.when(F.col("column") == c, F.col("point"))).alias(f"_at{i}") for i, c in enumerate(columns)])
+    value = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+    both = df.select(*[value(c).alias(f"_v{i}") for i, c in enumerate(columns)]).crossJoin(F.broadcast(at))
+    share = lambda test: F.avg(test.cast("double"))
+    one = both.agg(*[F.struct(F.lit(c).alias("column"), share(F.col(f"_v{i}") < F.col(f"_at{i}")).alias("under"), share(F.col(f"_v{i}") <= F.col(f"_at{i}")).alias("upto")).alias(f"_s{i}") for i, c in enumerate(columns)])
+    return one.select(F.explode(F.array(*[F.col(f"_s{i}") for i in range(len(columns))])).alias("x")).select("x.*")

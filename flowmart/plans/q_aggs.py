@@ -140,8 +140,9 @@ def c16_merged_sketches(spark, sf):
     rows, columns = V.table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"]
     path = shared_folder(spark, "sketches")
     quantiles.profile_sketches(rows, F.to_date("l_shipdate"), columns).write.parquet(path)
-    told = quantiles.merged_profile(spark.read.parquet(path), [0.5]).join(aggs.approx_profile(rows, columns).withColumnsRenamed({"distinct": "exact", "median": "middle"}), "column")
-    sides = told.join(rows.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in columns])).alias("x")).select("x.*"), "column")
-    ranks = sides.groupBy("column").agg(F.avg((F.col("v") < F.col("quantiles")[0]).cast("double")).alias("under"), F.avg((F.col("v") <= F.col("quantiles")[0]).cast("double")).alias("upto"))
-    near = (F.col("under") <= 0.54) & (F.col("upto") >= 0.46)
+    merged = quantiles.merged_profile(spark.read.parquet(path), [0.5])
+    exact = aggs.approx_profile(rows, columns).select("column", F.col("distinct").alias("exact"))
+    ranks = quantiles.shares_below(rows, merged.select("column", F.col("quantiles")[0].alias("point")))
+    near = (F.col("n") == 0) | ((F.col("under") <= 0.54) & (F.col("upto") >= 0.46))
+    told = merged.join(exact, "column")
     return told.join(ranks, "column").select("column", "n", "nulls", "low", "high", (F.abs(F.col("distinct") - F.col("exact")) <= 0.08 * F.col("exact")).alias("distinct_near"), near.alias("median_near"))

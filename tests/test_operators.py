@@ -337,6 +337,15 @@ def test_sketches_merge(spark):
             assert (got["x"].distinct, got["x"].quantiles) == (0, None)
 
 
+def test_shares_below(spark):
+    """Ties with the point, nulls and NaN, a column without values, one without a point, no points at all."""
+    df = spark.createDataFrame([(1.0, None, 1), (2.0, None, 2), (2.0, float("nan"), 3), (5.0, None, 4), (None, None, 5), (float("nan"), None, 6)], "x double, y double, z int").repartition(3)
+    points = spark.createDataFrame([("x", 2.0), ("y", 1.0), ("z", None)], "column string, point double")
+    assert sorted(map(tuple, quantiles.shares_below(df, points).collect())) == [("x", 0.25, 0.75), ("y", None, None), ("z", None, None)]
+    assert quantiles.shares_below(df, points.limit(0)).collect() == []
+    assert [tuple(r) for r in quantiles.shares_below(df.limit(0), points.limit(1)).collect()] == [("x", None, None)]
+
+
 def test_ledger_of_batches(spark, tmp_path):
     """A replay, an older batch that comes late, a crash between staging and swap, two writers at once."""
     path, at = f"file://{tmp_path}/t", lambda n: F.lit(n).cast("timestamp")

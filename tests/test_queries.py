@@ -63,6 +63,20 @@ def test_scalar_functions_of_odd_values(spark, tmp_path):
     assert {r.event_id: r.ln for r in out.collect()}[1] == float("-inf")
 
 
+def test_merged_sketches_shuffle_no_rows(spark, tmp_path):
+    """As with sketches that are too large to be broadcast. The estimates are held against the rows where these are; every row went once for each column to that column's task before."""
+    spark.range(40).crossJoin(spark.read.parquet(f"{SF}/lineitem.parquet")).drop("id").coalesce(1).write.parquet(f"file://{tmp_path}/lineitem.parquet")
+    n, sc = spark.read.parquet(f"file://{tmp_path}/lineitem.parquet").count(), spark.sparkContext
+    sc.setJobGroup("merged_sketches", "")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    out = catalog.QUERIES["c16_merged_sketches"](spark, f"file://{tmp_path}").collect()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted((r.column, r.n, r.nulls, r.distinct_near, r.median_near) for r in out) == [("l_extendedprice", n, 0, True, True), ("l_quantity", n, 0, True, True)]
+    stages = {i for j in sc.statusTracker().getJobIdsForGroup("merged_sketches") for i in sc.statusTracker().getJobInfo(j).stageIds}
+    assert 0 < max(sc._jsc.sc().statusStore().lastStageAttempt(i).shuffleWriteRecords() for i in stages) < n / 4
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
