@@ -51,11 +51,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     gone = found.filter("doc_id != component_id").select("doc_id", "t0", "t1")
     gone = gone.unionByName(found.filter("doc_id = component_id").join(first, "doc_id").filter(F.struct("t0", "t1") != F.col("kept")).select("doc_id", "t0", "t1")).distinct()
     again = found.groupBy("doc_id", "t0", "t1").count().filter("count > 1").select("doc_id", "t0", "t1")
-    same = lambda other: [F.col("own.doc_id").cast("long") == other["doc_id"], F.col("h")[0] == other["t0"], F.col("h")[1] == other["t1"]]
-    own = docs.select(F.struct(*docs.columns).alias("own"), F.array(*hashed).alias("h"))
-    left = own.join(gone, same(gone), "left_anti")
-    once = left.join(again, same(again), "left_semi").groupBy(F.col("own.doc_id"), "h").agg(F.min_by("own", F.to_json("own")).alias("own"))
-    return left.join(again, same(again), "left_anti").select("own.*").unionByName(once.select("own.*"))
+    marks = gone.selectExpr("*", "true as gone", "false as again").unionByName(again.selectExpr("*", "false as gone", "true as again"))
+    marks = marks.groupBy("doc_id", "t0", "t1").agg(F.max("gone").alias("gone"), F.max("again").alias("again"))
+    # One join by the keys that repeated rows are then grouped by, so that the texts are sent once. A row that isn't repeated is a group of its own.
+    own = docs.select(F.struct(*docs.columns).alias("own"), F.col("doc_id").cast("long").alias("doc_id"), *[h.alias(f"t{i}") for i, h in enumerate(hashed)])
+    left = own.join(marks, ["doc_id", "t0", "t1"], "left").filter("not coalesce(gone, false)").withColumn("again", F.coalesce("again", F.lit(False)))
+    left = left.withColumn("row", F.when(F.col("again"), -1).otherwise(F.monotonically_increasing_id()))
+    once = left.groupBy("doc_id", "t0", "t1", "row").agg(F.min_by("own", F.when(F.col("again"), F.to_json("own")).otherwise("")).alias("own"))
+    return once.select("own.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

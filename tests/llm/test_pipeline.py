@@ -70,3 +70,23 @@ def test_clashing_names_and_repeats(spark, tmp_path):
             assert sorted(r.text for r in rows if r.doc_id in (50, 51)) == sorted([copy, own])
         none = stage(spark, spark.createDataFrame([], docs.schema), str(tmp_path))
         assert none.count() == 0
+
+
+def test_near_duplicates_send_texts_once(spark):
+    """Among near copies and repeated rows. What the result's shuffles hold is little more than the texts; it was twice that before."""
+    r = random.Random(5)
+    words = lambda n: " ".join(f"{r.getrandbits(64):x}" for _ in range(n))
+    docs = [(i, words(400), "en", f"s{i % 3}", 1) for i in range(300)]
+    docs += [(i + 1000, f"{t} {words(4)}", "en", "s1", 1) for i, t, *_ in docs[:40]] + docs[50:60] + [(i, t, "fr", None, 2) for i, t, *_ in docs[55:65]] + [(1000, docs[0][1], "en", "s0", 1), (None, docs[1][1], "en", "s1", 1), (None, docs[1][1], "en", "s1", 1)]
+    df, sc = spark.createDataFrame(docs, COLUMNS).repartition(3).cache(), spark.sparkContext
+    df.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    out = corpus_pipeline.near_duplicates(spark, df, "")
+    sc.setJobGroup("texts_once", "")
+    got = sorted((-1 if x.doc_id is None else x.doc_id, x.lang) for x in out.collect())
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == [(-1, "en"), (-1, "en"), *[(i, "en") for i in range(300)]]
+    stages = {i for j in sc.statusTracker().getJobIdsForGroup("texts_once") for i in sc.statusTracker().getJobInfo(j).stageIds}
+    sent = sum(sc._jsc.sc().statusStore().lastStageAttempt(i).shuffleWriteBytes() for i in stages)
+    assert 0 < sent < 1.5 * sum(len(t) for _, t, *_ in docs)
