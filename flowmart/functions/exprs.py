@@ -89,8 +89,8 @@ def cut(c, edges: Sequence[float], labels: Sequence[str]) -> Column:
 
 
 def ln(c) -> Column:
-    """Natural logarithm: minus infinity of 0, null below it."""
-    return F.when(col(c) == 0, F.lit(float("-inf"))).otherwise(F.log(col(c)))
+    """Natural logarithm: minus infinity of 0, NaN below it."""
+    return F.when(col(c) == 0, F.lit(float("-inf"))).when(col(c) < 0, F.lit(float("nan"))).otherwise(F.log(col(c)))
 
 
 def sigmoid(c, most: float = 30.0) -> Column:

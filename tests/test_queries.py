@@ -63,6 +63,19 @@ def test_scalar_functions_of_odd_values(spark, tmp_path):
     assert {r.event_id: r.ln for r in out.collect()}[1] == float("-inf")
 
 
+def test_scalar_functions_below_zero_and_late(spark, tmp_path):
+    """ln of a negative value is NaN, which was null; a year of five digits has no sign. NaN and null count as different here."""
+    name, path = "o_scalar_functions", f"{tmp_path}/events.parquet"
+    values = "(1, '2024-01-06', -1.0), (2, '12024-01-06', 1e-300), (3, '2024-01-06', '-inf'), (4, '0024-01-06', NULL), (5, NULL, 'nan'), (6, '2024-01-06', 0.0), (7, '9999-12-31', -1e-300)"
+    with duckdb.connect() as c:
+        c.execute(f"COPY (SELECT i::BIGINT AS event_id, t::TIMESTAMP AS ts, v::DOUBLE AS value FROM (VALUES {values}) x(i, t, v)) TO '{path}' (FORMAT parquet)")
+        c.execute(f"CREATE VIEW events AS SELECT * FROM '{path}'")
+        want = c.execute(catalog.SQL[name] + " ORDER BY event_id").fetchall()
+    got = [tuple(r) for r in catalog.QUERIES[name](spark, str(tmp_path)).orderBy("event_id").collect()]
+    assert list(map(str, got)) == list(map(str, want))
+    assert math.isnan(got[0][4]) and got[1][1] == "12024-01-06"
+
+
 def test_merged_sketches_shuffle_no_rows(spark, tmp_path):
     """As with sketches that are too large to be broadcast. The estimates are held against the rows where these are; every row went once for each column to that column's task before."""
     spark.range(40).crossJoin(spark.read.parquet(f"{SF}/lineitem.parquet")).drop("id").coalesce(1).write.parquet(f"file://{tmp_path}/lineitem.parquet")
