@@ -65,7 +65,8 @@ def links(reps: DataFrame) -> DataFrame:
     )
     a = k.filter("side != 1").selectExpr("key", "p", "fp as fa", "rep as ra")
     b = k.filter("side != 0").selectExpr("key", "fp as fb", "rep as rb")
-    met = a.join(b, "key").filter("bit_count(fa ^ fb) <= 2 and (p < 32 or fa < fb)")
+    # Spark sizes the variants as the table that they are made of, which is some 50 times smaller, and would broadcast them.
+    met = a.hint("merge").join(b.hint("merge"), "key").filter("bit_count(fa ^ fb) <= 2 and (p < 32 or fa < fb)")
     return met.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
 
 

@@ -108,6 +108,19 @@ def test_forward_backward_is_exact(docs):
         assert np.allclose(g.sum(0), total[1], atol=1e-3)
 
 
+def broadcast_joins(df):
+    """How many joins of the plan broadcast a side, as it was planned and as it ran."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin")
+
+
+def test_variants_are_not_broadcast(spark):
+    """A table of a few bytes a row is sized as that after an explode, too; its variants were gathered in the driver."""
+    reps = spark.range(2000).select(F.xxhash64("id").alias("fp"), F.col("id").alias("rep")).cache()
+    assert reps.count() and broadcast_joins(reps.join(reps.withColumnRenamed("rep", "r2"), "fp")) > 0
+    assert broadcast_joins(simhash.links(reps)) == 0
+
+
 def brute_fp(text):
     w = (text or "").encode().lower().split()
     sh = [b" ".join(w[i : i + 3]) for i in range(max(1, len(w) - 2))] if w else []
