@@ -43,6 +43,13 @@ def stored(df: DataFrame, label: str, **options) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def merged(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
+    """left.join(right, on) by sorting both. For rows that an explode made and tables of such rows: Spark sizes them as
+    the rows they came from, or as a well packed file, and would broadcast what may be hundreds of times larger, all of
+    it through the driver."""
+    return left.join(right.hint("merge"), on)
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 

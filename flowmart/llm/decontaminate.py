@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowmart.llm.common import map_texts, stored, table
+from flowmart.llm.common import map_texts, merged, stored, table
 
 WINDOW, SIMILARITY = 5, 0.8
 #: Most distinct template windows of the benchmark that are broadcast (8 bytes each) to sift the documents' windows
@@ -179,7 +179,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, similarity:
     name = ~F.col("item_slots").rlike(r"^\d") & ~F.col("item_slots").isin(*sorted(UNITS))
     first = usual.filter(name).groupBy(*PART, "usual").agg(F.min(F.struct("n", "item_slots"))["item_slots"].alias("owner"))
     usual = usual.join(first, [*PART, "usual"], "left").withColumn("usual", F.when(~name | (F.col("item_slots") == F.col("owner")), F.col("usual")))
-    broken = slot.join(usual.select(*PART, "item_slots", "usual"), [*PART, "item_slots"]).filter("not slots <=> usual").select("_row").distinct()
+    broken = merged(slot, usual.select(*PART, "item_slots", "usual"), [*PART, "item_slots"]).filter("not slots <=> usual").select("_row").distinct()
     kept = met.join(broken, "_row", "left_anti").groupBy(*PART).agg(F.count_distinct("item_at").alias("matched"))
     kept = kept.groupBy("doc_id", "item_id").agg(F.max("matched").alias("matched"))
     out = kept.join(sizes, "item_id").withColumn("share", F.col("matched") / F.col("n_windows"))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowmart.llm.common import stored, table
+from flowmart.llm.common import merged, stored, table
 from flowmart.llm.simhash import WordHashes, components, shingles, words_hashed
 
 #: Hashes of a sketch, and the chance at which the estimate may miss a pair that is just similar enough.
@@ -101,11 +101,11 @@ def partnered(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], perce
     """The nodes (u, n, sketch) that may have a partner, with `most` (their shingles that another one of them has), and
     the full sets (u, s), which `sets_of` gives for ids (u)."""
     held = nodes.select("u", F.explode("sketch").alias("v"))
-    most = held.join(shared_values(held), "v").groupBy("u").agg(F.count("*").alias("most"))
+    most = merged(held, shared_values(held), "v").groupBy("u").agg(F.count("*").alias("most"))
     may = stored(nodes.join(most, "u").filter(f"most >= {needed(percent, kept)}").drop("most"), "may")
     sets = stored(sets_of(may.select("u").distinct()), "sets")
     held = sets.select("u", F.explode("s").alias("v"))
-    most = held.join(shared_values(held), "v").groupBy("u").agg(F.count("*").alias("most"))
+    most = merged(held, shared_values(held), "v").groupBy("u").agg(F.count("*").alias("most"))
     return stored(may.join(most, "u").filter(f"100 * most >= {percent} * n"), "partnered"), sets
 
 
@@ -128,7 +128,7 @@ class Overlaps:
         known, self.sets = partnered(nodes, sets_of, percent, kept)
         self.nodes = stored(known.select("u", "most").join(self.sets, "u").select("u", "most", F.size("s").cast("long").alias("n"), F.slice("s", 1, fine).alias("sketch")), "nodes")
         held = self.nodes.select("u", F.explode("sketch").alias("v"))
-        of = held.join(shared_values(held), "v").groupBy("u").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("of"), F.sum("df").alias("central"), F.count_if(F.col("df") > busy).alias("hot"))
+        of = merged(held, shared_values(held), "v").groupBy("u").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("of"), F.sum("df").alias("central"), F.count_if(F.col("df") > busy).alias("hot"))
         self.marks = stored(self.nodes.select("u", "n").join(of, "u").select("u", "n", "hot", "central"), "marks")
         # So many values may differ and one more; those that this sketch alone retains are among them.
         rows = self.nodes.drop("sketch").join(of, "u").withColumn("places", F.expr(f"size(of) - {needed(percent, fine)} + 1")).filter("places > 0")
@@ -143,7 +143,7 @@ class Overlaps:
     def stars(self) -> DataFrame:
         """Pairs (a, b) of each list's most central node and its other ones."""
         self.heads = stored(self.lists.groupBy("v").agg(F.max(F.struct("central", "u", "n", "most")).alias("h")).select("v", F.struct("h.u", "h.n", "h.most").alias("h")), "heads")
-        met = self.lists.withColumn("own", F.struct("u", "n", "most")).join(self.heads, "v").filter("u != h.u").filter(self.fit("own.", "h."))
+        met = merged(self.lists.withColumn("own", F.struct("u", "n", "most")), self.heads, "v").filter("u != h.u").filter(self.fit("own.", "h."))
         return met.select(F.least("u", "h.u").alias("a"), F.greatest("u", "h.u").alias("b")).distinct()
 
     def others(self, roots: DataFrame) -> DataFrame:
@@ -158,7 +158,7 @@ class Overlaps:
         placed = stored(own.join(head, "v").select("v", "busy", "low", "high", bucket(F.col("n")).alias("r"), F.struct("u", "n", "most", "c").alias("x"), (F.col("c") != F.col("hc")).alias("apart")), "placed")
         probes = placed.filter("apart")
         probes = probes.select("v", F.explode(F.sequence(bucket(F.col("low")), bucket(F.col("high")))).alias("r"), F.col("x").alias("y"))
-        met = probes.join(placed.drop("low", "high"), ["v", "r"]).filter("x.c != y.c and (not apart or y.u < x.u)").filter(self.fit("x.", "y."))
+        met = merged(probes, placed.drop("low", "high"), ["v", "r"]).filter("x.c != y.c and (not apart or y.u < x.u)").filter(self.fit("x.", "y."))
         return met.select(F.least("x.u", "y.u").alias("a"), F.greatest("x.u", "y.u").alias("b")).distinct()
 
     def estimated(self, pairs: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from flowmart.llm.common import stored
+from flowmart.llm.common import merged, stored
 from flowmart.llm.minhash import KEPT, Overlaps, fits_busy, similar
 from flowmart.llm.simhash import BLOCK, WordHashes, components, shingles, stir, words_hashed
 
@@ -100,12 +100,12 @@ def nearby(nodes: DataFrame, percent: int, large: int = LARGE) -> DataFrame:
     cold, hot = rows.filter(f"members <= {large}"), rows.filter(f"members > {large}")
     left = lambda df: df.filter("side != 1").selectExpr("key", "whole", "check as xa", "h as ha", "c as ca", "n as na", "most as ma")
     right = lambda df: df.filter("side != 0").selectExpr("key", "check as xb", "h as hb", "c as cb", "n as nb", "most as mb")
-    found = left(cold).join(right(cold), "key").filter("not whole or ha < hb")
+    found = merged(left(cold), right(cold), "key").filter("not whole or ha < hb")
     if nodes.filter(f"members > {large}").limit(1).count():
-        found = found.unionByName(left(cold).join(right(hot), "key")).unionByName(left(hot).filter("not whole").join(right(cold), "key"))
+        found = found.unionByName(merged(left(cold), right(hot), "key")).unionByName(merged(left(hot).filter("not whole"), right(cold), "key"))
         crowds = stored(hot.select("key", "c").distinct(), "crowds")
-        both = crowds.selectExpr("key", "c as ca").join(crowds.selectExpr("key", "c as cb"), "key").filter("ca != cb")
-        found = found.unionByName(left(hot).join(both, ["key", "ca"]).join(right(hot), ["key", "cb"]).filter("not whole or ha < hb").select(found.columns))
+        both = merged(crowds.selectExpr("key", "c as ca"), crowds.selectExpr("key", "c as cb"), "key").filter("ca != cb")
+        found = found.unionByName(merged(merged(left(hot), both, ["key", "ca"]), right(hot), ["key", "cb"]).filter("not whole or ha < hb").select(found.columns))
     sizes = fits_busy("x.", "y.", percent).replace("x.n", "na").replace("y.n", "nb").replace("x.most", "ma").replace("y.most", "mb")
     found = found.filter(f"not coalesce(ca = cb, false) and bit_count(xa ^ xb) <= {CHECK_BITS} and {sizes}")
     return found.select(F.least("ha", "hb").alias("a"), F.greatest("ha", "hb").alias("b")).distinct()
@@ -150,7 +150,7 @@ def near_copies(docs: DataFrame, carry: tuple[str, ...] = (), percent: int = 80,
 
     keys = stored(variants(live, ["h", "n", "most", "central"]).select("key", "central", F.struct("h", "n", "most", "check").alias("x")), "variants")
     heads = stored(keys.groupBy("key").agg(F.max(F.struct("central", "x")).alias("m"), F.count("*").alias("many")).filter("many > 1").select("key", F.col("m.x").alias("y")), "heads")
-    met = keys.join(heads, "key").filter(f"x.h != y.h and bit_count(x.check ^ y.check) <= {CHECK_BITS}").filter(fits_busy("x.", "y.", percent))
+    met = merged(keys, heads, "key").filter(f"x.h != y.h and bit_count(x.check ^ y.check) <= {CHECK_BITS}").filter(fits_busy("x.", "y.", percent))
     met = met.select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b"))
     stars = stored(met.unionByName(alike(stored(lists.stars(), "stars"))).distinct(), "stars")
     edges = stored(linked(stars), "edges")

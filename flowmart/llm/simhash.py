@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowmart.llm.common import stored, table
+from flowmart.llm.common import merged, stored, table
 
 BLOCK = 1 << 15
 #: Words of which a task remembers the hash, about 200 bytes each; others are hashed again where they stand.
@@ -65,8 +65,7 @@ def links(reps: DataFrame) -> DataFrame:
     )
     a = k.filter("side != 1").selectExpr("key", "p", "fp as fa", "rep as ra")
     b = k.filter("side != 0").selectExpr("key", "fp as fb", "rep as rb")
-    # Spark sizes the variants as the table that they are made of, which is some 50 times smaller, and would broadcast them.
-    met = a.hint("merge").join(b.hint("merge"), "key").filter("bit_count(fa ^ fb) <= 2 and (p < 32 or fa < fb)")
+    met = merged(a, b, "key").filter("bit_count(fa ^ fb) <= 2 and (p < 32 or fa < fb)")
     return met.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
 
 

@@ -1,11 +1,13 @@
 """The stages one after another, and that their decisions take effect."""
 
+import itertools
 import random
+import re
 
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from flowmart.llm import decontaminate, simhash
+from flowmart.llm import common, decontaminate, minhash, nearcopies, simhash
 from tests.llm.test_operators import DE, EN, FR, LINE, QUESTION, prose
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -38,6 +40,35 @@ def test_stages(spark, tmp_path):
     assert decontaminate.leaks(out, spark.read.parquet(f"{tmp_path}/benchmark.parquet")).count() == 0
 
 
+def exploded_broadcasts(df):
+    """The broadcasts of the plan that hold an explode below no shuffle, whose size Spark takes from before it."""
+    lines, found = df._jdf.queryExecution().executedPlan().toString().splitlines(), []
+    depth = [re.search(r"[A-Za-z]|$", x).start() for x in lines]
+    for i, x in enumerate(lines):
+        if "BroadcastExchange" in x:
+            below = list(itertools.takewhile(lambda y: depth[y] > depth[i] and "Exchange hashpartitioning" not in lines[y], range(i + 1, len(lines))))
+            found += [lines[y] for y in below if "Generate" in lines[y]]
+    return found
+
+
+def test_no_explode_is_broadcast(spark, monkeypatch):
+    """On small tables, of which Spark broadcasts any other. What was broadcast held up to 200 rows for each of the table that it was sized by."""
+    random.seed(3)
+    plans = []
+    for module in (decontaminate, minhash, nearcopies, simhash):
+        monkeypatch.setattr(module, "stored", lambda df, label: plans.append(df) or common.stored(df, label))
+    text = prose(EN, 300)
+    docs = [(i, f"{prose(EN, 300)} {QUESTION}") for i in range(4)] + [(10 + i, " ".join([*text.split()[i:], "tail"])) for i in range(8)] + [(30 + i, f"{text} {prose(EN, 20 + i)}") for i in range(8)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame([(1, QUESTION)], "item_id long, text string")
+    for made in (lambda: simhash.near_duplicates(docs), lambda: nearcopies.near_copies(docs, large=2), lambda: minhash.near_duplicates(docs), lambda: decontaminate.leaks(docs, items)):
+        plans.clear()
+        assert made().count() and len(plans) > 1
+        plans.append(made())
+        assert any("BroadcastExchange" in x._jdf.queryExecution().executedPlan().toString() for x in plans)
+        assert [x for p in plans for x in exploded_broadcasts(p)] == []
+
+
 def test_several_languages_stay(spark, tmp_path):
     rows = [(i, prose(w, 40), x, "s", 1) for i, (w, x) in enumerate([(EN, "en"), (FR, "fr"), (DE, "de")] * 12)]
     rows.append((100, f"{prose(EN, 40)} {prose(FR, 40)} {prose(DE, 40)}", "en", "s", 1))
